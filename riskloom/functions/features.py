@@ -16,32 +16,24 @@ CAPS_WORD = (
     rf"(?<!{_NOT_SPACE})(?=(?:{_OTHER}*+\p{{Lu}}){{3}}){_CAPS_CHAR}++(?!{_NOT_SPACE})"
 )
 ANY_WORD = f"{_NOT_SPACE}+"
+# What a text must hold to have such a word; quick to rule out.
+_CAPS_RUN = rf"\p{{Lu}}{_OTHER}*+\p{{Lu}}{_OTHER}*+\p{{Lu}}"
 
 
-def vocabulary_hits(text: Column, model: RiskModel) -> Column:
-    """Lower-cased vocabulary words of ``text`` in order, blank-separated.
-
-    One pass over the text serves all lexicons; each lexicon then looks only
-    at this short string.
-    """
-    return F.lower(F.array_join(tx.matches(text, tx.any_term(model.vocabulary)), " "))
-
-
-def term_hits(hits: Column, terms: tuple[str, ...]) -> Column:
-    """Those of the blank-separated ``hits`` that are in ``terms``."""
+def listed(words: Column, terms: tuple[str, ...]) -> Column:
+    """Lower-cased ``words`` that are in ``terms``, in order and with repeats."""
     if not terms:
         return F.array().cast("array<string>")
-    return tx.matches(hits, f"(?<![^ ])(?:{'|'.join(terms)})(?![^ ])")
+    return F.transform(F.filter(words, lambda w: F.lower(w).isin(*terms)), F.lower)
 
 
-def distinct_terms(hits: Column) -> Column:
-    return F.sort_array(F.array_distinct(hits))
+def lexicon_hits(text: Column, terms: tuple[str, ...]) -> Column:
+    """Lexicon words of ``text``, in order and with repeats."""
+    return listed(tx.words(text), terms)
 
 
-def lexicon_hits(text: Column, terms: tuple[str, ...]) -> Column:
-    """Lower-cased words of ``text`` that are in ``terms``, with repeats."""
-    found = tx.matches(text, tx.any_term(terms))
-    return term_hits(F.lower(F.array_join(found, " ")), terms)
+def distinct_terms(hits: Column) -> Column:
+    return F.sort_array(F.array_distinct(hits))
 
 
 def lexicon_feature(hits: Column, cap: float) -> tuple[Column, Column, Column]:
@@ -64,9 +56,8 @@ def threat_hits(text: Column, patterns: tuple[str, ...]) -> Column:
     none = F.array().cast("array<string>")
     if not patterns:
         return none
-    spelled = [tx.with_unicode_boundaries(p) for p in patterns]
-    found = F.concat(*(tx.matches(text, p) for p in spelled))
-    return F.when(text.rlike("|".join(f"(?:{p})" for p in spelled)), found).otherwise(none)
+    found = F.concat(*(tx.matches(text, tx.with_unicode_boundaries(p)) for p in patterns))
+    return F.when(text.rlike(tx.with_unicode_boundaries(*patterns)), found).otherwise(none)
 
 
 def threat_feature(hits: Column) -> Column:
@@ -75,9 +66,8 @@ def threat_feature(hits: Column) -> Column:
 
 def all_caps_feature(text: Column, cap: float) -> Column:
     """Share of upper-case words over ``cap``; 0 without words."""
-    words = F.nullif(tx.count_matches(text, ANY_WORD), F.lit(0))
-    share = tx.count_matches(text, CAPS_WORD) / words
-    return F.coalesce(F.least(share / F.lit(cap), F.lit(1.0)), F.lit(0.0))
+    share = tx.count_matches(text, CAPS_WORD) / tx.count_matches(text, ANY_WORD)
+    return F.when(text.rlike(_CAPS_RUN), F.least(share / F.lit(cap), F.lit(1.0))).otherwise(0.0)
 
 
 def combine(features: dict[str, Column], weights: tuple[tuple[str, float], ...]) -> Column:

@@ -28,17 +28,20 @@ def with_features(df: DataFrame, text: Column, model: RiskModel = DEFAULT_MODEL)
     df = df.withColumn("_text", text)
     df = df.withColumns(
         {
-            "_hits": ft.vocabulary_hits(F.col("_text"), model),
-            "_tokens": tx.token_count(F.col("_text")),
+            "_words": tx.words(F.col("_text")),
             "_threats": ft.threat_hits(F.col("_text"), model.threats),
             "_caps": ft.all_caps_feature(F.col("_text"), model.caps_cap),
         }
     )
+    # One pass over the words finds all vocabulary; lexicons share the few hits.
+    df = df.withColumns(
+        {"_tokens": F.size("_words"), "_hits": ft.listed(F.col("_words"), model.vocabulary)}
+    )
     df = df.withColumns(
         {
-            "_violent": ft.term_hits(F.col("_hits"), model.violent),
-            "_hate": ft.term_hits(F.col("_hits"), model.hate),
-            "_intensifiers": F.size(ft.term_hits(F.col("_hits"), model.intensifiers)),
+            "_violent": ft.listed(F.col("_hits"), model.violent),
+            "_hate": ft.listed(F.col("_hits"), model.hate),
+            "_intensifiers": F.size(ft.listed(F.col("_hits"), model.intensifiers)),
         }
     )
     n_violent, n_hate = F.size("_violent"), F.size("_hate")
