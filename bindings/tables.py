@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.model import DEFAULT_MODEL, RiskModel
+from riskloom.sources.staging import read_table
 
 # The test corpus is invented prose that the default vocabulary hardly meets.
 # This model uses words the corpus has, so that every rule is exercised.
@@ -23,8 +24,12 @@ EPOCH = 1704067200  # 2024-01-01 UTC
 AS_OF = dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)
 
 
+TEXT_TABLES = ("documents", "conversations", "pages")
+
+
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    path = f"{sf}/{name}.parquet"
+    return read_table(spark, path) if name in TEXT_TABLES else spark.read.parquet(path)
 
 
 def micros(ts: str) -> Column:

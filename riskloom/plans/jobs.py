@@ -11,6 +11,7 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.model import DEFAULT_MODEL, RiskModel
 from riskloom.operators import report
@@ -38,8 +39,7 @@ from riskloom.operators.skew import having
 from riskloom.operators.users import MIN_CONFIDENT_ITEMS, fallback_scores, score_users
 from riskloom.schemas import HISTORY, POST
 from riskloom.sources import readers, writers
-
-from pyspark.sql import functions as F
+from riskloom.sources.staging import read_table
 
 
 @dataclass(frozen=True)
@@ -74,7 +74,7 @@ def collect_job(
 ) -> DataFrame:
     """Landed listing pages -> ``out`` (JSON lines beside the Parquet table)."""
     collect(listing_pages, cfg).write.mode("overwrite").parquet(f"{out}/table")
-    posts = spark.read.schema(POST).parquet(f"{out}/table")
+    posts = read_table(spark, f"{out}/table")
     writers.write_posts(posts, f"{out}/json")
     return posts
 

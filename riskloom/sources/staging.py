@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -33,3 +33,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     return target.getFileSystem(conf).exists(target)
+
+
+# Inputs with less than this per core are spread before CPU-heavy work.
+SMALL_PER_CORE = 16 << 20
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table, spread over all cores where its files alone would not be.
+
+    One small file with one row group is one task, however many cores wait.
+    Tables of ordinary size are left as their splits are; nothing is shuffled.
+    """
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    size = target.getFileSystem(conf).getContentSummary(target).getLength()
+    cores = spark.sparkContext.defaultParallelism
+    table = spark.read.parquet(path)
+    return table.repartition(cores) if size < cores * SMALL_PER_CORE else table
