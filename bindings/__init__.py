@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("post_queries", "select_queries", "user_queries")
+MODULES = ("post_queries", "select_queries", "user_queries", "source_queries", "run_queries")
 
 
 def load_all():

@@ -147,39 +147,39 @@ def large_lexicon(spark, sf):
     )
 
 
-def scored_query(name: str, select_sql: str, model_name: str = "calibrated"):
+def scored_query(
+    name: str, select_sql: str, columns: list[str], model_name: str = "calibrated"
+) -> None:
     model = tables.MODELS[model_name]
     text = f"WITH {sql.POSTS}, {sql.scored('posts', model)} SELECT {select_sql} FROM scored"
 
-    def bind(columns):
-        @query(name, text)
-        def run(spark, sf):
-            df = tables.posts(spark, sf)
-            return posts.with_features(df, posts.post_text(df), model).select(*columns)
-
-    return bind
+    @query(name, text)
+    def run(spark, sf):
+        df = tables.posts(spark, sf)
+        return posts.with_features(df, posts.post_text(df), model).selectExpr(*columns)
 
 
-scored_query("p7_keyword_density", "id, len(toks) AS tokens, keyword_density")(
-    ["id", F.col("_tokens").cast("long").alias("tokens"), F.col("risk_features.keyword_density")]
+scored_query(
+    "p7_keyword_density",
+    "id, len(toks) AS tokens, keyword_density",
+    ["id", "cast(_tokens as long) as tokens", "risk_features.keyword_density"],
 )
 for _model in tables.MODELS:
     scored_query(
         f"p8_threats_{_model}",
         "id, threat, len(th) AS hit_count, array_to_string(th, '|') AS hits",
-        _model,
-    )(
         [
             "id",
-            F.col("risk_features.threat"),
-            F.size("_threats").cast("long").alias("hit_count"),
-            F.array_join("_threats", "|").alias("hits"),
-        ]
+            "risk_features.threat",
+            "cast(size(_threats) as long) as hit_count",
+            "array_join(_threats, '|') as hits",
+        ],
+        _model,
     )
-scored_query("p9_all_caps", "id, all_caps")(["id", F.col("risk_features.all_caps")])
-scored_query("p10_combined_score", "id, risk_score")(["id", "risk_score"])
-scored_query("p11_labels", "id, risk_label")(["id", "risk_label"])
-scored_query("p12_feature_record", f"id, {', '.join(FEATURES)}")(["id", "risk_features.*"])
+scored_query("p9_all_caps", "id, all_caps", ["id", "risk_features.all_caps"])
+scored_query("p10_combined_score", "id, risk_score", ["id", "risk_score"])
+scored_query("p11_labels", "id, risk_label", ["id", "risk_label"])
+scored_query("p12_feature_record", f"id, {', '.join(FEATURES)}", ["id", "risk_features.*"])
 
 
 def full_scoring_query(name: str, select_sql: str, columns: list, model_name: str) -> None:

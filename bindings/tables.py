@@ -42,8 +42,11 @@ def numbered(prefix: str, number: Column) -> Column:
 
 
 def posts(spark: SparkSession, sf: str) -> DataFrame:
+    return as_posts(read(spark, sf, "documents"))
+
+
+def as_posts(docs: DataFrame) -> DataFrame:
     """documents as posts."""
-    docs = read(spark, sf, "documents")
     return docs.select(
         F.col("doc_id").cast("string").alias("id"),
         numbered("https://forum.example/p/", F.col("doc_id")).alias("url"),

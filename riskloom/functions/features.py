@@ -44,8 +44,8 @@ def lexicon_feature(hits: Column, cap: float) -> tuple[Column, Column, Column]:
 
 def keyword_density(n_tokens: Column, violent: Column, hate: Column, cap: float) -> Column:
     """Share of lexicon words among tokens over ``cap``; 0 without tokens."""
-    share = (violent + hate) / F.nullif(n_tokens, F.lit(0))
-    return F.coalesce(F.least(share / F.lit(cap), F.lit(1.0)), F.lit(0.0))
+    share = (violent + hate) / n_tokens
+    return F.when(n_tokens > 0, F.least(share / F.lit(cap), F.lit(1.0))).otherwise(0.0)
 
 
 def threat_hits(text: Column, patterns: tuple[str, ...]) -> Column:

@@ -13,17 +13,22 @@ DELETED_AUTHOR = "[deleted]"
 MILLISECONDS_ABOVE = 10_000_000_000
 
 _INTEGER = r"\A[+-]?\d+(?:_\d+)*\z"
-_ISO = r"\A\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?)?(?:Z|[+-]\d{2}:?\d{2})?)?\z"
-_ZONED = r"[T ].*(?:Z|[+-]\d{2}:?\d{2})\z"
+# Date, hour, minute, second, fraction, zone; all but the date may be missing.
+_ISO = (
+    r"\A(\d{4}-\d{2}-\d{2})(?:[T ](\d{2})(?::(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?)?"
+    r"(Z|[+-]\d{2}(?::?\d{2})?)?)?\z"
+)
 
 
 def _epoch_of_iso(iso: Column) -> Column:
-    clock = F.regexp_replace(F.replace(iso, F.lit(","), F.lit(".")), r"([+-]\d{2})(\d{2})\z", "$1:$2")
-    clock = F.when(F.length(iso) == 10, F.concat(iso, F.lit("T00:00"))).otherwise(clock)
-    # Spark wants minutes after the hour.
-    clock = F.regexp_replace(clock, r"([T ]\d{2})(?=\z|Z|[+-])", "$1:00")
-    zoned = F.when(iso.rlike(_ZONED), clock).otherwise(F.concat(clock, F.lit("Z")))
-    return F.when(iso.rlike(_ISO), F.unix_micros(F.try_to_timestamp(zoned)) / F.lit(1e6))
+    def part(group: int, default: str) -> Column:
+        return F.coalesce(empty_to_null(F.regexp_extract(iso, _ISO, group)), F.lit(default))
+
+    zone = F.regexp_replace(part(6, "Z"), r"\A([+-]\d{2})(\d{2})\z", "$1:$2")
+    clock = F.concat_ws(":", part(2, "00"), part(3, "00"), part(4, "00"))
+    date = empty_to_null(F.regexp_extract(iso, _ISO, 1))  # null unless all of it matches
+    full = F.concat(date, F.lit("T"), clock, F.lit("."), part(5, "0"), zone)
+    return F.unix_micros(F.try_to_timestamp(full)) / F.lit(1e6)
 
 
 def normalize_epoch(ts_attr: Column, iso: Column) -> Column:

@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKETS = 4096
 MULTIPLIERS = (961, 31, 1)
@@ -96,7 +97,7 @@ def detector(profiles: DataFrame, buckets: int = BUCKETS):
         own = own[own["bucket"] != UNSEEN]
         weights[i, own["bucket"].to_numpy()] = own["weight"].to_numpy()
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def best_language(texts: pd.Series) -> pd.Series:
         best = (names[int(np.argmax(weights @ _trigram_counts(t, buckets)))] for t in texts)
         return pd.Series(list(best), dtype="object")

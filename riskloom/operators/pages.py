@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.functions import normalize as nz
 from riskloom.functions.text import empty_to_null
@@ -23,8 +24,14 @@ USABLE = 200
 ABSENT = (403, 404)
 
 _FIELDS = [*listing_html.ATTRIBUTES, "iso_time", *listing_html.TEXTS]
-_ITEMS = f"array<struct<{', '.join(f'{name}: string' for name in _FIELDS)}>>"
-PARSED = f"struct<next: string, items: {_ITEMS}, error: string>"
+_ITEM = T.StructType([T.StructField(name, T.StringType()) for name in _FIELDS])
+PARSED = T.StructType(
+    [
+        T.StructField("next", T.StringType()),
+        T.StructField("items", T.ArrayType(_ITEM)),
+        T.StructField("error", T.StringType()),
+    ]
+)
 
 
 @F.pandas_udf(PARSED)

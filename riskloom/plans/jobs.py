@@ -37,7 +37,7 @@ from riskloom.operators.select import (
 )
 from riskloom.operators.skew import having
 from riskloom.operators.users import MIN_CONFIDENT_ITEMS, fallback_scores, score_users
-from riskloom.schemas import HISTORY, POST
+from riskloom.schemas import HISTORY, POST, USERS
 from riskloom.sources import readers, writers
 from riskloom.sources.staging import read_table
 
@@ -101,15 +101,15 @@ def enrich_job(
 
     ``out`` must be a new path, never the one ``known`` is read from.
     """
-    authors = unique_authors(posts)
-    if known is None:
-        new_users, new_items = authors, fetch_history(user_pages, authors, cfg)
-        users, items = new_users, new_items
-    else:
-        new_users = authors_to_fetch(authors, known[0])
-        new_items = fetch_history(user_pages, new_users, cfg)
-        users = merge_new_wins(known[0], new_users, new_users, spread_by=("username",))
-        items = merge_new_wins(known[1], new_items, new_users)
+    fetched = unique_authors(posts)
+    if known is not None:
+        fetched = authors_to_fetch(fetched, known[0])
+    fetched.write.mode("overwrite").parquet(f"{out}/fetched")
+    new_users = spark.read.schema(USERS).parquet(f"{out}/fetched")
+    users, items = new_users, fetch_history(user_pages, new_users, cfg)
+    if known is not None:
+        users = merge_new_wins(known[0], users, new_users, spread_by=("username",))
+        items = merge_new_wins(known[1], items, new_users)
     writers.write_history(users, items.select(*HISTORY.names), out)
     return readers.read_history_tables(spark, out)
 
