@@ -12,7 +12,7 @@ from bindings.select_queries import budget_sql
 from bindings.source_queries import EXTRACTED, SCORED
 from riskloom.operators.select import cutoff
 from riskloom.plans import jobs
-from riskloom.sources.staging import fresh_path
+from riskloom.sources.staging import fresh_path, spread_if_small
 from riskloom.streaming import flows
 
 GROUPS = ("src3", "src1", "src17", "src0", "src9", "src5")
@@ -127,8 +127,9 @@ def full_run(spark, sf):
 
 def table_stream(spark, sf, name):
     # A glob, as a stream's plain path must be a folder and a table may be one file.
-    schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
-    return flows.stream_table(spark, f"{sf}/{name}*.parquet", schema)
+    path = f"{sf}/{name}.parquet"
+    stream = flows.stream_table(spark, f"{sf}/{name}*.parquet", spark.read.parquet(path).schema)
+    return spread_if_small(stream, path) if name in tables.TEXT_TABLES else stream
 
 
 @query(

@@ -8,6 +8,7 @@ from bindings import sql, tables
 from bindings.registry import query
 from riskloom.operators import posts, users
 from riskloom.sources import writers
+from riskloom.sources.staging import staged
 
 MODEL = tables.CALIBRATED
 ITEM_SCORES = f"{sql.ITEMS}, u_posts AS (SELECT *, '' AS title FROM items), {sql.scored('u_posts', MODEL, 'si')}, own AS (SELECT username, id, risk_score AS score FROM si)"
@@ -47,8 +48,9 @@ def post_scores(spark, sf):
     WHERE username IN (SELECT username FROM users) AND username NOT IN (SELECT username FROM own)""",
 )
 def with_fallback(spark, sf):
+    own, posted = item_scores(spark, sf), post_scores(spark, sf)
     return users.with_fallback(
-        tables.users(spark, sf), item_scores(spark, sf), post_scores(spark, sf)
+        tables.users(spark, sf), staged(own, "u3-items"), staged(posted, "u3-posts")
     )
 
 

@@ -95,7 +95,10 @@ def raw_items(pages: DataFrame, *keep: str) -> DataFrame:
     parsed = pages.where(F.col("html").contains("thing")).select(
         *keep, parse_page(F.col("html"))["items"].alias("_items")
     )
-    items = parsed.select(*keep, F.posexplode("_items").alias("item_no", "_item"))
+    # The outer form, as from the inner one Spark infers a filter on the size of
+    # the array and would parse every page a second time for it.
+    items = parsed.select(*keep, F.posexplode_outer("_items").alias("item_no", "_item"))
+    items = items.where(F.col("item_no").isNotNull())
     return items.select(*keep, "item_no", *(F.col(f"_item.{f}").alias(f"raw_{f}") for f in _FIELDS))
 
 

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from riskloom.functions import features as ft
 from riskloom.functions import text as tx
 from riskloom.model import DEFAULT_MODEL, RiskModel
-from riskloom.operators.skew import lookup
+from riskloom.operators.skew import having
 from riskloom.schemas import SCORED_POST_COLUMNS
 
+# A word of some 20 bytes each: a broadcast table of some tens of megabytes.
+BROADCAST_TERMS = 500_000
 BODY_COLUMNS = ("text", "selftext", "body", "content")
 
 
@@ -111,22 +113,27 @@ def score_items(items: DataFrame, model: RiskModel = DEFAULT_MODEL) -> DataFrame
     return scored.select("username", "id", F.col("risk_score").alias("score"))
 
 
-def lexicon_counts(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
+def lexicon_counts(
+    df: DataFrame,
+    key: str,
+    text: str,
+    lexicon: DataFrame,
+    broadcast_terms: int = BROADCAST_TERMS,
+) -> DataFrame:
     """(key, count, terms) for texts with a word in ``lexicon(term)`` (P4, many terms).
 
-    For vocabularies too large for a pattern. Words are counted per text
-    before the join, so what is shuffled is one row per distinct word and text.
+    For vocabularies too large for an expression. One of at most
+    ``broadcast_terms`` terms (counted first) is broadcast, and words outside
+    it are gone before the first shuffle. Beyond that, words are counted per
+    text and joined by term with frequent terms split.
     """
+    terms = lexicon.select("term").dropna().distinct()
     words = df.select(key, F.explode(tx.tokens(F.col(text))).alias("term"))
-    counted = words.groupBy(key, "term").agg(F.count("*").alias("n"))
-    hits = lookup(
-        counted,
-        lexicon.select("term").distinct().withColumn("_listed", F.lit(True)),
-        ["term"],
-        spread_by=[key],
-    )
-    return (
-        hits.where("_listed")
-        .groupBy(key)
-        .agg(F.sum("n").alias("count"), F.sort_array(F.collect_set("term")).alias("terms"))
+    if terms.limit(broadcast_terms + 1).count() <= broadcast_terms:
+        hits = words.join(F.broadcast(terms), "term", "left_semi").withColumn("n", F.lit(1))
+    else:
+        counted = words.groupBy(key, "term").agg(F.count("*").alias("n"))
+        hits = having(counted, terms, ["term"], spread_by=[key])
+    return hits.groupBy(key).agg(
+        F.sum("n").alias("count"), F.sort_array(F.collect_set("term")).alias("terms")
     )

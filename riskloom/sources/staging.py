@@ -37,17 +37,34 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 # Inputs with less than this per core are spread before CPU-heavy work.
 SMALL_PER_CORE = 16 << 20
+TASKS_PER_CORE = 3
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table, spread over all cores where its files alone would not be.
+def spread_if_small(df: DataFrame, path: str) -> DataFrame:
+    """``df``, read from ``path``, over all cores where its files alone would not be.
 
     One small file with one row group is one task, however many cores wait.
     Tables of ordinary size are left as their splits are; nothing is shuffled.
     """
+    spark = df.sparkSession
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     size = target.getFileSystem(conf).getContentSummary(target).getLength()
     cores = spark.sparkContext.defaultParallelism
-    table = spark.read.parquet(path)
-    return table.repartition(cores) if size < cores * SMALL_PER_CORE else table
+    return df.repartition(cores * TASKS_PER_CORE) if size < cores * SMALL_PER_CORE else df
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table, spread if it is small."""
+    return spread_if_small(spark.read.parquet(path), path)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared folder and read back.
+
+    For results used more than once: later uses read the table instead of
+    computing it again, and losing an executor loses none of it.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
