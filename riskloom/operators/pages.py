@@ -46,29 +46,26 @@ def parse_page(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["next", "items", "error"])
 
 
-def usable_pages(
+def usable_keys(
     pages: DataFrame,
     listing: list[str] | None = None,
     max_attempts: int = MAX_ATTEMPTS,
     rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
-    """The page rows a crawl would have used.
+    """(url, attempt) of the page rows a crawl would have used.
 
     Attempts of a url are taken in order: status 200 is usable, 403 and 404
     mean absent, anything else goes to the next attempt, and a url without a
     usable attempt is absent. With ``listing`` (its key columns) given, pages
     after an absent one of the same listing (by ``page_no``) go too.
 
-    Settled on url, attempt and status alone; page bodies are joined once, by
-    their unique (url, attempt).
+    Page bodies are not read.
     """
     settled = F.col("status").isin(USABLE, *ABSENT)
     outcome = (
         pages.where(F.col("attempt") <= max_attempts)
         .groupBy("url", *([*listing, "page_no"] if listing else []))
-        .agg(
-            F.min(F.when(settled, F.struct("attempt", "status"))).alias("_first"),
-        )
+        .agg(F.min(F.when(settled, F.struct("attempt", "status"))).alias("_first"))
         .withColumn("_usable", F.coalesce(F.col("_first.status") == USABLE, F.lit(False)))
     )
     usable = outcome.where("_usable")
@@ -77,8 +74,22 @@ def usable_pages(
         first_absent = absent.groupBy(*listing).agg(F.min("page_no").alias("_absent"))
         marked = lookup(usable, first_absent, listing, ["url"], rows_per_split)
         usable = marked.where("_absent is null or page_no < _absent")
-    chosen = usable.select("url", F.col("_first.attempt").alias("attempt"))
-    return pages.join(chosen, ["url", "attempt"], "left_semi")
+    return usable.select("url", F.col("_first.attempt").alias("attempt"))
+
+
+def usable_pages(
+    pages: DataFrame,
+    listing: list[str] | None = None,
+    max_attempts: int = MAX_ATTEMPTS,
+    rows_per_split: int = ROWS_PER_SPLIT,
+) -> DataFrame:
+    """The page rows of :func:`usable_keys`, joined once by their unique key."""
+    chosen = usable_keys(pages, listing, max_attempts, rows_per_split)
+    return _tried(pages).join(chosen, ["url", "attempt"], "left_semi")
+
+
+def _tried(pages: DataFrame) -> DataFrame:
+    return pages.where(F.col("status") == USABLE)
 
 
 def next_link(html: Column) -> Column:
@@ -86,12 +97,16 @@ def next_link(html: Column) -> Column:
     return parse_page(html)["next"]
 
 
-def raw_items(pages: DataFrame, *keep: str) -> DataFrame:
+def raw_items(pages: DataFrame, *keep: str, usable: DataFrame | None = None) -> DataFrame:
     """One row per ``div.thing``: ``keep`` columns, position and raw fields.
 
     Pages without the class name anywhere cannot hold an item and are dropped
-    before they would be sent to Python.
+    before they would be sent to Python. Pages are restricted to ``usable``
+    (url, attempt) only after parsing, as items are smaller to shuffle than
+    page bodies.
     """
+    if usable is not None:
+        pages, keep = _tried(pages), (*keep, "url", "attempt")
     parsed = pages.where(F.col("html").contains("thing")).select(
         *keep, parse_page(F.col("html"))["items"].alias("_items")
     )
@@ -99,7 +114,8 @@ def raw_items(pages: DataFrame, *keep: str) -> DataFrame:
     # the array and would parse every page a second time for it.
     items = parsed.select(*keep, F.posexplode_outer("_items").alias("item_no", "_item"))
     items = items.where(F.col("item_no").isNotNull())
-    return items.select(*keep, "item_no", *(F.col(f"_item.{f}").alias(f"raw_{f}") for f in _FIELDS))
+    raw = items.select(*keep, "item_no", *(F.col(f"_item.{f}").alias(f"raw_{f}") for f in _FIELDS))
+    return raw if usable is None else raw.join(usable, ["url", "attempt"], "left_semi")
 
 
 def _created() -> Column:
@@ -110,9 +126,11 @@ def _first_named(*names: Column) -> Column:
     return F.coalesce(*(empty_to_null(n) for n in names))
 
 
-def extract_posts(pages: DataFrame, base: str = nz.BASE_URL) -> DataFrame:
+def extract_posts(
+    pages: DataFrame, base: str = nz.BASE_URL, usable: DataFrame | None = None
+) -> DataFrame:
     """Posts of landed listing pages ``(html, group_name)``."""
-    raw = drop_promoted(raw_items(pages, "group_name"), "raw_promoted")
+    raw = drop_promoted(raw_items(pages, "group_name", usable=usable), "raw_promoted")
     title = F.coalesce("raw_title", F.lit(""))
     posts = raw.select(
         nz.item_id(F.col("raw_fullname"), F.col("raw_element_id")).alias("id"),
@@ -128,7 +146,10 @@ def extract_posts(pages: DataFrame, base: str = nz.BASE_URL) -> DataFrame:
 
 
 def extract_items(
-    pages: DataFrame, oldest: float | None = None, base: str = nz.BASE_URL
+    pages: DataFrame,
+    oldest: float | None = None,
+    base: str = nz.BASE_URL,
+    usable: DataFrame | None = None,
 ) -> DataFrame:
     """History items of user pages ``(html, username, kind[, page_no])``.
 
@@ -136,7 +157,7 @@ def extract_items(
     crawl of newest-first pages would stop there (L4).
     """
     paged = "page_no" in pages.columns
-    raw = raw_items(pages, "username", "kind", *(["page_no"] if paged else []))
+    raw = raw_items(pages, "username", "kind", *(["page_no"] if paged else []), usable=usable)
     items = raw.select(
         "username",
         nz.item_id(F.col("raw_fullname"), F.col("raw_element_id")).alias("id"),

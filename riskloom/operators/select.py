@@ -85,24 +85,13 @@ def global_budget(
     """Shares ``total`` among groups in ``priority`` order.
 
     Each takes up to ``per_group``, or what is left. ``ranked`` comes from
-    :func:`newest_per_group`. The running sum is over one count per listed
-    group; the table joined back has as many rows as ``priority``.
+    :func:`newest_per_group`. Serving one group after the other, newest first,
+    is taking the first ``total`` rows by group position and rank: one top-n,
+    without counting or joining.
     """
-    spark = ranked.sparkSession
-    order = spark.createDataFrame(
-        [(name, i) for i, name in enumerate(dict.fromkeys(priority))], f"`{group}` string, _pos int"
-    )
-    counts = (
-        ranked.where((F.col("rank") <= per_group) & F.col(group).isin(*priority))
-        .groupBy(group)
-        .agg(F.count("*").alias("_n"))
-    )
-    earlier = Window.orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
-    taken = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    shares = counts.join(F.broadcast(order), group).select(
-        group, F.least(F.lit(per_group), F.lit(total) - taken).alias("_share")
-    )
-    return ranked.join(F.broadcast(shares), group).where("rank <= _share").drop("_share")
+    position = F.array_position(F.lit(list(priority)), F.col(group))
+    served = ranked.where((F.col("rank") <= per_group) & (position > 0))
+    return served.orderBy(position, "rank").limit(total)
 
 
 def split_budget(items: DataFrame, max_items: int = MAX_ITEMS, user: str = "username") -> DataFrame:

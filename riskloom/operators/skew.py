@@ -13,6 +13,8 @@ ROWS_PER_SPLIT = 1_000_000
 MAX_SPLIT_KEYS = 100_000
 # Ways in which a group is split for the first of two top-n rounds.
 TOP_SPLITS = 64
+# Most keys that are broadcast after being counted.
+BROADCAST_KEYS = 500_000
 # Ways in which rows without a key are spread; they match nothing.
 NULL_SPREAD = 4096
 
@@ -75,6 +77,24 @@ def having(
     return marked.where(F.col("_present").isNotNull()).drop("_present")
 
 
+def having_few(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    spread_by: list[str],
+    broadcast_keys: int = BROADCAST_KEYS,
+) -> DataFrame:
+    """:func:`having` where ``right`` is expected to be, but need not be, small.
+
+    Its distinct keys are counted first, up to the limit. Within it they are
+    broadcast and wide rows of ``left`` stay where they are.
+    """
+    wanted = right.select(*keys).dropna().distinct()
+    if wanted.limit(broadcast_keys + 1).count() <= broadcast_keys:
+        return left.join(F.broadcast(wanted), keys, "left_semi")
+    return having(left, wanted, keys, spread_by)
+
+
 def lacking(
     left: DataFrame,
     right: DataFrame,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from riskloom.model import DEFAULT_MODEL, RiskModel
 from riskloom.operators import report
 from riskloom.operators.language import detector
-from riskloom.operators.pages import extract_items, extract_posts, usable_pages
+from riskloom.operators.pages import extract_items, extract_posts, usable_keys
 from riskloom.operators.posts import scored_records
 from riskloom.operators.select import (
     LOOKBACK_DAYS,
@@ -35,7 +35,7 @@ from riskloom.operators.select import (
     top_risky,
     unique_authors,
 )
-from riskloom.operators.skew import having
+from riskloom.operators.skew import having_few
 from riskloom.operators.users import MIN_CONFIDENT_ITEMS, fallback_scores, score_users
 from riskloom.schemas import HISTORY, POST, USERS
 from riskloom.sources import readers, writers
@@ -62,7 +62,8 @@ class RunConfig:
 def collect(listing_pages: DataFrame, cfg: RunConfig) -> DataFrame:
     """Newest posts of the configured groups within the budgets."""
     wanted = listing_pages.where(F.col("group_name").isin(*cfg.groups))
-    posts = in_groups(extract_posts(usable_pages(wanted, ["group_name"])), cfg.groups)
+    usable = usable_keys(wanted, ["group_name"])
+    posts = in_groups(extract_posts(wanted, usable=usable), cfg.groups)
     ranked = newest_per_group(posts, "subreddit", cfg.per_group)
     return global_budget(ranked, "subreddit", cfg.groups, cfg.per_group, cfg.total).select(
         *POST.names
@@ -81,11 +82,9 @@ def collect_job(
 
 def fetch_history(user_pages: DataFrame, authors: DataFrame, cfg: RunConfig) -> DataFrame:
     """Budgeted recent items of ``authors`` from landed user pages."""
-    wanted = having(user_pages, authors, ["username"], ["url"])
-    oldest = cutoff(cfg.as_of, cfg.lookback_days)
-    items = extract_items(
-        usable_pages(wanted, ["username", "kind"]), oldest if cfg.stop_at_old else None
-    )
+    wanted = having_few(user_pages, authors, ["username"], ["url"])
+    oldest = cutoff(cfg.as_of, cfg.lookback_days) if cfg.stop_at_old else None
+    items = extract_items(wanted, oldest, usable=usable_keys(wanted, ["username", "kind"]))
     return split_budget(lookback(items, cfg.as_of, cfg.lookback_days), cfg.max_items)
 
 

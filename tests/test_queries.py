@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from bindings import tables
 from riskloom.operators import posts, select, users
+from riskloom.plans import jobs
 from tools.compare import database, rows
 
 SF = "/root/testdata/sf0.001"
@@ -80,3 +81,16 @@ def test_no_cross_joins_and_no_global_windows(spark, name):
     text = plan(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "SinglePartition" not in text or "Window" not in text
+
+
+def test_collecting_parses_each_page_once_and_shuffles_no_page(spark):
+    listing = spark.createDataFrame(
+        [("g", 1, "u", "<div class='thing'>", 200, 1)],
+        "group_name string, page_no int, url string, html string, status int, attempt int",
+    )
+    df = jobs.collect(listing, jobs.RunConfig(dt.datetime(2024, 1, 1), groups=("g",)))
+    text = plan(df)
+    assert text.count("ArrowEvalPython") == 1
+    shuffled = df._jdf.queryExecution().optimizedPlan().toString()
+    above_parse = shuffled[: shuffled.index("ArrowEvalPython")]
+    assert "html" not in above_parse
