@@ -157,7 +157,10 @@ def listing_pages(posts: DataFrame) -> DataFrame:
 
 def user_pages(items: DataFrame) -> DataFrame:
     """A landed user page around each history item."""
-    moment = F.date_format(F.timestamp_seconds(F.col("created_utc")), "yyyy-MM-dd'T'HH:mm:ss")
+    moment = F.expr(
+        "date_format(timestampadd(SECOND, cast(created_utc as bigint), "
+        "TIMESTAMP_NTZ'1970-01-01 00:00:00'), \"yyyy-MM-dd'T'HH:mm:ss\")"
+    )
     html = F.concat(
         F.lit("<div class='thing comment' id='t1_"),
         F.replace("id", F.lit(":"), F.lit("-")),

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.model import DEFAULT_MODEL, RiskModel
@@ -73,10 +73,11 @@ def collect(listing_pages: DataFrame, cfg: RunConfig) -> DataFrame:
 def collect_job(
     spark: SparkSession, listing_pages: DataFrame, out: str, cfg: RunConfig
 ) -> DataFrame:
-    """Landed listing pages -> ``out`` (JSON lines beside the Parquet table)."""
+    """Landed listing pages -> ``out``: table, JSON lines, posts per group."""
     collect(listing_pages, cfg).write.mode("overwrite").parquet(f"{out}/table")
     posts = read_table(spark, f"{out}/table")
     writers.write_posts(posts, f"{out}/json")
+    report.posts_per_group(posts).write.mode("overwrite").json(f"{out}/groups")
     return posts
 
 
@@ -102,6 +103,7 @@ def enrich_job(
     """
     fetched = unique_authors(posts)
     if known is not None:
+        report.author_coverage(fetched, known[0]).write.mode("overwrite").json(f"{out}/coverage")
         fetched = authors_to_fetch(fetched, known[0])
     fetched.write.mode("overwrite").parquet(f"{out}/fetched")
     new_users = spark.read.schema(USERS).parquet(f"{out}/fetched")
@@ -119,9 +121,12 @@ def score_posts_job(
     out: str,
     cfg: RunConfig,
     profiles: DataFrame | None = None,
-    observation=None,
+    observation: Observation | None = None,
 ) -> DataFrame:
-    """Scored posts as a Parquet table, JSON lines, CSV, and two reports."""
+    """Scored posts as a Parquet table, JSON lines, CSV, and two reports.
+
+    An ``observation`` receives ``posts_scored`` without another pass.
+    """
     language = None if profiles is None else detector(profiles)(F.col("_text"))
     scored = scored_records(posts, cfg.model, language)
     if observation is not None:
@@ -144,10 +149,16 @@ def score_users_job(
     scored_posts: DataFrame | None,
     out: str,
     cfg: RunConfig,
+    observation: Observation | None = None,
 ) -> DataFrame:
-    """User risk as a Parquet table, JSON lines and CSV."""
+    """User risk as a Parquet table, JSON lines and CSV.
+
+    An ``observation`` receives ``users_written`` without another pass.
+    """
     fallback = None if scored_posts is None else fallback_scores(scored_posts)
     scored = score_users(users, items, fallback, cfg.model, cfg.min_confident)
+    if observation is not None:
+        scored = scored.observe(observation, F.count(F.lit(1)).alias("users_written"))
     scored.write.mode("overwrite").parquet(f"{out}/table")
     table = spark.read.parquet(f"{out}/table")
     writers.write_scored_users_csv(table, f"{out}/csv")

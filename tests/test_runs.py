@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from riskloom.operators.pages import extract_posts
 from riskloom.plans import jobs
-from riskloom.schemas import HISTORY
+from riskloom.schemas import HISTORY, POST
 from riskloom.sources import readers
 from riskloom.streaming import flows
 
@@ -71,6 +72,19 @@ def test_enrichment_skips_known_users(spark, landed, tmp_path):
     )
     assert sorted(r.username for r in users.collect()) == ["ann", "bob", "eve", "old", "sam"]
     assert sorted(r.id for r in items.collect()) == ["o", "s1"]
+    (coverage,) = spark.read.json(f"{tmp_path}/h/coverage").collect()
+    assert (coverage.authors, coverage.known, coverage.to_fetch) == (4, 1, 3)
+
+
+def test_observed_counts(spark, tmp_path):
+    cfg = jobs.RunConfig(AS_OF)
+    posts = spark.createDataFrame([("1", "", "g", "a", "t", "kill", 1.0, None)], POST)
+    people = spark.createDataFrame([("a",), ("b",)], "username string")
+    seen, written = Observation(), Observation()
+    scored = jobs.score_posts_job(spark, posts, f"{tmp_path}/p", cfg, observation=seen)
+    none = spark.createDataFrame([], HISTORY)
+    jobs.score_users_job(spark, people, none, scored, f"{tmp_path}/u", cfg, observation=written)
+    assert seen.get == {"posts_scored": 1} and written.get == {"users_written": 2}
 
 
 def test_a_failing_stage_ends_the_run(spark, landed, tmp_path):
