@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.skew import ROWS_PER_SPLIT, having, lacking, lookup, top_per_group
+from riskloom.sources.staging import staged
 
 # The published defaults.
 TARGET_GROUPS = ("news", "worldnews", "politics", "PublicFreakout", "unpopularopinion", "Palestine")
@@ -122,32 +123,27 @@ def newest_first(items: DataFrame, user: str = "username") -> DataFrame:
     return items.orderBy(user, *newest_first_order())
 
 
-def newest_first_rank(
-    items: DataFrame,
-    user: str = "username",
-    bucket_seconds: int = 3600,
-    rows_per_split: int = ROWS_PER_SPLIT,
-) -> DataFrame:
+def newest_first_rank(items: DataFrame, user: str = "username") -> DataFrame:
     """Adds each item's ``rank`` in its user's newest-first order.
 
-    Rank = items of the user in later time buckets + rank within the bucket.
-    No window spans more than one user's bucket or one user's bucket counts.
+    Rows are range-partitioned by user, time and id, and written so that their
+    ranges stay as they are. Rank = the user's rows in earlier ranges + rank
+    within the range. A user may span any number of ranges, whether or not its
+    times differ, and no window holds more than one range.
     """
-    bucketed = items.withColumn("_bucket", F.floor(F.col("created_utc") / bucket_seconds))
-    later = Window.partitionBy(user).orderBy(F.desc("_bucket")).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    order = newest_first_order()
+    ranges = items.repartitionByRange(user, *order).withColumn("_range", F.spark_partition_id())
+    placed = staged(ranges, "ranges")
+    before = Window.partitionBy(user).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        bucketed.groupBy(user, "_bucket")
+        placed.groupBy(user, "_range")
         .agg(F.count("*").alias("_n"))
-        .select(user, "_bucket", F.coalesce(F.sum("_n").over(later), F.lit(0)).alias("_later"))
-    )
-    within = F.row_number().over(Window.partitionBy(user, "_bucket").orderBy(*newest_first_order()))
-    ranked = lookup(
-        bucketed.withColumn("_within", within), offsets, [user, "_bucket"], ["id"], rows_per_split
+        .select(user, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
-    return ranked.withColumn("rank", F.col("_later") + F.col("_within")).drop(
-        "_bucket", "_later", "_within"
+    within = F.row_number().over(Window.partitionBy(user, "_range").orderBy(*order))
+    ranked = placed.withColumn("_within", within).join(offsets, [user, "_range"], "left")
+    return ranked.withColumn("rank", F.col("_before") + F.col("_within")).drop(
+        "_range", "_before", "_within"
     )
 
 
