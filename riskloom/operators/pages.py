@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,17 +12,14 @@ from riskloom.functions.text import empty_to_null
 from riskloom.operators.select import drop_invalid, drop_promoted, prefix_until_old
 from riskloom.operators.skew import ROWS_PER_SPLIT, lookup
 from riskloom.schemas import HISTORY, POST
-from riskloom.sources import listing_html
-
-# Executors need no copy of this package to parse pages.
-cloudpickle.register_pickle_by_value(listing_html)
+from riskloom.sources.listing_html import ATTRIBUTES, TEXTS, parse_listing
 
 MAX_ATTEMPTS = 2
 # Statuses that settle a page at once.
 USABLE = 200
 ABSENT = (403, 404)
 
-_FIELDS = [*listing_html.ATTRIBUTES, "iso_time", *listing_html.TEXTS]
+_FIELDS = [*ATTRIBUTES, "iso_time", *TEXTS]
 _ITEM = T.StructType([T.StructField(name, T.StringType()) for name in _FIELDS])
 PARSED = T.StructType(
     [
@@ -40,7 +36,7 @@ def parse_page(html: pd.Series) -> pd.DataFrame:
     rows = []
     for page in html:
         try:
-            rows.append({**listing_html.parse_listing(page or ""), "error": None})
+            rows.append({**parse_listing(page or ""), "error": None})
         except Exception as error:  # noqa: BLE001 - one bad page must not fail the job
             rows.append({"next": None, "items": [], "error": f"{type(error).__name__}: {error}"})
     return pd.DataFrame(rows, columns=["next", "items", "error"])
