@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from bindings import sql, tables
 from bindings.registry import query
 from riskloom.operators import posts, users
