@@ -9,18 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    Where it is unset, a local master gets a temporary folder (also set as the
-    session's value); any other master is an error, as a machine-local folder
+    Where neither is set, a local master gets a temporary folder for the life
+    of its context; any other master is an error, as a machine-local folder
     would not outlive its machine nor be seen by the others.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="riskloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
