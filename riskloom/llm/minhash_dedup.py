@@ -38,7 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.graph import components
-from riskloom.llm.words import WordHasher, encoded, mix
+from riskloom.llm.rows import map_rows
+from riskloom.llm.words import WordHasher, encoded, mix, sequence_hash
 from riskloom.sources.staging import staged
 
 SHINGLE = 5
@@ -77,32 +78,19 @@ def _multipliers(n: int) -> np.ndarray:
 
 
 def _sign(k: int, n_hashes: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def build():
         hasher, multipliers = WordHasher(), _multipliers(n_hashes)
-        for batch in batches:
-            rows = []
-            for id_, text in zip(batch["id"], batch["text"]):
-                words, grams = shingles(hasher, text, k)
-                if not len(words):
-                    rows.append((id_, 0, None, None, None))
-                    continue
-                powers = mix(np.arange(len(words), dtype=np.uint64) + np.uint64(len(words) << 32))
-                k1 = np.bitwise_xor.reduce(mix(words ^ powers)).view(np.int64)
-                k2 = np.add.reduce(words * (powers | np.uint64(1))).view(np.int64)
-                rows.append((id_, len(grams), k1, k2, signature(grams, multipliers).tobytes()))
-            yield _frame(rows, SIGNED)
 
-    return run
+        def sign(id_, text):
+            words, grams = shingles(hasher, text, k)
+            if not len(words):
+                return id_, 0, None, None, None
+            k1, k2 = sequence_hash(words)
+            return id_, len(grams), k1, k2, signature(grams, multipliers).tobytes()
 
+        return sign
 
-def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
-    names = [c.split()[0] for c in schema.split(", ")]
-    frame = pd.DataFrame(rows, columns=names, dtype=object)
-    for column in schema.split(", "):
-        name, kind = column.split()
-        if kind == "long":
-            frame[name] = frame[name].astype("Int64")
-    return frame
+    return build
 
 
 def _band(bands: int, rows: int):
@@ -195,7 +183,7 @@ def near_duplicates(
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``."""
     percent, n_hashes = round(100 * threshold), bands * rows
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = staged(texts.mapInPandas(_sign(shingle, n_hashes), SIGNED), "signed")
+    signed = staged(map_rows(texts, _sign(shingle, n_hashes), SIGNED), "signed")
     usable = signed.where(F.col("id").isNotNull() & (F.col("n") > 0))
     classes = staged(usable.groupBy("k1", "k2").agg(F.min("id").alias("rep")), "classes")
     first = classes.withColumnRenamed("rep", "id")

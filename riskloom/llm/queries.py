@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import minhash_dedup
+from riskloom.llm import minhash_dedup, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,3 +60,34 @@ FROM sets JOIN best ON best.x = sets.doc_id
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     """One row per document with its near-duplicate component."""
     return minhash_dedup.near_duplicates(table(spark, sf, "documents"))
+
+
+SUBSTRING_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM words WHERE len(w) >= 13),
+keyed AS (SELECT doc_id, i, array_to_string(w[i:i+12], ' ') AS k FROM windows),
+covered AS (
+  SELECT doc_id, unnest(range(i, i + 13)) AS place
+  FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY k) AS first FROM keyed)
+  WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, place FROM covered),
+places AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS place, unnest(w) AS word FROM words WHERE len(w) > 0),
+kept AS (
+  SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.place) AS t, count(*) AS n
+  FROM places p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.place = g.place GROUP BY p.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+
+@query("op8_substring_dedup", SUBSTRING_SQL)
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document, how many words repeat a passage of an earlier one, and a digest of the rest."""
+    docs = table(spark, sf, "documents")
+    left = substring_dedup.without_repeats(docs, substring_dedup.repeated_spans(docs))
+    return left.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )

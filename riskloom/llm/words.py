@@ -74,6 +74,14 @@ class WordHasher:
         return mix(total + np.uint64(k))
 
 
+def sequence_hash(words: np.ndarray) -> tuple[int, int]:
+    """128 bits of a sequence of word hashes, as two longs."""
+    order = mix(np.arange(len(words), dtype=np.uint64) + np.uint64(len(words) << 32))
+    first = np.bitwise_xor.reduce(mix(words ^ order), initial=np.uint64(0))
+    second = np.add.reduce(words * (order | np.uint64(1)), initial=np.uint64(0))
+    return int(first.view(np.int64)), int(second.view(np.int64))
+
+
 def encoded(text: str | None) -> bytes:
     """UTF-8 bytes; b"" for null."""
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
