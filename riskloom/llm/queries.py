@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import minhash_dedup, substring_dedup
+from riskloom.llm import minhash_dedup, substring_dedup, top_products
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,3 +91,30 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     return left.select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+TOP_SQL = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum([q.e[i] * c.e[i] FOR i IN range(1, len(q.e) + 1)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op1_top_products", TOP_SQL)
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    """The five largest integer products for every fiftieth vector."""
+    vectors = table(spark, sf, "embeddings").select(
+        F.col("vec_id").cast("long"), top_products.scaled("embedding", 256.0).alias("vec")
+    )
+    asked = vectors.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    return top_products.top_products(asked, vectors, k=5)
