@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import minhash_dedup, substring_dedup, top_products
+from riskloom.llm import minhash_dedup, mixing, substring_dedup, top_products
+from riskloom.llm.words import word_count
+from riskloom.sources.staging import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,3 +120,19 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     )
     asked = vectors.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
     return top_products.top_products(asked, vectors, k=5)
+
+
+@query("op9_mix_sources")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    """Words taken of each document in a mix of sources by weight."""
+    sized = staged(
+        table(spark, sf, "documents").select("doc_id", "source", word_count("text").alias("size")),
+        "sized",
+    )
+    return mixing.with_copies(sized).select(
+        "doc_id",
+        "size",
+        F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        (F.col("_copies") * F.col("size")).alias("taken"),
+    )
