@@ -18,7 +18,12 @@ No bucket is expanded into all its pairs: its members are first compared with
 one hub, and after closing the links, only members of *different* components
 remain to be compared, with further hubs and finally with each other. A pair
 inside one component can't change the result, so no link between components is
-lost to this.
+lost to this. Before that, documents leave whose shingles are so often their
+own alone that no other document can reach the threshold. In buckets that stay
+crowded even so (many edited copies of one text, each too far from most others)
+members are compared in square blocks of bounded size: a task holds two blocks,
+prunes by signatures, verifies by one product of incidence matrices, and hands
+on no more links than it has rows.
 
 Each row of the input gives one row. Null texts, empty texts and texts without
 words have no shingles and are linked with nothing; with fewer words than a
@@ -34,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.graph import components
@@ -51,7 +56,11 @@ BATCH = 40
 # Chance of dropping a pair that reaches the threshold, for each batch.
 MISS = 1e-6
 # Rounds in which buckets are compared with one hub before all that is left.
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
+# Open buckets with more members are compared in blocks of that many rows.
+CROWD, BLOCK = 64, 512
+# Shingles of a block pair that are multiplied at a time.
+COLUMNS = 4096
 # Most ids that are broadcast, once counted.
 BROADCAST_IDS = 1_000_000
 
@@ -204,39 +213,19 @@ def near_duplicates(
         ),
         "sets",
     )
-    prune = _prune(n_hashes, BATCH, least_matches(n_hashes, BATCH, threshold, miss))
+    least = least_matches(n_hashes, BATCH, threshold, miss)
+    prune = _prune(n_hashes, BATCH, least)
 
     comp = tested = None
     for number in range(hub_rounds + 1):
-        members = buckets.withColumn("comp", F.col("id"))
-        if comp is not None:
-            members = buckets.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        # Buckets whose members are not yet all in one component, each with another hub per round.
-        turn = F.xxhash64("id", F.lit(number)) if number else F.col("id")
-        open_ = (
-            members.groupBy("bucket")
-            .agg(
-                F.min("comp").alias("low"),
-                F.max("comp").alias("high"),
-                F.min(F.struct(turn.alias("turn"), "id", "comp", "n")).alias("hub"),
-            )
-            .where("low < high")
-        )
+        if number == 1:
+            alone = _alone(sets, _open(buckets, comp).select("id").distinct(), percent)
+            buckets = staged(buckets.join(alone, "id", "left_anti"), "buckets")
         if number < hub_rounds:
-            others = open_.select("bucket", "hub.id", "hub.comp", "hub.n")
+            pairs, crowded = _hub_pairs(buckets, comp, number, percent), None
         else:
-            others = members = staged(members.join(open_.select("bucket"), "bucket"), "members")
-        others = others.toDF(*(c if c == "bucket" else f"{c}2" for c in others.columns))
-        apart = F.col("comp") != F.col("comp2")
-        if number == hub_rounds:
-            apart = F.col("comp") < F.col("comp2")
-        alike = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
-        pairs = (
-            members.join(others, "bucket")
-            .where(apart & alike)
-            .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))
-            .distinct()
-        )
+            members = staged(_open(buckets, comp), "members")
+            pairs, crowded = _all_pairs(members, percent), _crowded(members)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
@@ -244,12 +233,14 @@ def near_duplicates(
         left = reps.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"))
         right = reps.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"))
         alive = pairs.join(left, "a").join(right, "b").mapInPandas(prune, "a long, b long")
-        links = staged(_verified(alive, sets, percent), "verified")
-        if links.isEmpty():
-            if pairs.isEmpty():
-                break
-            continue
-        comp = _merged(comp, links)
+        links = _verified(alive, sets, percent)
+        if crowded is not None:
+            held = crowded.join(reps.select("id", "sig"), "id").join(sets, "id")
+            blocks = _squares(held).groupBy("bucket", "i", "j")
+            links = links.union(blocks.applyInPandas(_linked(n_hashes, least, percent), "a long, b long"))
+        links = staged(links, "verified")
+        if not links.isEmpty():
+            comp = _merged(comp, links)
     labels = classes.select("k1", "k2", F.col("rep").alias("id"))
     if comp is None:
         labels = labels.withColumn("component_id", F.col("id"))
@@ -269,6 +260,169 @@ def near_duplicates(
     )
 
 
+def _with_component(buckets: DataFrame, comp: DataFrame | None) -> DataFrame:
+    if comp is None:
+        return buckets.withColumn("comp", F.col("id"))
+    return buckets.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+
+
+def _open(buckets: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """Members of buckets whose members are not all in one component."""
+    members = _with_component(buckets, comp)
+    ends = members.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    return members.join(ends.where("low < high").select("bucket"), "bucket")
+
+
+def _hub_pairs(
+    buckets: DataFrame, comp: DataFrame | None, number: int, percent: int
+) -> DataFrame:
+    """(a, b): members of open buckets with one member of another component as hub.
+
+    The first hub is the smallest id, later ones follow a hash of id and round.
+    """
+    members = _with_component(buckets, comp)
+    turn = F.xxhash64("id", F.lit(number)) if number else F.col("id")
+    hubs = (
+        members.groupBy("bucket")
+        .agg(
+            F.min("comp").alias("low"),
+            F.max("comp").alias("high"),
+            F.min(F.struct(turn.alias("turn"), "id", "comp", "n")).alias("hub"),
+        )
+        .where("low < high")
+        .select("bucket", "hub.id", "hub.comp", "hub.n")
+    )
+    return _pairs(members, hubs, F.col("comp") != F.col("comp2"), percent)
+
+
+def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs across components in buckets of at most CROWD open members."""
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
+    few = staged(members.join(sizes.where(F.col("size") <= CROWD), "bucket").drop("size"), "few")
+    return _pairs(few, few, F.col("comp") < F.col("comp2"), percent)
+
+
+def _pairs(members: DataFrame, others: DataFrame, apart: Column, percent: int) -> DataFrame:
+    others = others.select(
+        "bucket", *(F.col(c).alias(f"{c}2") for c in ("id", "comp", "n"))
+    )
+    alike = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
+    return (
+        members.join(others, (members["bucket"] == others["bucket"]) & apart & alike)
+        .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))
+        .distinct()
+    )
+
+
+def _crowded(members: DataFrame) -> DataFrame:
+    """Members of larger buckets with the number of blocks of their bucket."""
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
+    crowds = sizes.where(F.col("size") > CROWD).select(
+        "bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")
+    )
+    return members.join(crowds, "bucket")
+
+
+def _squares(members: DataFrame) -> DataFrame:
+    """Each member once for every pair (i, j) of blocks that its block is in."""
+    block = F.pmod(F.xxhash64("id", "bucket"), "blocks").cast("int")
+    return (
+        members.withColumn("block", block)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("i", F.least("block", "other"))
+        .withColumn("j", F.greatest("block", "other"))
+        .select("bucket", "i", "j", "block", "id", "comp", "n", "sig", "grams")
+    )
+
+
+def _linked(n_hashes: int, least: list[int], percent: int):
+    """Links between two blocks: enough of those that verify to join what they join."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        i, j = rows["i"].iloc[0], rows["j"].iloc[0]
+        left, right = rows[rows["block"] == i], rows[rows["block"] == j]
+        n, m = (x["n"].to_numpy(np.int64) for x in (left, right))
+        small, large = np.minimum.outer(n, m), np.maximum.outer(n, m)
+        alive = np.not_equal.outer(left["comp"].to_numpy(), right["comp"].to_numpy())
+        alive &= 100 * small >= percent * large
+        if i == j:
+            alive &= np.less.outer(left["id"].to_numpy(), right["id"].to_numpy())
+        a, b = (
+            np.frombuffer(b"".join(x["sig"]), np.uint32).reshape(-1, n_hashes).T.copy()
+            for x in (left, right)
+        )
+        matches = np.zeros(alive.shape, np.int16)
+        batch = n_hashes // len(least)
+        for step, fewest in enumerate(least):
+            if not alive.any():
+                break
+            for h in range(step * batch, (step + 1) * batch):
+                matches += np.equal.outer(a[h], b[h])
+            alive &= matches >= fewest
+        if alive.any():
+            common = _common(left["grams"].tolist(), right["grams"].tolist())
+            alive &= 100 * common >= percent * (np.add.outer(n, m) - common)
+        at, to = np.nonzero(alive)
+        ends = left["id"].to_numpy()[at], right["id"].to_numpy()[to]
+        parts = left["comp"].to_numpy()[at], right["comp"].to_numpy()[to]
+        keep, root = [], {}
+
+        def find(x: int) -> int:
+            while root.get(x, x) != x:
+                root[x] = root.get(root[x], root[x])
+                x = root[x]
+            return x
+
+        for k, (x, y) in enumerate(zip(*parts)):
+            x, y = find(x), find(y)
+            if x != y:
+                root[x] = y
+                keep.append(k)
+        return pd.DataFrame({"a": ends[0][keep], "b": ends[1][keep]}, dtype=np.int64)
+
+    return run
+
+
+def _common(left: list, right: list) -> np.ndarray:
+    """Sizes of the intersections of all sets on the left with all on the right."""
+    sets = [np.asarray(x, np.int64) for x in (*left, *right)]
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    token, at, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.cumsum(holders > 1) - 1
+    keep = holders[at] > 1
+    owner, at = owner[keep], shared[at[keep]]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, int((holders > 1).sum()), COLUMNS):
+        here = (at >= start) & (at < start + COLUMNS)
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[owner[here], at[here] - start] = 1
+        out += held[: len(left)] @ held[len(left) :].T
+    return out.astype(np.int64)
+
+
+def _alone(sets: DataFrame, ids: DataFrame, percent: int) -> DataFrame:
+    """Ids among ``ids`` that no other of them can be linked with.
+
+    Shingles that no other set holds are in no intersection but in every union.
+    """
+    held = sets.join(ids, "id", "left_semi")
+    own = (
+        held.select("id", F.explode("grams").alias("gram"))
+        .groupBy("gram")
+        .agg(F.count("*").alias("holders"), F.min("id").alias("id"))
+        .where("holders = 1")
+        .groupBy("id")
+        .agg(F.count("*").alias("own"))
+    )
+    size = F.size("grams")
+    return (
+        held.select("id", size.alias("size"))
+        .join(own, "id")
+        .where(100 * (F.col("size") - F.col("own")) < percent * F.col("size"))
+        .select("id")
+    )
+
+
 def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``texts`` with an id in ``ids``; texts stay in place where ids are few."""
     ids = staged(ids, "ids")
