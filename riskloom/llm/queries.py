@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import minhash_dedup, mixing, substring_dedup, top_products
+from riskloom.llm import (
+    labelled,
+    minhash_dedup,
+    mixing,
+    quality_gam,
+    substring_dedup,
+    top_products,
+)
 from riskloom.llm.words import word_count
 from riskloom.sources.staging import staged
 
@@ -136,3 +143,19 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
         F.col("_target").alias("target"),
         (F.col("_copies") * F.col("size")).alias("taken"),
     )
+
+
+def judged(docs: DataFrame, score: Column, folds: int, held: int) -> DataFrame:
+    """(doc_id, held_out, score, predicted)."""
+    held_out = F.coalesce(labelled.fold("doc_id", folds) == held, F.lit(False))
+    return docs.select("doc_id", held_out.alias("held_out"), score.alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.3).cast("int")
+    )
+
+
+@query("op10_quality_classifier")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality of every document, learned from labels outside the held-out fold."""
+    docs = table(spark, sf, "documents")
+    model = quality_gam.train(docs, table(spark, sf, "labels"), labelled.fold("doc_id", 5) != 0)
+    return judged(docs, model.column("text"), 5, 0)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,3 +17,16 @@ def few_or_shuffled(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``rows`` as a written table, marked for broadcast if counted to be few."""
     rows = staged(rows, "rows")
     return F.broadcast(rows) if rows.count() <= limit else rows
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``staged``, after which the shuffle files that made the table may go.
+
+    Spark's cleaner removes the files of a finished job once the driver's JVM
+    has collected the objects that stood for them. A quiet driver may take half
+    an hour to do so, while the executors' disks fill; this asks for it now.
+    """
+    table = staged(df, name)
+    gc.collect()
+    df.sparkSession._jvm.java.lang.System.gc()
+    return table
