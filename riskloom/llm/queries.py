@@ -14,6 +14,7 @@ from riskloom.llm import (
     quality_gam,
     substring_dedup,
     top_products,
+    toxicity,
 )
 from riskloom.llm.words import word_count
 from riskloom.sources.staging import staged
@@ -159,3 +160,11 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = quality_gam.train(docs, table(spark, sf, "labels"), labelled.fold("doc_id", 5) != 0)
     return judged(docs, model.column("text"), 5, 0)
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity of every document, learned from labels outside the held-out fold."""
+    docs = table(spark, sf, "documents")
+    model = toxicity.train(docs, table(spark, sf, "labels"), labelled.fold("doc_id", 4) != 2)
+    return judged(docs, model.column("text"), 4, 2)
