@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import (
+    fingerprints,
     labelled,
     minhash_dedup,
     mixing,
@@ -168,3 +169,9 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = toxicity.train(docs, table(spark, sf, "labels"), labelled.fold("doc_id", 4) != 2)
     return judged(docs, model.column("text"), 4, 2)
+
+
+@query("op5_fingerprints")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.against_edited(table(spark, sf, "documents"))
