@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.llm import (
     fingerprints,
     labelled,
+    line_dedup,
     minhash_dedup,
     mixing,
     quality_gam,
@@ -175,3 +176,41 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return fingerprints.against_edited(table(spark, sf, "documents"))
+
+
+LINES_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
+hashed AS (
+  SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM lines),
+rolled AS (
+  SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS u FROM hashed),
+ends AS (
+  SELECT *, (u + 31 * coalesce(lag(u) OVER w, 0)) % 3 = 0 AS cut FROM rolled
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (
+  SELECT *, coalesce(sum(CAST(cut AS INTEGER)) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
+  FROM ends),
+chunks AS (
+  SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS t, count(*) AS n
+  FROM numbered GROUP BY doc_id, chunk),
+placed AS (
+  SELECT *, n > 1 AND row_number() OVER (PARTITION BY t, n > 1 ORDER BY doc_id, chunk) > 1 AS gone FROM chunks)
+SELECT d.doc_id, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_lines,
+  CAST(coalesce(sum(n) FILTER (gone), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(string_agg(t, chr(10) ORDER BY chunk) FILTER (NOT gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN placed p ON p.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@query("op2_line_dedup", LINES_SQL)
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document, how many lines lie in repeated chunks, and a digest of the rest."""
+    cut = line_dedup.without_repeated_chunks(table(spark, sf, "documents"))
+    return cut.select(
+        "doc_id",
+        F.col("_kept.lines").alias("n_lines"),
+        F.col("_kept.removed").alias("n_removed"),
+        F.sha2(F.coalesce(F.col("_kept.text"), F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
