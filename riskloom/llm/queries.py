@@ -14,6 +14,7 @@ from riskloom.llm import (
     minhash_dedup,
     mixing,
     quality_gam,
+    sentencepiece_tokens,
     substring_dedup,
     top_products,
     toxicity,
@@ -214,3 +215,17 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
         F.col("_kept.removed").alias("n_removed"),
         F.sha2(F.coalesce(F.col("_kept.text"), F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+@query("op4_sentencepiece")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of every document, whether they decode to its text and agree with the library's."""
+    found = sentencepiece_tokens.with_tokens(table(spark, sf, "documents"))
+    ids = F.col("_tokens.ids")
+    return found.select(
+        "doc_id",
+        F.coalesce(F.size(ids), F.lit(0)).alias("n_tokens"),
+        F.xxhash64(ids).alias("ids_hash"),
+        (F.col("_tokens.decoded") == F.col("text")).alias("round_trip"),
+        F.col("_tokens.parity").alias("parity"),
+    )
