@@ -68,4 +68,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.staged_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that :func:`staged` wrote, once nothing reads them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        target = spark._jvm.org.apache.hadoop.fs.Path(table.staged_path)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        target.getFileSystem(conf).delete(target, True)
