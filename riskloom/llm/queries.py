@@ -18,6 +18,7 @@ from riskloom.llm import (
     substring_dedup,
     top_products,
     toxicity,
+    url_filter,
 )
 from riskloom.llm.words import word_count
 from riskloom.sources.staging import staged
@@ -229,3 +230,16 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("_tokens.decoded") == F.col("text")).alias("round_trip"),
         F.col("_tokens.parity").alias("parity"),
     )
+
+
+@query("op6_url_filter")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    return url_filter.judged(pages).select(
+        "page_id",
+        F.col("_host").alias("host"),
+        F.col("_path").alias("path"),
+        F.col("_rule.rule").alias("rule"),
+        F.col("_verdict").alias("verdict"),
+    )
