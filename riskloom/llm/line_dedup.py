@@ -11,6 +11,9 @@ Chunks are first matched by 128-bit hashes, without their texts. Only repeated
 ones are read again and grouped by their bytes. A hash that stands for different
 bytes removes nothing.
 
+Texts of documents with repeated chunks are sorted to their chunk lists at every
+size; those of other documents stay in place while the ids of the former are few.
+
 Lines end at line feeds. Null texts stay null and have no lines; an empty text is
 one empty line. A text all of whose chunks go becomes empty and its row stays.
 Rows with a null id are only compared within themselves; rows that share an id
@@ -135,7 +138,7 @@ def without_repeated_chunks(
     some = few_or_shuffled(found.select("id").distinct())
     firsts = (
         texts.join(some, "id", "left_semi")
-        .join(asked, "id")
+        .join(asked.hint("merge"), "id")
         .mapInPandas(_bytes, "id long, h binary, chunk binary")
         .groupBy("h", "chunk")
         .agg(F.min("id").alias("first"))
@@ -147,7 +150,7 @@ def without_repeated_chunks(
         found.join(firsts, "h")
         .where(F.col("id") > F.col("first"))
         .groupBy("id")
-        .agg(F.collect_list("h").alias("gone")),
+        .agg(F.collect_list("h").alias("_gone")),
         "gone",
     )
     own = F.col(id_col).cast("long").alias("_id")
@@ -155,9 +158,9 @@ def without_repeated_chunks(
     docs = docs.select("*", own)
     rows = (
         docs.join(cut, "_id", "left_semi")
-        .join(gone.withColumnRenamed("id", "_id"), "_id")
+        .join(gone.withColumnRenamed("id", "_id").hint("merge"), "_id")
         .unionByName(
-            docs.join(cut, "_id", "left_anti").withColumn("gone", F.lit(None).cast("array<binary>"))
+            docs.join(cut, "_id", "left_anti").withColumn("_gone", F.lit(None).cast("array<binary>"))
         )
     )
-    return rows.withColumn("_kept", kept(text_col, "gone")).drop("_id", "gone")
+    return rows.withColumn("_kept", kept(text_col, "_gone")).drop("_id", "_gone")
