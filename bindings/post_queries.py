@@ -132,9 +132,10 @@ for _model in tables.MODELS:
     f"""{DOC_TEXT}, lex AS (SELECT DISTINCT lower(r) AS term FROM (
         SELECT unnest(regexp_extract_all(p_name, '{sql.WORD}+')) AS r FROM part
         UNION ALL SELECT unnest(regexp_extract_all(text, '{sql.WORD}+')) FROM benchmark)),
-    k AS (SELECT id, unnest({sql.tokens('full_text')}) AS term FROM t)
-    SELECT id, count(*) AS hit_count, array_to_string(list_sort(list_distinct(list(term))), ' ') AS terms
-    FROM k JOIN lex USING (term) GROUP BY id""",
+    k AS (SELECT id, unnest({sql.tokens('full_text')}) AS term FROM t),
+    f AS (SELECT id, count(*) AS n, array_to_string(list_sort(list_distinct(list(term))), ' ') AS terms
+      FROM k JOIN lex USING (term) GROUP BY id)
+    SELECT id, coalesce(n, 0) AS hit_count, coalesce(terms, '') AS terms FROM t LEFT JOIN f USING (id)""",
 )
 def large_lexicon(spark, sf):
     """A vocabulary taken from tables: words of part names and benchmark items."""

@@ -12,7 +12,7 @@ from bindings.select_queries import budget_sql
 from bindings.source_queries import EXTRACTED, SCORED
 from riskloom.operators.select import cutoff
 from riskloom.plans import jobs
-from riskloom.sources.staging import fresh_path, spread_if_small
+from riskloom.sources.staging import fresh_path
 from riskloom.streaming import flows
 
 GROUPS = ("src3", "src1", "src17", "src0", "src9", "src5")
@@ -119,7 +119,7 @@ def score_users(spark, sf):
     f"WITH {sql.POSTS}, {sql.ITEMS}, {COLLECTED}, {ENRICHED}, {risk_sql('authors', 'budgeted', 'collected')}",
 )
 def full_run(spark, sf):
-    """Landed pages in, user risk out; language profiles trained on the corpus."""
+    """Landed pages in, user risk out; posts keep the language unknown without profiles."""
     return jobs.full_run(
         spark, listing_pages(spark, sf), user_pages(spark, sf), fresh_path(spark, "j5"), CONFIG
     )
@@ -129,7 +129,7 @@ def table_stream(spark, sf, name):
     # A glob, as a stream's plain path must be a folder and a table may be one file.
     path = f"{sf}/{name}.parquet"
     stream = flows.stream_table(spark, f"{sf}/{name}*.parquet", spark.read.parquet(path).schema)
-    return spread_if_small(stream, path) if name in tables.TEXT_TABLES else stream
+    return tables.dealt(stream) if name in tables.TEXT_TABLES else stream
 
 
 @query(
@@ -177,14 +177,14 @@ def deduplicated(spark, sf):
     s AS (SELECT username, window_start, {sql.stats()} FROM w GROUP BY ALL),
     c AS (SELECT *, window_start + 864000 AS window_end, {sql.USER_SCORE} AS score FROM s)
     SELECT username, window_start, window_end, max_post_score, average_score, count_high_posts, total_posts,
-      score, {sql.label('score')} AS label FROM c
-    WHERE window_end <= (SELECT max(epoch_ms(ts)) / 1e3 - 86400 FROM events)""",
+      score, {sql.label('score')} AS label FROM c""",
 )
 def rolling_user_risk(spark, sf):
-    """The windows closed by the watermark, one day behind the newest event."""
-    closed = flows.drain(spark, flows.rolling_user_risk(event_stream(spark, sf)), "t3")
+    """All windows, those still open at the newest event as they stand."""
+    risk = flows.rolling_user_risk(event_stream(spark, sf))
+    latest = flows.drain_updates(spark, risk, ["window_start", "window_end", "username"], "t3")
     times = {c: F.unix_seconds(c) for c in ("window_start", "window_end")}
-    return closed.withColumns(times)
+    return latest.withColumns(times)
 
 
 @query(
@@ -193,12 +193,14 @@ def rolling_user_risk(spark, sf):
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id % 4 DESC, event_id DESC) = 1""",
 )
 def upsert(spark, sf):
-    """Four deliveries one after the other; a user's row in a later one wins."""
+    """Four deliveries, each over several files; a user's row in a later one wins."""
     landing = fresh_path(spark, "t4-landing")
     rows = tables.read(spark, sf, "events").select("user_id", "event_id", "value")
-    for delivery in range(4):
-        rows.where(F.col("event_id") % 4 == delivery).write.mode("append").parquet(landing)
-    # A delivery may be many files; one that is split over batches gives the same,
-    # as its rows compete by event_id within a batch and arrive in that order.
-    stream = flows.stream_table(spark, landing, rows.schema, maxFilesPerTrigger=1)
-    return flows.upsert_stream(spark, stream, "user_id", "event_id", fresh_path(spark, "t4"))
+    landed = rows.withColumn("delivery", F.col("event_id") % 4)
+    landed.repartition(8, F.xxhash64("event_id")).write.parquet(landing)
+    # The files of all deliveries arrive one by one in no order.
+    stream = flows.stream_table(spark, landing, landed.schema, maxFilesPerTrigger=3)
+    last = flows.upsert_stream(
+        spark, stream, "user_id", "event_id", fresh_path(spark, "t4"), delivery="delivery"
+    )
+    return last.drop("delivery")

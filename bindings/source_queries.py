@@ -97,14 +97,20 @@ def raw_posts(spark, sf):
 @query(
     "s6_nested_history",
     f"""WITH {sql.USERS}, {sql.ITEMS}
-    SELECT username, count(id) AS items, coalesce(first(id ORDER BY created_utc DESC, id) FILTER (id IS NOT NULL), '') AS newest
-    FROM users LEFT JOIN items USING (username) GROUP BY username""",
+    SELECT username, coalesce((r - 1) // 7, 0) AS part, coalesce((r - 1) % 7, -1) AS place, coalesce(id, '') AS id,
+      coalesce(text, '') AS text
+    FROM users LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY username ORDER BY created_utc DESC, id) AS r
+      FROM items) USING (username)""",
 )
 def nested_history(spark, sf):
-    nested = writers.nest_history(tables.users(spark, sf), tables.items(spark, sf))
-    newest = F.coalesce(F.get("items", F.lit(0))["id"], F.lit(""))
-    return nested.select(
-        "username", F.size("items").cast("long").alias("items"), newest.alias("newest")
+    """Every item with its part and its place in it, seven to a part."""
+    nested = writers.nest_history(tables.users(spark, sf), tables.items(spark, sf), 7)
+    return nested.select("username", "part", F.posexplode_outer("items").alias("place", "item")).select(
+        "username",
+        F.col("part").cast("long").alias("part"),
+        F.coalesce("place", F.lit(-1)).cast("long").alias("place"),
+        F.coalesce("item.id", F.lit("")).alias("id"),
+        F.coalesce("item.text", F.lit("")).alias("text"),
     )
 
 

@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.model import DEFAULT_MODEL, RiskModel
-from riskloom.sources.staging import read_table
-
 # The test corpus is invented prose that the default vocabulary hardly meets.
 # This model uses words the corpus has, so that every rule is exercised.
 CALIBRATED = RiskModel(
@@ -24,12 +22,19 @@ EPOCH = 1704067200  # 2024-01-01 UTC
 AS_OF = dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)
 
 
+# The test tables are single files of one row group. Those with texts are dealt out to
+# that many tasks per core before CPU-heavy work, whatever their size.
 TEXT_TABLES = ("documents", "conversations", "pages")
+TASKS_PER_CORE = 3
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE)
 
 
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    path = f"{sf}/{name}.parquet"
-    return read_table(spark, path) if name in TEXT_TABLES else spark.read.parquet(path)
+    table = spark.read.parquet(f"{sf}/{name}.parquet")
+    return dealt(table) if name in TEXT_TABLES else table
 
 
 def micros(ts: str) -> Column:

@@ -106,7 +106,10 @@ def post_explanation(
     all_caps: Column,
     density: Column,
 ) -> Column:
-    """Human-readable reasons, joined by ``"; "``."""
+    """Human-readable reasons, joined by ``"; "``.
+
+    Fixed values: the names, brackets and sentences below are part of the format.
+    """
 
     def terms(name: str, hits: Column) -> Column:
         shown = F.array_join(F.slice(distinct_terms(hits), 1, 5), ", ")

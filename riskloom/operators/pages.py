@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from riskloom.functions import normalize as nz
 from riskloom.functions.text import empty_to_null
 from riskloom.operators.select import drop_invalid, drop_promoted, prefix_until_old
-from riskloom.operators.skew import ROWS_PER_SPLIT, lookup
+from riskloom.operators.skew import BROADCAST_KEYS, having_few
 from riskloom.schemas import HISTORY, POST
 from riskloom.sources.listing_html import ATTRIBUTES, TEXTS, parse_listing
 
@@ -46,14 +46,15 @@ def usable_keys(
     pages: DataFrame,
     listing: list[str] | None = None,
     max_attempts: int = MAX_ATTEMPTS,
-    rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
     """(url, attempt) of the page rows a crawl would have used.
 
     Attempts of a url are taken in order: status 200 is usable, 403 and 404
     mean absent, anything else goes to the next attempt, and a url without a
     usable attempt is absent. With ``listing`` (its key columns) given, pages
-    after an absent one of the same listing (by ``page_no``) go too.
+    after an absent one of the same listing (by ``page_no``) go too, and the
+    listing's columns and ``page_no`` are part of the result: a url may be in
+    several listings.
 
     Page bodies are not read.
     """
@@ -65,23 +66,28 @@ def usable_keys(
         .withColumn("_usable", F.coalesce(F.col("_first.status") == USABLE, F.lit(False)))
     )
     usable = outcome.where("_usable")
+    keys = ["url"]
     if listing:
+        keys = ["url", *listing, "page_no"]
         absent = outcome.where(~F.col("_usable"))
         first_absent = absent.groupBy(*listing).agg(F.min("page_no").alias("_absent"))
-        marked = lookup(usable, first_absent, listing, ["url"], rows_per_split)
+        marked = usable.join(first_absent, listing, "left")
         usable = marked.where("_absent is null or page_no < _absent")
-    return usable.select("url", F.col("_first.attempt").alias("attempt"))
+    return usable.select(*keys, F.col("_first.attempt").alias("attempt"))
 
 
 def usable_pages(
     pages: DataFrame,
     listing: list[str] | None = None,
     max_attempts: int = MAX_ATTEMPTS,
-    rows_per_split: int = ROWS_PER_SPLIT,
+    broadcast_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
-    """The page rows of :func:`usable_keys`, joined once by their unique key."""
-    chosen = usable_keys(pages, listing, max_attempts, rows_per_split)
-    return _tried(pages).join(chosen, ["url", "attempt"], "left_semi")
+    """The page rows of :func:`usable_keys`, joined once by their unique key.
+
+    Keys are counted first; up to the limit they are broadcast and bodies stay.
+    """
+    chosen = usable_keys(pages, listing, max_attempts)
+    return having_few(_tried(pages), chosen, chosen.columns, broadcast_keys)
 
 
 def _tried(pages: DataFrame) -> DataFrame:
@@ -93,25 +99,43 @@ def next_link(html: Column) -> Column:
     return parse_page(html)["next"]
 
 
+def parsed_pages(pages: DataFrame) -> DataFrame:
+    """``pages`` with ``_items`` and ``error`` in place of ``html``.
+
+    Pages without the class name anywhere cannot hold an item and are not sent
+    to Python; their rows stay, as a crawl's outcome depends on them.
+    """
+    held = (F.col("status") == USABLE) & F.col("html").contains("thing")
+    body = F.when(held, F.col("html"))
+    return (
+        pages.withColumn("_page", parse_page(body))
+        .withColumns({"_items": F.col("_page.items"), "error": F.col("_page.error")})
+        .drop("html", "_page")
+    )
+
+
 def raw_items(pages: DataFrame, *keep: str, usable: DataFrame | None = None) -> DataFrame:
     """One row per ``div.thing``: ``keep`` columns, position and raw fields.
 
-    Pages without the class name anywhere cannot hold an item and are dropped
-    before they would be sent to Python. Pages are restricted to ``usable``
-    (url, attempt) only after parsing, as items are smaller to shuffle than
-    page bodies.
+    ``pages`` are landed or parsed. Landed pages without the class name anywhere
+    are dropped before they would be sent to Python. Pages are restricted to
+    ``usable`` only after parsing, as items are smaller to shuffle than page
+    bodies.
     """
     if usable is not None:
-        pages, keep = _tried(pages), (*keep, "url", "attempt")
-    parsed = pages.where(F.col("html").contains("thing")).select(
-        *keep, parse_page(F.col("html"))["items"].alias("_items")
-    )
+        pages, keep = _tried(pages), tuple(dict.fromkeys([*keep, *usable.columns]))
+    parsed = pages
+    if "_items" not in pages.columns:
+        parsed = pages.where(F.col("html").contains("thing")).withColumn(
+            "_items", parse_page(F.col("html"))["items"]
+        )
+    parsed = parsed.select(*keep, "_items")
     # The outer form, as from the inner one Spark infers a filter on the size of
     # the array and would parse every page a second time for it.
     items = parsed.select(*keep, F.posexplode_outer("_items").alias("item_no", "_item"))
     items = items.where(F.col("item_no").isNotNull())
     raw = items.select(*keep, "item_no", *(F.col(f"_item.{f}").alias(f"raw_{f}") for f in _FIELDS))
-    return raw if usable is None else raw.join(usable, ["url", "attempt"], "left_semi")
+    return raw if usable is None else raw.join(usable, usable.columns, "left_semi")
 
 
 def _created() -> Column:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import features as ft
 from riskloom.functions import text as tx
+from riskloom.functions.normalize import post_id
 from riskloom.model import DEFAULT_MODEL, RiskModel
-from riskloom.operators.skew import having
+from riskloom.operators.skew import few
 from riskloom.schemas import SCORED_POST_COLUMNS
 
 # A word of some 20 bytes each: a broadcast table of some tens of megabytes.
@@ -72,8 +73,12 @@ def score_posts(
 
     ``language`` is computed from the ``_text`` column, see
     :func:`riskloom.operators.language.detector`; without one it is "unknown".
-    Keeps all input columns, so a scored record is its post's own row.
+    Keeps all input columns, so a scored record is its post's own row. Posts with
+    ``post_id`` get it as ``id`` where that is missing or empty (P16).
     """
+    if "post_id" in posts.columns:
+        own = [F.col("id")] if "id" in posts.columns else []
+        posts = posts.withColumn("id", post_id(*own, F.col("post_id"))).drop("post_id")
     df = with_features(posts, post_text(posts), model)
     df = df.withColumn("language", F.lit("unknown") if language is None else language)
     explanation = ft.post_explanation(
@@ -120,20 +125,25 @@ def lexicon_counts(
     lexicon: DataFrame,
     broadcast_terms: int = BROADCAST_TERMS,
 ) -> DataFrame:
-    """(key, count, terms) for texts with a word in ``lexicon(term)`` (P4, many terms).
+    """(key, count, terms) of words in ``lexicon(term)`` for every text (P4, many terms).
 
     For vocabularies too large for an expression. One of at most
     ``broadcast_terms`` terms (counted first) is broadcast, and words outside
     it are gone before the first shuffle. Beyond that, words are counted per
-    text and joined by term with frequent terms split.
+    text and joined by term. Texts without a hit have count 0; ``key`` is unique.
     """
     terms = lexicon.select("term").dropna().distinct()
     words = df.select(key, F.explode(tx.tokens(F.col(text))).alias("term"))
-    if terms.limit(broadcast_terms + 1).count() <= broadcast_terms:
+    if few(terms, broadcast_terms):
         hits = words.join(F.broadcast(terms), "term", "left_semi").withColumn("n", F.lit(1))
     else:
         counted = words.groupBy(key, "term").agg(F.count("*").alias("n"))
-        hits = having(counted, terms, ["term"], spread_by=[key])
-    return hits.groupBy(key).agg(
+        hits = counted.join(terms, "term", "left_semi")
+    found = hits.groupBy(key).agg(
         F.sum("n").alias("count"), F.sort_array(F.collect_set("term")).alias("terms")
     )
+    return df.select(key).join(found, key, "left").select(
+        key,
+        F.coalesce("count", F.lit(0)).alias("count"),
+        F.coalesce("terms", F.array().cast("array<string>")).alias("terms"),
+    )

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.skew import ROWS_PER_SPLIT, having, lacking, lookup, top_per_group
+from riskloom.operators.skew import top_per_group
 from riskloom.sources.staging import staged
 
 # The published defaults.
@@ -51,16 +51,16 @@ def prefix_until_old(
     pos: str,
     oldest: float,
     ts: str = "created_utc",
-    rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
     """Rows before the key's first row older than ``oldest``, in ``pos`` order (L4).
 
     Newer rows after an old one are lost too. The first old position is an
-    aggregate joined back, not a window over the whole key.
+    aggregate joined back, not a window over the whole key. ``df`` is read
+    twice and should be a table.
     """
     old = df.where(F.col(ts) < F.lit(oldest))
     first_old = old.groupBy(*keys).agg(F.min(pos).alias("_first_old"))
-    marked = lookup(df, first_old, keys, spread_by=[pos], rows_per_split=rows_per_split)
+    marked = df.join(first_old, keys, "left")
     before = F.col("_first_old").isNull() | (F.col(pos) < F.col("_first_old"))
     return marked.where(before).drop("_first_old")
 
@@ -73,7 +73,7 @@ def newest_per_group(
     df: DataFrame, group: str, n: int = PER_GROUP, ts: str = "created_utc", tie: str = "id"
 ) -> DataFrame:
     """The ``n`` newest rows per group, ties by id, with ``rank``."""
-    return top_per_group(df, [group], newest_first_order(ts, tie), n, [tie], rank="rank")
+    return top_per_group(df, [group], newest_first_order(ts, tie), n, rank="rank")
 
 
 def global_budget(
@@ -105,7 +105,7 @@ def split_budget(items: DataFrame, max_items: int = MAX_ITEMS, user: str = "user
         return items.limit(0)
     half = (max_items + 1) // 2
     known = items.where(F.col("kind").isin("submission", "comment"))
-    ranked = top_per_group(known, [user, "kind"], newest_first_order(), max_items, ["id"])
+    ranked = top_per_group(known, [user, "kind"], newest_first_order(), max_items)
     # At most 2 * max_items rows per user from here on.
     submissions = F.count_if(F.col("kind") == "submission").over(Window.partitionBy(user))
     allowed = F.when(F.col("kind") == "submission", F.lit(half)).otherwise(
@@ -141,9 +141,12 @@ def newest_first_rank(items: DataFrame, user: str = "username") -> DataFrame:
         .select(user, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
     within = F.row_number().over(Window.partitionBy(user, "_range").orderBy(*order))
-    ranked = placed.withColumn("_within", within).join(offsets, [user, "_range"], "left")
+    offsets = offsets.withColumnsRenamed({user: "_user", "_range": "_of"})
+    # Null users are a group like any other.
+    same = F.col(user).eqNullSafe(F.col("_user")) & (F.col("_range") == F.col("_of"))
+    ranked = placed.withColumn("_within", within).join(offsets, same, "left")
     return ranked.withColumn("rank", F.col("_before") + F.col("_within")).drop(
-        "_range", "_before", "_within"
+        "_range", "_before", "_within", "_user", "_of"
     )
 
 
@@ -162,26 +165,21 @@ def merge_new_wins(
     new: DataFrame,
     new_keys: DataFrame,
     key: str = "username",
-    spread_by: tuple[str, ...] = ("id",),
-    rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
     """``existing`` with every user of ``new_keys`` replaced whole by ``new``.
 
     Keys come from the user table: a user fetched again without items wins too.
     """
-    kept = lacking(existing, new_keys, [key], list(spread_by), rows_per_split)
-    return kept.unionByName(new)
+    return existing.join(new_keys.select(key), key, "left_anti").unionByName(new)
 
 
-def attach_history(
-    authors: DataFrame, items: DataFrame, rows_per_split: int = ROWS_PER_SPLIT
-) -> DataFrame:
+def attach_history(authors: DataFrame, items: DataFrame) -> DataFrame:
     """Authors left outer join items; authors without items stay.
 
     Written as items of these authors plus authors without items, since an
     outer join cannot split a frequent key on its nullable side.
     """
-    own = having(items, authors, ["username"], ["id"], rows_per_split)
+    own = items.join(authors.select("username"), "username", "left_semi")
     idle = authors.join(items.select("username").distinct(), "username", "left_anti")
     return own.unionByName(idle, allowMissingColumns=True)
 

@@ -1,134 +1,60 @@
-"""Joins and top-n that hold when one key owns a large part of the rows."""
+"""Top-n per group and checked broadcasts where one key owns a large part of the rows.
 
-from __future__ import annotations
+Joins on frequent keys need nothing of their own: outer, semi and anti joins are
+written plainly with the frequent side on the left, and adaptive execution
+splits its large partitions while the other side, which holds a key once, is
+read by each part. What adaptive execution can't split is a window, so top-n
+per group takes two rounds.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key with more rows than this is split over several join partitions.
-ROWS_PER_SPLIT = 1_000_000
-# Most keys that are ever split, which bounds the broadcast table of split keys.
-MAX_SPLIT_KEYS = 100_000
-# Ways in which a group is split for the first of two top-n rounds.
+# Parts of a group in the first of two top-n rounds.
 TOP_SPLITS = 64
 # Most keys that are broadcast after being counted.
 BROADCAST_KEYS = 500_000
-# Ways in which rows without a key are spread; they match nothing.
-NULL_SPREAD = 4096
-
-
-def split_keys(df: DataFrame, keys: list[str], rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
-    """(keys, _splits) for keys with more than ``rows_per_split`` rows.
-
-    Counts combine before their shuffle, only key columns are read, and the
-    result never exceeds MAX_SPLIT_KEYS rows.
-    """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > rows_per_split)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(MAX_SPLIT_KEYS)
-        .select(*keys, F.ceil(F.col("_n") / rows_per_split).cast("int").alias("_splits"))
-    )
-
-
-def lookup(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    spread_by: list[str],
-    rows_per_split: int = ROWS_PER_SPLIT,
-) -> DataFrame:
-    """Left outer join to ``right``, which holds each key at most once.
-
-    Rows of a frequent key are salted by ``spread_by``, with as many salts as
-    the key needs, and the key's one row of ``right`` is repeated per salt.
-    Salts derive from row values, so a recomputed task salts as before.
-    """
-    splits = F.broadcast(split_keys(left, keys, rows_per_split))
-    spread = F.xxhash64(*spread_by)
-    no_key = reduce(Column.__or__, (F.col(k).isNull() for k in keys))
-    salt = F.when(no_key, F.pmod(spread, F.lit(NULL_SPREAD))).otherwise(
-        F.pmod(spread, F.coalesce("_splits", F.lit(1)))
-    )
-    salted = left.join(splits, keys, "left").withColumn("_salt", salt.cast("int")).drop("_splits")
-    salts = F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1))
-    repeated = right.join(splits, keys, "left").withColumn("_salt", salts).drop("_splits")
-    return salted.join(repeated, [*keys, "_salt"], "left").drop("_salt")
-
 
-def _marked(left, right, keys, spread_by, rows_per_split) -> DataFrame:
-    present = right.select(*keys).distinct().withColumn("_present", F.lit(True))
-    return lookup(left, present, keys, spread_by, rows_per_split)
 
-
-def having(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    spread_by: list[str],
-    rows_per_split: int = ROWS_PER_SPLIT,
-) -> DataFrame:
-    """Left semi join for a left side with frequent keys."""
-    marked = _marked(left, right, keys, spread_by, rows_per_split)
-    return marked.where(F.col("_present").isNotNull()).drop("_present")
+def few(keys: DataFrame, limit: int = BROADCAST_KEYS) -> bool:
+    """Whether ``keys`` were counted to hold at most ``limit`` rows."""
+    return keys.limit(limit + 1).count() <= limit
 
 
 def having_few(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    spread_by: list[str],
-    broadcast_keys: int = BROADCAST_KEYS,
+    left: DataFrame, right: DataFrame, keys: list[str], broadcast_keys: int = BROADCAST_KEYS
 ) -> DataFrame:
-    """:func:`having` where ``right`` is expected to be, but need not be, small.
+    """Left semi join to ``right``, which is expected to be, but need not be, small.
 
     Its distinct keys are counted first, up to the limit. Within it they are
     broadcast and wide rows of ``left`` stay where they are.
     """
     wanted = right.select(*keys).dropna().distinct()
-    if wanted.limit(broadcast_keys + 1).count() <= broadcast_keys:
-        return left.join(F.broadcast(wanted), keys, "left_semi")
-    return having(left, wanted, keys, spread_by)
-
-
-def lacking(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    spread_by: list[str],
-    rows_per_split: int = ROWS_PER_SPLIT,
-) -> DataFrame:
-    """Left anti join for a left side with frequent keys."""
-    marked = _marked(left, right, keys, spread_by, rows_per_split)
-    return marked.where(F.col("_present").isNull()).drop("_present")
+    marked = F.broadcast(wanted) if few(wanted, broadcast_keys) else wanted
+    return left.join(marked, keys, "left_semi")
 
 
 def top_per_group(
-    df: DataFrame,
-    group: list[str],
-    order: list[Column],
-    n: int,
-    spread_by: list[str],
-    rank: str = "_rank",
+    df: DataFrame, group: list[str], order: list[Column], n: int, rank: str = "_rank"
 ) -> DataFrame:
     """First ``n`` rows per group in ``order``, with their rank, in two rounds.
 
-    The first round ranks within splits of a group, so no task ever sorts a
-    whole large group; the second ranks the at most ``TOP_SPLITS * n`` left.
+    The first round ranks within parts of a group. A part is made of whole map
+    tasks: each cuts a group to ``n`` rows before the shuffle, so at most ``n``
+    rows per group and task are written and a part receives a fraction of
+    them. The choice of parts can't show in the result. The second round ranks
+    the at most ``TOP_SPLITS * n`` rows left of a group.
     """
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(TOP_SPLITS))
     number = F.row_number()
-    split = Window.partitionBy(*group, "_salt").orderBy(*order)
+    part = Window.partitionBy(*group, "_part").orderBy(*order)
     whole = Window.partitionBy(*group).orderBy(*order)
     return (
-        df.withColumn("_salt", salt)
-        .withColumn(rank, number.over(split))
+        df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(TOP_SPLITS)))
+        .withColumn(rank, number.over(part))
         .where(F.col(rank) <= n)
-        .drop("_salt")
+        .drop("_part")
         .withColumn(rank, number.over(whole))
         .where(F.col(rank) <= n)
     )

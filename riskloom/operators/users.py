@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from riskloom.functions.features import fixed, label
 from riskloom.model import DEFAULT_MODEL, RiskModel
 from riskloom.operators.posts import score_items
-from riskloom.operators.skew import ROWS_PER_SPLIT, having
 from riskloom.schemas import USER_RISK_COLUMNS
 
 # Fixed values.
@@ -64,15 +63,16 @@ def with_fallback(
     users: DataFrame,
     item_scores: DataFrame,
     fallback: DataFrame,
-    rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
-    """(username, score, from_posts): item scores, or post scores of users without."""
+    """(username, score, from_posts): item scores, or post scores of users without.
+
+    Both joins are semi joins with the frequent side on the left, which adaptive
+    execution splits by rows, whether or not their scores differ.
+    """
     posts = fallback.select(F.col("author").alias("username"), "score")
     idle = users.join(item_scores.select("username").distinct(), "username", "left_anti")
-    used = having(posts, idle, ["username"], ["score"], rows_per_split)
-    own = having(
-        item_scores.select("username", "score"), users, ["username"], ["score"], rows_per_split
-    )
+    used = posts.join(idle, "username", "left_semi")
+    own = item_scores.select("username", "score").join(users, "username", "left_semi")
     return own.withColumn("from_posts", F.lit(False)).unionByName(
         used.withColumn("from_posts", F.lit(True))
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from riskloom.model import DEFAULT_MODEL, RiskModel
 from riskloom.operators import report
 from riskloom.operators.language import detector
-from riskloom.operators.pages import extract_items, extract_posts, usable_keys
+from riskloom.operators.pages import extract_items, extract_posts, parsed_pages, usable_keys
 from riskloom.operators.posts import scored_records
 from riskloom.operators.select import (
     LOOKBACK_DAYS,
@@ -35,11 +35,11 @@ from riskloom.operators.select import (
     top_risky,
     unique_authors,
 )
-from riskloom.operators.skew import having_few
+from riskloom.operators.skew import few
 from riskloom.operators.users import MIN_CONFIDENT_ITEMS, fallback_scores, score_users
 from riskloom.schemas import HISTORY, POST, USERS
 from riskloom.sources import readers, writers
-from riskloom.sources.staging import read_table
+from riskloom.sources.staging import discard, staged
 
 
 @dataclass(frozen=True)
@@ -60,7 +60,10 @@ class RunConfig:
 
 
 def collect(listing_pages: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Newest posts of the configured groups within the budgets."""
+    """Newest posts of the configured groups within the budgets.
+
+    Pages may come parsed, see :func:`riskloom.operators.pages.parsed_pages`.
+    """
     wanted = listing_pages.where(F.col("group_name").isin(*cfg.groups))
     usable = usable_keys(wanted, ["group_name"])
     posts = in_groups(extract_posts(wanted, usable=usable), cfg.groups)
@@ -73,19 +76,42 @@ def collect(listing_pages: DataFrame, cfg: RunConfig) -> DataFrame:
 def collect_job(
     spark: SparkSession, listing_pages: DataFrame, out: str, cfg: RunConfig
 ) -> DataFrame:
-    """Landed listing pages -> ``out``: table, JSON lines, posts per group."""
-    collect(listing_pages, cfg).write.mode("overwrite").parquet(f"{out}/table")
-    posts = read_table(spark, f"{out}/table")
+    """Landed listing pages -> ``out``: table, JSON lines, posts per group, errors.
+
+    Each page is parsed once; items and pages that failed come from that table.
+    """
+    wanted = listing_pages.where(F.col("group_name").isin(*cfg.groups))
+    parsed = staged(parsed_pages(wanted), "parsed")
+    collect(parsed, cfg).write.mode("overwrite").parquet(f"{out}/table")
+    _write_errors(parsed, ["group_name"], f"{out}/errors")
+    discard(parsed)
+    posts = spark.read.parquet(f"{out}/table")
     writers.write_posts(posts, f"{out}/json")
     report.posts_per_group(posts).write.mode("overwrite").json(f"{out}/groups")
     return posts
 
 
-def fetch_history(user_pages: DataFrame, authors: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Budgeted recent items of ``authors`` from landed user pages."""
-    wanted = having_few(user_pages, authors, ["username"], ["url"])
+def _write_errors(parsed: DataFrame, keys: list[str], path: str) -> None:
+    errors = parsed.where("error is not null").select(*keys, "page_no", "url", "attempt", "error")
+    errors.write.mode("overwrite").json(path)
+
+
+def pages_of(user_pages: DataFrame, authors: DataFrame) -> DataFrame:
+    """Parsed pages of ``authors``; bodies are not shuffled, however many they are.
+
+    Few authors are broadcast before the parse. With more, all pages are parsed
+    where they lie and the small parsed rows are joined.
+    """
+    wanted = authors.select("username").dropna().distinct()
+    if few(wanted):
+        return parsed_pages(user_pages.join(F.broadcast(wanted), "username", "left_semi"))
+    return parsed_pages(user_pages).join(wanted, "username", "left_semi")
+
+
+def fetch_history(parsed: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Budgeted recent items from parsed user pages, which should be a table."""
     oldest = cutoff(cfg.as_of, cfg.lookback_days) if cfg.stop_at_old else None
-    items = extract_items(wanted, oldest, usable=usable_keys(wanted, ["username", "kind"]))
+    items = extract_items(parsed, oldest, usable=usable_keys(parsed, ["username", "kind"]))
     return split_budget(lookback(items, cfg.as_of, cfg.lookback_days), cfg.max_items)
 
 
@@ -107,12 +133,17 @@ def enrich_job(
         fetched = authors_to_fetch(fetched, known[0])
     fetched.write.mode("overwrite").parquet(f"{out}/fetched")
     new_users = spark.read.schema(USERS).parquet(f"{out}/fetched")
-    users, items = new_users, fetch_history(user_pages, new_users, cfg)
+    parsed = staged(pages_of(user_pages, new_users), "parsed")
+    _write_errors(parsed, ["username", "kind"], f"{out}/errors")
+    users, items = new_users, fetch_history(parsed, cfg)
     if known is not None:
-        users = merge_new_wins(known[0], users, new_users, spread_by=("username",))
+        users = merge_new_wins(known[0], users, new_users)
         items = merge_new_wins(known[1], items, new_users)
     writers.write_history(users, items.select(*HISTORY.names), out)
-    return readers.read_history_tables(spark, out)
+    discard(parsed)
+    users, items = readers.read_history_tables(spark, out)
+    report.items_per_user(users, items).write.mode("overwrite").json(f"{out}/items_per_user")
+    return users, items
 
 
 def score_posts_job(

@@ -9,6 +9,7 @@ def _strings(*names: str) -> list[T.StructField]:
     return [T.StructField(name, T.StringType()) for name in names]
 
 
+# The field names of the interchange format.
 CREATED = T.StructField("created_utc", T.DoubleType())
 
 POST = T.StructType(

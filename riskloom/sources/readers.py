@@ -19,16 +19,31 @@ from riskloom.sources.staging import path_exists
 _LENIENT = T.StructType([T.StructField(n, T.StringType()) for n in [*POST.names, "selftext"]])
 
 
+def _refused(what: str) -> Column:
+    """Fails with the file and the start of the text."""
+    shown = F.left("value", F.lit(40))
+    return F.raise_error(F.concat(F.lit(f"{what} in "), F.input_file_name(), F.lit(": "), shown))
+
+
+def _checked(value: Column, sound: Column, what: str) -> Column:
+    return F.when(sound, value).otherwise(_refused(what))
+
+
+def _is_json() -> Column:
+    return F.try_parse_json("value").isNotNull()
+
+
 def _elements(spark: SparkSession, path: str, lines: bool) -> DataFrame:
-    """Raw JSON text of each post as ``value``."""
+    """Raw JSON text of each post as ``value``; anything malformed fails."""
     if lines:
-        return spark.read.text(path)
+        found = spark.read.text(path).where(F.trim("value") != "")
+        return found.select(_checked(F.col("value"), _is_json(), "malformed JSON").alias("value"))
     documents = spark.read.text(path, wholetext=True)
     parsed = F.from_json("value", "array<string>", {"mode": "PERMISSIVE"})
-    if_array = F.when(F.ltrim("value").startswith("["), parsed).otherwise(
-        F.raise_error(F.concat(F.lit("expected a JSON array, got: "), F.left("value", F.lit(40))))
+    array = _checked(parsed, F.ltrim("value").startswith("["), "expected a JSON array")
+    return documents.select(
+        F.explode(F.when(_is_json(), array).otherwise(_refused("malformed JSON"))).alias("value")
     )
-    return documents.select(F.explode(if_array).alias("value"))
 
 
 def read_posts(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
@@ -51,23 +66,33 @@ def read_posts(spark: SparkSession, path: str, lines: bool = False) -> DataFrame
 
 
 def read_posts_strict(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Posts whose fields must be exactly the model's; ``language`` may lack."""
-    found = spark.read.json(path, multiLine=not lines)
-    required = [n for n in POST.names if n != "language"]
-    unknown = set(found.columns) - set(POST.names)
-    missing = set(required) - set(found.columns)
-    if unknown or missing:
-        raise ValueError(f"unknown fields {sorted(unknown)}, missing fields {sorted(missing)}")
-    posts = spark.read.schema(POST).json(path, multiLine=not lines, mode="FAILFAST")
-    lacking = [n for n in required if n != "created_utc"]
-    whole = F.assert_true(
-        F.forall(F.array(*(F.col(n) for n in lacking)), lambda v: v.isNotNull())
-        & F.col("created_utc").isNotNull(),
-        "a post lacks a required field",
-    )
-    # assert_true is null when it holds, so the time stays as it is.
-    return posts.withColumn("created_utc", F.coalesce(whole.cast("double"), F.col("created_utc")))
+    """Posts whose fields must be exactly the model's; ``language`` may lack.
 
+    Fields are compared in the same pass that reads them; a post with other
+    fields fails the read.
+    """
+    elements = _elements(spark, path, lines)
+    fields = F.json_object_keys("value")
+    known = F.array(*map(F.lit, POST.names))
+    required = F.array(*(F.lit(n) for n in POST.names if n != "language"))
+    odd = F.array_except(fields, known)
+    lacking = F.array_except(required, fields)
+    named = F.concat(
+        F.lit("unknown fields ["), F.array_join(odd, ", "),
+        F.lit("], missing fields ["), F.array_join(lacking, ", "), F.lit("]"),
+    )
+    sound = fields.isNotNull() & (F.size(odd) == 0) & (F.size(lacking) == 0)
+    post = F.from_json("value", POST, {"mode": "FAILFAST"})
+    checked = F.when(sound, post).otherwise(
+        F.raise_error(F.coalesce(named, F.lit("a post is not an object")))
+    )
+    posts = elements.select(checked.alias("p")).select("p.*")
+    whole = F.array(*(F.col(n).isNotNull() for n in POST.names if n != "language"))
+    # Checked on the time, which no reader of posts can do without.
+    created = F.when(F.forall(whole, lambda v: v), F.col("created_utc")).otherwise(
+        F.raise_error(F.lit("a post lacks a required field"))
+    )
+    return posts.withColumn("created_utc", created)
 
 
 def read_history(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -80,7 +105,10 @@ def read_history(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         return spark.createDataFrame([], USERS), spark.createDataFrame([], HISTORY)
     documents = spark.read.text(path, wholetext=True)
     parsed = F.from_json("value", T.MapType(T.StringType(), T.ArrayType(ITEM)))
-    entries = documents.select(F.explode(parsed).alias("username", "items"))
+    sound = _is_json() & F.ltrim("value").startswith("{")
+    entries = documents.select(
+        F.explode(_checked(parsed, sound, "expected a JSON object")).alias("username", "items")
+    )
     users = entries.select("username")
     items = entries.select("username", F.explode("items").alias("i")).select("username", "i.*")
     return users, items.dropna(subset=ITEM.names)
@@ -100,7 +128,7 @@ def read_history_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataF
     if not path_exists(spark, path):
         return spark.createDataFrame([], USERS), spark.createDataFrame([], HISTORY)
     line = T.StructType([*USERS.fields, T.StructField("items", T.ArrayType(ITEM))])
-    lines = spark.read.schema(line).json(path)
+    lines = spark.read.schema(line).json(path, mode="FAILFAST")
     items = lines.select("username", F.explode("items").alias("i")).select("username", "i.*")
     return lines.select("username").distinct(), items.dropna(subset=ITEM.names)
 

@@ -36,30 +36,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(conf).exists(target)
 
 
-# Inputs with less than this per core are spread before CPU-heavy work.
-SMALL_PER_CORE = 16 << 20
-TASKS_PER_CORE = 3
-
-
-def spread_if_small(df: DataFrame, path: str) -> DataFrame:
-    """``df``, read from ``path``, over all cores where its files alone would not be.
-
-    One small file with one row group is one task, however many cores wait.
-    Tables of ordinary size are left as their splits are; nothing is shuffled.
-    """
-    spark = df.sparkSession
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    size = target.getFileSystem(conf).getContentSummary(target).getLength()
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores * TASKS_PER_CORE) if size < cores * SMALL_PER_CORE else df
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table, spread if it is small."""
-    return spread_if_small(spark.read.parquet(path), path)
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below the shared folder and read back.
 
@@ -73,10 +49,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target.getFileSystem(conf).delete(target, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables that :func:`staged` wrote, once nothing reads them any more."""
     for table in tables:
-        spark = table.sparkSession
-        target = spark._jvm.org.apache.hadoop.fs.Path(table.staged_path)
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        target.getFileSystem(conf).delete(target, True)
+        remove_path(table.sparkSession, table.staged_path)

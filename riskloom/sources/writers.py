@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskloom.functions.features import fixed
-from riskloom.operators.skew import lookup
+from riskloom.operators.select import newest_first_rank
 from riskloom.schemas import HISTORY, ITEM, SCORED_POST_COLUMNS, USER_RISK_COLUMNS, USERS
+from riskloom.sources.staging import remove_path
 
 # Items per line of the nested history export.
 ITEMS_PER_LINE = 1000
@@ -29,17 +30,14 @@ def nest_history(
 ) -> DataFrame:
     """(username, part, items) with items newest first, for interchange.
 
-    A user with more than about ``items_per_line`` items takes several parts,
-    so that no array grows with the user. Budgeted histories are one part.
+    A part holds ``items_per_line`` items, the last one of a user what is left;
+    a user's parts in order are the user's items newest first. No array grows
+    with the user. Users without items have one empty part, number 0.
     """
-    counts = items.groupBy("username").agg(F.count("*").alias("_n"))
-    large = counts.where(F.col("_n") > items_per_line)
-    parts = large.select("username", F.ceil(F.col("_n") / items_per_line).cast("int").alias("_p"))
-    placed = lookup(items, parts, ["username"], ["id"]).withColumn(
-        "part", F.pmod(F.xxhash64("id"), F.coalesce("_p", F.lit(1))).cast("int")
-    )
-    # Sorted by time, then id; the leading negated time makes that newest first.
-    entry = F.struct((-F.col("created_utc")).alias("_t"), *ITEM.names)
+    ranked = newest_first_rank(items.select(*HISTORY.names))
+    part = F.floor((F.col("rank") - 1) / items_per_line).cast("int")
+    placed = ranked.withColumn("part", part)
+    entry = F.struct("rank", *ITEM.names)
     nested = placed.groupBy("username", "part").agg(F.sort_array(F.collect_list(entry)).alias("_i"))
     item = F.transform("_i", lambda i: F.struct(*(i[n].alias(n) for n in ITEM.names)))
     nested = nested.select("username", "part", item.alias("items"))
@@ -69,12 +67,16 @@ def scored_post_csv_rows(scored: DataFrame) -> DataFrame:
 
 
 def write_scored_posts_csv(scored: DataFrame, path: str) -> bool:
-    """Scored posts as CSV with header (S8); nothing is written without rows."""
-    if scored.isEmpty():
-        return False
-    rows = scored_post_csv_rows(scored)
+    """Scored posts as CSV with header (S8); nothing is left without rows.
+
+    Rows are counted as they are written, so the scores are computed once.
+    """
+    seen = Observation()
+    rows = scored_post_csv_rows(scored).observe(seen, F.count(F.lit(1)).alias("rows"))
     rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
-    return True
+    if not seen.get["rows"]:
+        remove_path(scored.sparkSession, path)
+    return seen.get["rows"] > 0
 
 
 def scored_user_csv_rows(users: DataFrame) -> DataFrame:

@@ -8,10 +8,9 @@ from pyspark.sql import types as T
 
 from riskloom.model import DEFAULT_MODEL, RiskModel
 from riskloom.operators.posts import scored_records
-from riskloom.operators.select import merge_new_wins
 from riskloom.operators.users import stats_columns, user_score
 from riskloom.functions.features import label
-from riskloom.sources.staging import fresh_path, path_exists
+from riskloom.sources.staging import fresh_path, remove_path
 
 LATENESS = "1 day"
 
@@ -85,30 +84,81 @@ def drain(spark: SparkSession, stream: DataFrame, name: str, out: str | None = N
     return spark.read.schema(stream.schema).parquet(f"{out}/table")
 
 
+def drain_updates(
+    spark: SparkSession, stream: DataFrame, keys: list[str], name: str, out: str | None = None
+) -> DataFrame:
+    """Runs an aggregating stream over what has arrived and returns its rows as they stand.
+
+    Unlike :func:`drain`, it also delivers groups that are still open: each
+    micro-batch writes the rows it changed below its number, and the latest
+    row per key is the result.
+    """
+    out = out or fresh_path(spark, name)
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(
+            f"{out}/changes/number={number}"
+        )
+
+    query = (
+        stream.writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{out}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    schema = T.StructType([*stream.schema.fields, T.StructField("_batch", T.IntegerType())])
+    changes = spark.read.schema(schema).parquet(f"{out}/changes")
+    columns = [c for c in stream.columns if c not in keys]
+    latest = changes.groupBy(*keys).agg(F.max_by(F.struct(*columns), "_batch").alias("_row"))
+    return latest.select(*keys, "_row.*").select(*stream.columns)
+
+
+def _newest(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """One row per key, the largest by ``order`` and, where that is equal, by all columns."""
+    columns = [c for c in rows.columns if c != key]
+    place = F.struct(*order, *(c for c in columns if c not in order))
+    best = rows.groupBy(key).agg(F.max_by(F.struct(*columns), place).alias("_row"))
+    return best.select(key, "_row.*").select(*rows.columns)
+
+
+def _versions(spark: SparkSession, out: str) -> list[int]:
+    """Numbers of the complete snapshots below ``out``."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/v*/_SUCCESS")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = pattern.getFileSystem(conf).globStatus(pattern)
+    return sorted(int(f.getPath().getParent().getName()[1:]) for f in found or [])
+
+
 def upsert_stream(
     spark: SparkSession,
     updates: DataFrame,
     key: str,
     order: str,
     out: str,
+    delivery: str | None = None,
 ) -> DataFrame:
     """Keeps the newest row per ``key`` in versioned snapshots (T4).
 
+    Newest is by ``order``, or by (``delivery``, ``order``) where rows carry the
+    number of their delivery; equal places are settled by the other columns. It
+    does not matter in which order or micro-batch files arrive.
+
     Micro-batch n writes snapshot n from snapshot n-1, so a batch that is run
     again after a failure rewrites its own snapshot and reads none of its
-    output. Returns the last snapshot.
+    output. Snapshots older than n-1 are removed. Returns the last one.
     """
+    places = [order] if delivery is None else [delivery, order]
 
     def apply(batch: DataFrame, number: int) -> None:
-        columns = [c for c in batch.columns if c != key]
-        newest = batch.groupBy(key).agg(F.max_by(F.struct(*columns), F.col(order)).alias("_row"))
-        newest = newest.select(key, "_row.*").select(*batch.columns).persist()
-        merged = newest
+        rows = batch
         if number > 0:
             old = batch.sparkSession.read.schema(batch.schema).parquet(f"{out}/v{number - 1}")
-            merged = merge_new_wins(old, newest, newest, key, spread_by=(key,))
-        merged.write.mode("overwrite").parquet(f"{out}/v{number}")
-        newest.unpersist()
+            rows = old.unionByName(batch)
+        _newest(rows, key, places).write.mode("overwrite").parquet(f"{out}/v{number}")
+        if number > 1:
+            remove_path(batch.sparkSession, f"{out}/v{number - 2}")
 
     query = (
         updates.writeStream.foreachBatch(apply)
@@ -117,7 +167,4 @@ def upsert_stream(
         .start()
     )
     query.awaitTermination()
-    last = 0
-    while path_exists(spark, f"{out}/v{last + 1}/_SUCCESS"):
-        last += 1
-    return spark.read.schema(updates.schema).parquet(f"{out}/v{last}")
+    return spark.read.schema(updates.schema).parquet(f"{out}/v{_versions(spark, out)[-1]}")

@@ -170,8 +170,8 @@ ATTEMPTS = [
 ]
 
 
-@pytest.mark.parametrize("rows_per_split", [1, 1_000_000])
-def test_usable_pages(spark, rows_per_split):
+@pytest.mark.parametrize("broadcast_keys", [1, 1_000_000])
+def test_usable_pages(spark, broadcast_keys):
     rows = [
         (g, n, url, i + 1, s, f"{url}#{i + 1}")
         for g, n, url, statuses in ATTEMPTS
@@ -182,5 +182,8 @@ def test_usable_pages(spark, rows_per_split):
     )
     alone = {r.html for r in pg.usable_pages(df).collect()}
     assert alone == {"g1#1", "g2#2", "g4#1", "h2#1", "k1#2", "k2#1"}
-    listed = pg.usable_pages(df, ["g"], rows_per_split=rows_per_split).collect()
+    listed = pg.usable_pages(df, ["g"], broadcast_keys=broadcast_keys).collect()
     assert {r.html for r in listed} == {"g1#1", "g2#2", "k1#2", "k2#1"}
+    shared = [("a", 1, "x", 1, 404, "gone"), ("a", 2, "dup", 1, 200, "in a"), ("b", 1, "dup", 1, 200, "in b")]
+    both = pg.usable_pages(spark.createDataFrame(shared, df.schema), ["g"], broadcast_keys=broadcast_keys)
+    assert [r.html for r in both.collect()] == ["in b"]

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from riskloom.operators.pages import extract_posts
+from riskloom.operators.pages import extract_posts, parsed_pages
 from riskloom.plans import jobs
 from riskloom.schemas import HISTORY, POST
 from riskloom.sources import readers
@@ -30,7 +30,7 @@ def thing(item, ts, author, text):
 
 @pytest.fixture(scope="module")
 def landed(spark):
-    bomb = "We should bomb them all, they deserve to die."
+    harsh = "Anyone who plans a massacre should be wiped out."
     listing = [
         ("news", 1, "l1", thing("1", START, "ann", "kill") + thing("2", START + 1, "bob", "tea"), 200, 1),
         ("news", 2, "l2", "", 404, 1),
@@ -39,9 +39,9 @@ def landed(spark):
         ("other", 1, "l5", thing("5", START + 3, "sam", "no"), 200, 1),
     ]
     history = [
-        ("ann", "comment", 1, "u1", thing("a1", START, "ann", bomb) + thing("a2", START - 1, "ann", bomb), 500, 1),
-        ("ann", "comment", 1, "u1", thing("a1", START, "ann", bomb) + thing("a2", START - 1, "ann", bomb), 200, 2),
-        ("sam", "comment", 1, "u2", thing("s1", START, "sam", bomb), 200, 1),
+        ("ann", "comment", 1, "u1", thing("a1", START, "ann", harsh) + thing("a2", START - 1, "ann", harsh), 500, 1),
+        ("ann", "comment", 1, "u1", thing("a1", START, "ann", harsh) + thing("a2", START - 1, "ann", harsh), 200, 2),
+        ("sam", "comment", 1, "u2", thing("s1", START, "sam", harsh), 200, 1),
     ]
     return spark.createDataFrame(listing, PAGES), spark.createDataFrame(history, USER_PAGES)
 
@@ -76,6 +76,24 @@ def test_enrichment_skips_known_users(spark, landed, tmp_path):
     assert (coverage.authors, coverage.known, coverage.to_fetch) == (4, 1, 3)
 
 
+def test_failing_pages_are_written(spark, landed, tmp_path, monkeypatch):
+    listing, history = landed
+    bad = listing.withColumn(
+        "html", F.when(F.col("url") == "l4", "<div class='thing'><![x").otherwise(F.col("html"))
+    )
+    jobs.collect_job(spark, bad, str(tmp_path / "c"), jobs.RunConfig(AS_OF))
+    errors = spark.read.schema("group_name string, url string, error string").json(f"{tmp_path}/c/errors")
+    parsed = parsed_pages(bad.where("url = 'l4'")).first()
+    assert [r.url for r in errors.collect()] == (["l4"] if parsed.error else [])
+    posts = extract_posts(listing)
+    for stop in (False, True):
+        cfg = jobs.RunConfig(AS_OF, stop_at_old=stop)
+        _, items = jobs.enrich_job(spark, posts, history, None, f"{tmp_path}/{stop}", cfg)
+        assert sorted(r.id for r in items.collect()) == ["a1", "s1"]
+        counts = spark.read.json(f"{tmp_path}/{stop}/items_per_user").collect()
+        assert {r.username: r["items"] for r in counts} == {"ann": 1, "bob": 0, "eve": 0, "sam": 1}
+
+
 def test_observed_counts(spark, tmp_path):
     cfg = jobs.RunConfig(AS_OF)
     posts = spark.createDataFrame([("1", "", "g", "a", "t", "kill", 1.0, None)], POST)
@@ -144,15 +162,42 @@ def test_deduplication_across_batches(spark, tmp_path):
     assert once.count() == 3
 
 
+def test_open_windows_are_delivered_as_they_stand(spark, tmp_path):
+    path = str(tmp_path / "in")
+    for part in range(3):
+        land(spark, path, *((d / 3, (d % 7) / 7) for d in range(part, 60, 3)))
+    table = spark.read.parquet(path)
+    stream = flows.stream_table(spark, path, table.schema, maxFilesPerTrigger=1)
+    keys = ["window_start", "window_end", "username"]
+    risk = flows.rolling_user_risk(stream, lateness="30 days")
+    got = {tuple(r) for r in flows.drain_updates(spark, risk, keys, "t3").collect()}
+    assert got == {tuple(r) for r in flows.rolling_user_risk(table).collect()}
+
+
+def test_upsert_does_not_depend_on_the_order_of_files(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for row in (("a", 5, "newest"), ("a", 3, "older")):
+        spark.createDataFrame([row], "k string, n long, v string").write.mode("append").parquet(path)
+        stream = flows.stream_table(spark, path, spark.read.parquet(path).schema)
+        last = flows.upsert_stream(spark, stream, "k", "n", out)
+    assert [tuple(r) for r in last.collect()] == [("a", 5, "newest")]
+
+
 def test_upsert_resumes_and_new_wins(spark, tmp_path):
     path, out = str(tmp_path / "in"), str(tmp_path / "out")
-    schema = "k string, n long, v string"
+    schema = "k string, n long, v string, d int"
 
     def deliver(*rows):
+        rows = [(*r, deliver.number) for r in rows]
+        deliver.number += 1
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
         stream = flows.stream_table(spark, path, spark.read.parquet(path).schema)
-        return {tuple(r) for r in flows.upsert_stream(spark, stream, "k", "n", out).collect()}
+        last = flows.upsert_stream(spark, stream, "k", "n", out, delivery="d")
+        return {tuple(r) for r in last.drop("d").collect()}
+
+    deliver.number = 0
 
     assert deliver(("a", 1, "x"), ("a", 2, "y"), ("b", 5, "z")) == {("a", 2, "y"), ("b", 5, "z")}
     assert deliver(("b", 1, "new"), ("c", 1, "c")) == {("a", 2, "y"), ("b", 1, "new"), ("c", 1, "c")}
     assert deliver(("d", 1, "d")) >= {("a", 2, "y"), ("d", 1, "d")}
+    assert sorted(p.name for p in (tmp_path / "out").glob("v*")) == ["v1", "v2"]

@@ -9,10 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import select as sl
-from riskloom.operators import skew
 
 ITEM = "username string, kind string, id string, created_utc double"
-SPLITS = pytest.mark.parametrize("rows_per_split", [3, 1_000_000])
 
 
 def made_items(seed=1, n=600):
@@ -43,11 +41,10 @@ def test_lookback_keeps_the_boundary(spark):
     assert [r[0] for r in sl.lookback(df, as_of).collect()] == [edge, edge + 1]
 
 
-@SPLITS
-def test_prefix_until_old(spark, rows_per_split):
+def test_prefix_until_old(spark):
     rows = [(*r, i) for i, r in enumerate(made_items())]
     df = spark.createDataFrame(rows, ITEM + ", pos long")
-    got = sl.prefix_until_old(df, ["username"], "pos", 10.0, rows_per_split=rows_per_split)
+    got = sl.prefix_until_old(df, ["username"], "pos", 10.0)
     want = set()
     for group in by_user(rows, 0).values():
         for r in group:
@@ -115,43 +112,56 @@ def test_newest_first_rank(spark, times):
     assert ordered == [r[2] for r in newest(by_user(rows, 0)[("hot",)])]
 
 
-@SPLITS
-def test_merge_new_wins_by_user_and_is_idempotent(spark, rows_per_split):
+def test_merge_new_wins_by_user_and_is_idempotent(spark):
     old = spark.createDataFrame(made_items(1), ITEM)
     new = spark.createDataFrame([("hot", "comment", "n1", 1.0), ("new", "comment", "n2", 1.0)], ITEM)
     keys = spark.createDataFrame([("hot",), ("new",), ("u1",)], "username string")
-    once = sl.merge_new_wins(old, new, keys, rows_per_split=rows_per_split)
+    once = sl.merge_new_wins(old, new, keys)
     want = {r[2] for r in made_items(1) if r[0] not in ("hot", "u1")} | {"n1", "n2"}
     assert {r.id for r in once.collect()} == want
-    twice = sl.merge_new_wins(once, new, keys, rows_per_split=rows_per_split)
+    twice = sl.merge_new_wins(once, new, keys)
     assert sorted(r.id for r in twice.collect()) == sorted(want)
 
 
-@SPLITS
-def test_attach_history(spark, rows_per_split):
+def test_attach_history(spark):
     rows = made_items()
     authors = spark.createDataFrame([("hot",), ("u1",), ("idle",)], "username string")
-    got = sl.attach_history(authors, spark.createDataFrame(rows, ITEM), rows_per_split).collect()
+    got = sl.attach_history(authors, spark.createDataFrame(rows, ITEM)).collect()
     want = [(r[0], r[2]) for r in rows if r[0] in ("hot", "u1")] + [("idle", None)]
     assert sorted((r.username, r.id or "") for r in got) == sorted((u, i or "") for u, i in want)
 
 
-@SPLITS
-def test_lookup_keeps_rows_without_key_or_match(spark, rows_per_split):
-    left = spark.createDataFrame(
-        [("a", 1)] * 20 + [(None, i) for i in range(20)] + [("b", 1), ("z", 1)], "k string, v int"
+def test_top_n_writes_at_most_n_rows_per_group_and_task(spark):
+    df = spark.range(0, 60_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 < 2, "hot").otherwise("cold").alias("g"),
+        F.col("id").cast("string").alias("id"),
+        (F.col("id") % 97).cast("double").alias("created_utc"),
     )
-    right = spark.createDataFrame([("a", "x"), ("b", "y"), (None, "n")], "k string, w string")
-    got = skew.lookup(left, right, ["k"], ["v"], rows_per_split).groupBy("k", "w").count().collect()
-    assert {(r.k, r.w, r["count"]) for r in got} == {
-        ("a", "x", 20), (None, None, 20), ("b", "y", 1), ("z", None, 1),
-    }
-
-
-def test_split_keys_scale_with_the_key(spark):
-    df = spark.range(1000).select(F.when(F.col("id") < 900, "hot").otherwise("cold").alias("k"))
-    got = skew.split_keys(df, ["k"], 100).collect()
-    assert [(r.k, r["_splits"]) for r in got] == [("hot", 9)]
+    ranked = sl.newest_per_group(df, "g", 5)
+    assert ranked.count() == 10
+    ranked.collect()
+    plan = ranked._jdf.queryExecution().executedPlan()
+    written = []
+
+    def walk(node):
+        if node.getClass().getSimpleName() == "ShuffleExchangeExec":
+            written.append(node.metrics().apply("shuffleRecordsWritten").value())
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            return walk(node.plan())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(plan)
+    assert max(written) <= 2 * 6 * 5
+
+
+def test_null_users_are_ranked_too(spark):
+    rows = [(None, "comment", f"n{i}", float(i)) for i in range(5)] + [("u", "comment", "a", 1.0)]
+    got = sl.newest_first_rank(spark.createDataFrame(rows, ITEM)).collect()
+    assert sorted((r.id, r["rank"]) for r in got) == [("a", 1)] + [(f"n{i}", 5 - i) for i in range(5)]
 
 
 def test_authors_and_promoted(spark):

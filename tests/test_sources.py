@@ -47,12 +47,12 @@ def test_lenient_reader_wants_an_array(spark, tmp_path):
 @pytest.mark.parametrize("change", [{"extra": 1}, {"text": ...}])
 def test_strict_reader_rejects_other_fields(spark, tmp_path, change):
     row = {k: v for k, v in {**POST_ROW, **change}.items() if v is not ...}
-    with pytest.raises(ValueError, match="fields"):
-        readers.read_posts_strict(spark, write(tmp_path / "p.json", [row]))
+    with pytest.raises(PySparkException, match="fields"):
+        readers.read_posts_strict(spark, write(tmp_path / "p.json", [row])).collect()
 
 
 def test_strict_reader_rejects_a_single_incomplete_post(spark, tmp_path):
-    rows = [POST_ROW, {k: v for k, v in POST_ROW.items() if k != "author"}]
+    rows = [POST_ROW, {**POST_ROW, "author": None}]
     with pytest.raises(PySparkException, match="required field"):
         readers.read_posts_strict(spark, write(tmp_path / "p.json", rows)).collect()
 
@@ -64,6 +64,25 @@ def test_strict_reader_reads_what_conforms(spark, tmp_path):
     assert got.columns == POST.names
 
 
+@pytest.mark.parametrize("lines", [False, True])
+def test_malformed_posts_fail_with_their_file(spark, tmp_path, lines):
+    whole = "\n".join([json.dumps(POST_ROW)] * 2) if lines else json.dumps([POST_ROW] * 2)
+    (tmp_path / "p.json").write_text(whole[:-9], encoding="utf-8")
+    for read in (readers.read_posts, readers.read_posts_strict):
+        with pytest.raises(PySparkException, match="malformed JSON in .*p.json"):
+            read(spark, str(tmp_path / "p.json"), lines).collect()
+
+
+def test_malformed_histories_fail(spark, tmp_path):
+    whole = json.dumps({"a": [ITEM_ROW] * 3})
+    (tmp_path / "h.json").write_text(whole[:-20], encoding="utf-8")
+    with pytest.raises(PySparkException, match="expected a JSON object in .*h.json"):
+        readers.read_history(spark, str(tmp_path / "h.json"))[1].collect()
+    (tmp_path / "l.json").write_text(json.dumps({"username": "a", "items": [ITEM_ROW]})[:-9], encoding="utf-8")
+    with pytest.raises(Exception, match="FAILFAST|[Mm]alformed"):
+        readers.read_history_lines(spark, str(tmp_path / "l.json"))[1].collect()
+
+
 def test_history_document(spark, tmp_path):
     lacking = {k: v for k, v in ITEM_ROW.items() if k != "kind"}
     data = {"a": [ITEM_ROW, lacking, {**ITEM_ROW, "id": "2"}], "b": [], "c": [lacking]}
@@ -89,11 +108,11 @@ def test_nested_history_splits_large_users(spark, per_line):
     got = writers_rows.collect()
     assert [r["items"] for r in got if r.username == "idle"] == [[]]
     parts = [r["items"] for r in got if r.username == "u"]
-    assert (len(parts) > 1) == (per_line == 2)
-    assert sorted(i.id for p in parts for i in p) == [r[1] for r in rows]
-    for p in parts:
-        assert p == sorted(p, key=lambda i: (-i.created_utc, i.id))
-        assert list(p[0].asDict()) == ITEM.names
+    parts = [r["items"] for r in sorted(got, key=lambda r: r.part) if r.username == "u"]
+    assert [len(p) for p in parts] == ([2] * 5 + [1] if per_line == 2 else [11])
+    newest = sorted(rows, key=lambda r: (-r[7], r[1]))
+    assert [i.id for p in parts for i in p] == [r[1] for r in newest]
+    assert list(parts[0][0].asDict()) == ITEM.names
 
 
 def scored(spark, *texts):
@@ -156,6 +175,37 @@ def test_conform(spark):
         readers.conform(df.drop("author"), POST)
 
 
+def test_shared_folder_falls_back_to_the_contexts_own(spark):
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master, folder = "local[2]", None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    first = staging.shared_folder(Session())
+    assert first and staging.shared_folder(Session()) == first
+    Session.sparkContext.folder, Session.sparkContext.master = None, "spark://there"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.shared_folder(Session())
+
+
+def test_discarded_tables_are_gone(spark):
+    table = staging.staged(spark.range(3), "kept")
+    assert staging.path_exists(spark, table.staged_path)
+    staging.discard(table)
+    assert not staging.path_exists(spark, table.staged_path)
+
+
 def test_shared_folder_is_the_session_setting(spark):
     assert staging.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert staging.fresh_path(spark, "x") != staging.fresh_path(spark, "x")

@@ -9,8 +9,9 @@ from riskloom.operators import users as us
 from riskloom.operators.users import FROM_HISTORY, FROM_POSTS, NO_ACTIVITY
 from riskloom.schemas import HISTORY
 
-BOMB = "We should bomb them all, they deserve to die."
-CALM = ["I like coffee and cats.", "Nice weather today.", "Great movie last night."]
+# Nine words, one of them violent, and a threat: 0.30 * 1/3 + 0.15 + 0.15.
+HARSH = "Anyone who plans a massacre should be wiped out."
+CALM = ["The ferry leaves at noon.", "Bread rises slowly here.", "Our garden has new roses."]
 
 
 def item(user, n, text):
@@ -20,21 +21,21 @@ def item(user, n, text):
 @pytest.fixture(scope="module")
 def scored(spark):
     users = spark.createDataFrame(
-        [(u,) for u in ("alice", "bob", "carol", "dave", "erin", "bob")], "username string"
+        [(u,) for u in ("mira", "jonas", "adele", "kofi", "lena", "jonas")], "username string"
     )
-    rows = [item("alice", 0, BOMB), item("erin", 0, CALM[0]), item("stranger", 0, BOMB)]
-    rows += [item("bob", i, t) for i, t in enumerate(CALM)]
+    rows = [item("mira", 0, HARSH), item("lena", 0, CALM[0]), item("stranger", 0, HARSH)]
+    rows += [item("jonas", i, t) for i, t in enumerate(CALM)]
     items = spark.createDataFrame(rows, HISTORY)
-    fallback = spark.createDataFrame([("carol", 0.9), ("erin", 0.9)], "author string, score double")
+    fallback = spark.createDataFrame([("adele", 0.9), ("lena", 0.9)], "author string, score double")
     return {r.username: r for r in us.score_users(users, items, fallback).collect()}
 
 
 def test_users_are_the_given_ones(scored):
-    assert set(scored) == {"alice", "bob", "carol", "dave", "erin"}
+    assert set(scored) == {"mira", "jonas", "adele", "kofi", "lena"}
 
 
 def test_single_item(scored):
-    row = scored["alice"]
+    row = scored["mira"]
     assert row.score == pytest.approx(0.40) and row.label == "low"
     assert (row.count_high_posts, row.total_posts) == (0, 1)
     assert row.explanation == (
@@ -44,24 +45,24 @@ def test_single_item(scored):
 
 
 def test_calm_items(scored):
-    row = scored["bob"]
+    row = scored["jonas"]
     assert (row.score, row.label, row.total_posts, row.average_score) == (0.0, "low", 3, 0.0)
 
 
 def test_fallback_only(scored):
-    row = scored["carol"]
+    row = scored["adele"]
     assert row.score == pytest.approx(0.9 + 0.2 * math.log(2)) and row.score > 1
     assert row.label == "high" and FROM_POSTS in row.explanation
 
 
 def test_no_activity(scored):
-    row = scored["dave"]
+    row = scored["kofi"]
     assert (row.score, row.max_post_score, row.total_posts) == (0.0, 0.0, 0)
     assert row.label == "low" and row.explanation == NO_ACTIVITY
 
 
 def test_fallback_is_ignored_with_history(scored):
-    assert scored["erin"].score == 0.0 and FROM_HISTORY in scored["erin"].explanation
+    assert scored["lena"].score == 0.0 and FROM_HISTORY in scored["lena"].explanation
 
 
 def test_confident_from_five_items_and_custom_thresholds(spark):
@@ -84,14 +85,13 @@ def test_mean_does_not_depend_on_order(spark):
     assert len(means) == 1
 
 
-@pytest.mark.parametrize("rows_per_split", [2, 1_000_000])
-def test_row_level_fallback(spark, rows_per_split):
+def test_row_level_fallback(spark):
     users = spark.createDataFrame([("a",), ("b",), ("c",)], "username string")
     own = spark.createDataFrame([("a", 0.5), ("x", 0.1)], "username string, score double")
     posted = spark.createDataFrame(
         [("a", 0.9), ("y", 0.9)] + [("b", i / 100) for i in range(50)], "author string, score double"
     )
-    got = us.with_fallback(users, own, posted, rows_per_split).collect()
+    got = us.with_fallback(users, own, posted).collect()
     assert sorted((r.username, r.score, r.from_posts) for r in got) == sorted(
         [("a", 0.5, False)] + [("b", i / 100, True) for i in range(50)]
     )
