@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.graph import components
 from riskloom.llm.rows import map_rows
-from riskloom.llm.words import WordHasher, encoded, mix, sequence_hash
+from riskloom.llm.words import WordHasher, encoded, mix
 from riskloom.sources.staging import staged
 
 SHINGLE = 5
@@ -70,7 +70,7 @@ SIGNED = "id long, n long, k1 long, k2 long, sig binary"
 def shingles(hasher: WordHasher, text: str | None, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of all words, sorted distinct shingle hashes)."""
     words = hasher.words(encoded(text).lower())[2]
-    return words, np.unique(hasher.grams(words, min(k, len(words)) or k))
+    return words, np.unique(hasher.grams(hasher.sums(words), min(k, len(words)) or k))
 
 
 def signature(shingles: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
@@ -94,7 +94,7 @@ def _sign(k: int, n_hashes: int):
             words, grams = shingles(hasher, text, k)
             if not len(words):
                 return id_, 0, None, None, None
-            k1, k2 = sequence_hash(words)
+            k1, k2 = hasher.sequence(words)
             return id_, len(grams), k1, k2, signature(grams, multipliers).tobytes()
 
         return sign

@@ -71,9 +71,10 @@ def text_features(hasher: WordHasher, classes: np.ndarray, text: str | None) ->
     _, repeats = np.unique(words, return_counts=True)
     share = bytes_[bytes_ > 0] / len(raw)
     lines = data.split(b"\n")
+    sums = hasher.sums(words)
     distinct = [
         len(np.unique(g)) / len(g) if len(g) else 1.0
-        for g in (hasher.grams(words, 2), hasher.grams(words, 3))
+        for g in (hasher.grams(sums, 2), hasher.grams(sums, 3))
     ]
     return [
         float(np.log1p(len(raw))),

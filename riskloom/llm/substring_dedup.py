@@ -2,26 +2,26 @@
 
 Windows of ``WINDOW`` consecutive words are edges between their first and last
 ``WINDOW - 1`` words. A word is to be removed where a window over it also starts
-in a document with a smaller id. Writing every window of the corpus as a row
-would multiply it, so the graph is built of repeated windows only:
+in a document with a smaller id. Writing every edge of the corpus as a row would
+multiply it, so edges travel in pieces:
 
 1. Every window selects the least-hashed of its ``KEY``-word grams. Equal windows
    select equal grams, so a window can only repeat where its gram occurs in two
-   documents. Documents whose whole word sequence equals that of a smaller id
-   need no graph; all their windows repeat.
-2. Windows whose gram repeats become edges (128-bit hash, document, position).
-   Grouped, each edge has a source, its occurrence with the smallest id, and the
-   number and fingerprint of all its occurrences.
-3. Two edges that follow each other in their source form a nonbranching
-   junction if the occurrences of the second are exactly those of the first,
-   one word on. Runs of such junctions are compacted into paths.
-4. A join of path heads with their occurrences places each path in every
-   document that holds it. Source and occurrence are then read again at their
-   coordinates, and only spans whose words have equal SHA-256 digests stay.
+   documents. Neighbouring windows that select the same gram form a piece, a
+   ready path of edges. Documents whose whole word sequence equals that of a
+   smaller id need no graph; all their windows repeat.
+2. Pieces whose gram repeats are joined with the first document that holds a
+   piece of equal words. Elsewhere all their windows repeat. In its first
+   document, a piece is only opened into single edges if its gram has pieces of
+   other words too; these edges are joined with their first document likewise.
+3. Placed pieces and edges are compacted: they make one path as long as both
+   their document and their source go on without a branch between.
+4. Path and source are read again at their coordinates, and only spans whose
+   words have equal SHA-256 digests stay.
 
 Texts that are null, empty or shorter than a window have no spans. Rows with a
 null id are neither sources nor cut. Rows that share an id never cut each other
-(no id is smaller); their spans are told apart by the text's own hash. Other
+(no id is smaller); their spans are told apart by a tag of the text. Other
 columns are ignored.
 """
 
@@ -36,13 +36,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.rows import map_rows
-from riskloom.llm.words import WordHasher, encoded, mix, sequence_hash
-from riskloom.sources.staging import staged
+from riskloom.llm.tables import few_or_shuffled, settled
+from riskloom.llm.words import WordHasher, encoded, mix
+from riskloom.sources.staging import discard, staged
 
 WINDOW = 13
-KEY = 4
-# Most ids that are broadcast, once counted.
-BROADCAST_IDS = 1_000_000
+KEY = 5
+# Texts whose pieces are handed on at a time.
+ROWS = 512
+SCANNED = (
+    "id long, n long, k1 long, k2 long, key array<long>, pos array<int>, len array<int>, "
+    "s1 array<long>, s2 array<int>"
+)
 
 
 def _running(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -55,80 +60,95 @@ def _running(values: np.ndarray, width: int, pick) -> np.ndarray:
     return values
 
 
-def window_keys(hasher: WordHasher, words: np.ndarray, window: int, key: int) -> np.ndarray:
+def window_keys(hasher: WordHasher, sums: np.ndarray, window: int, key: int) -> np.ndarray:
     """Per window, the least hash of its key grams."""
-    grams = hasher.grams(words, key)
+    grams = hasher.grams(sums, key)
     width = window - key + 1
     return _running(grams, width, np.minimum) if len(grams) >= width else grams[:0]
 
 
+def _half(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def _scan(window: int, key: int):
+    """Per text, its length, sequence hash and pieces."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHasher()
-        for batch in batches:
-            lengths, firsts, seconds, keys = [], [], [], []
-            for text in batch["text"]:
+        for batch in (b.iloc[i : i + ROWS] for b in batches for i in range(0, len(b), ROWS)):
+            rows = []
+            for id_, text in zip(batch["id"], batch["text"]):
                 words = hasher.words(encoded(text))[2]
-                first, second = sequence_hash(words)
-                lengths.append(len(words))
-                firsts.append(first)
-                seconds.append(second)
-                keys.append(np.unique(window_keys(hasher, words, window, key)).view(np.int64))
-            yield pd.DataFrame(
-                {"id": batch["id"], "n": lengths, "k1": firsts, "k2": seconds, "keys": keys}
-            )
+                sums, others = hasher.sums(words), hasher.sums(mix(words))
+                keys = window_keys(hasher, sums, window, key)
+                starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint64(1)))
+                ends = np.append(starts[1:], len(keys)) + window - 1 if len(keys) else starts
+                rows.append(
+                    (
+                        id_,
+                        len(words),
+                        *hasher.sequence(words),
+                        keys[starts].view(np.int64),
+                        starts.astype(np.int32),
+                        (ends - starts).astype(np.int32),
+                        hasher.runs(sums, starts, ends).view(np.int64),
+                        _half(hasher.runs(others, starts, ends)),
+                    )
+                )
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in SCANNED.split(", ")])
 
     return run
 
 
-def _edges(window: int, key: int):
-    """Windows whose key is among the document's repeated ones."""
+def _edges(window: int):
+    """The single windows of the requested pieces."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher, second = WordHasher(1), WordHasher(2)
+        hasher = WordHasher()
         for batch in batches:
             parts = []
-            for id_, text, k1, repeated in zip(batch["id"], batch["text"], batch["k1"], batch["keys"]):
+            for id_, text, tag, pieces in zip(*(batch[c] for c in ("id", "text", "tag", "asked"))):
                 words = hasher.words(encoded(text))[2]
-                if sequence_hash(words)[0] != k1:
+                if hasher.tag(words) != tag:
                     continue
-                keys = window_keys(hasher, words, window, key).view(np.int64)
-                at = np.flatnonzero(np.isin(keys, np.asarray(repeated, np.int64)))
-                e1 = hasher.grams(words, window)[at].view(np.int64)
-                e2 = second.grams(mix(words), window)[at].view(np.int64)
-                parts.append((np.full(len(at), id_, np.int64), np.full(len(at), k1, np.int64), at, e1, e2))
+                at = np.concatenate(
+                    [np.arange(p["pos"], p["pos"] + p["len"] - window + 1) for p in pieces]
+                )
+                e1 = hasher.runs(hasher.sums(words), at, at + window).view(np.int64)
+                e2 = _half(hasher.runs(hasher.sums(mix(words)), at, at + window))
+                own = np.full(len(at), id_, np.int64), np.full(len(at), tag, np.int32)
+                parts.append((*own, at.astype(np.int32), e1, e2))
             if parts:
                 columns = [np.concatenate(c) for c in zip(*parts)]
-                yield pd.DataFrame(dict(zip(("id", "k1", "pos", "e1", "e2"), columns)))
+                yield pd.DataFrame(dict(zip(("id", "tag", "pos", "e1", "e2"), columns)))
 
     return run
 
 
-def _digests():
+def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Digest of the words of each requested span."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = WordHasher()
-        for batch in batches:
-            rows = []
-            for id_, text, k1, spans in zip(batch["id"], batch["text"], batch["k1"], batch["spans"]):
-                data = encoded(text)
-                words = data.split()
-                if sequence_hash(hasher.words(data)[2])[0] != k1:
-                    continue
-                for span in spans:
-                    part = b" ".join(words[span["pos"] : span["pos"] + span["len"]])
-                    digest = hashlib.sha256(part).digest()
-                    rows.append((id_, k1, span["pos"], span["len"], span["e1"], span["e2"], digest))
-            yield pd.DataFrame(rows, columns=["id", "k1", "pos", "len", "e1", "e2", "digest"])
-
-    return run
-
-
-def few_or_shuffled(ids: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
-    """``ids``, marked for broadcast if it was counted to hold at most ``limit`` rows."""
-    ids = staged(ids, "ids")
-    return F.broadcast(ids) if ids.count() <= limit else ids
+    hasher = WordHasher()
+    for batch in batches:
+        rows = []
+        for text, tag, spans in zip(batch["text"], batch["tag"], batch["asked"]):
+            data = encoded(text)
+            if hasher.tag(hasher.words(data)[2]) != tag:
+                continue
+            words = data.split()
+            for span in spans:
+                part = b" ".join(words[span["pos"] : span["pos"] + span["len"]])
+                rows.append((span["path"], span["role"], hashlib.sha256(part).digest()))
+        yield pd.DataFrame(rows, columns=["path", "role", "digest"])
+
+
+def _with_texts(texts: DataFrame, asked: DataFrame, *fields: str) -> DataFrame:
+    """(id, tag, text, asked): the requests of each text, beside it."""
+    asked = settled(
+        asked.groupBy("id", "tag").agg(F.collect_list(F.struct(*fields)).alias("asked")), "asked"
+    )
+    wanted = few_or_shuffled(asked.select("id").distinct())
+    return texts.join(wanted, "id", "left_semi").join(asked, "id")
 
 
 def repeated_spans(
@@ -138,110 +158,110 @@ def repeated_spans(
     window: int = WINDOW,
     key: int = KEY,
 ) -> DataFrame:
-    """(doc_id, text_hash, start, end): word spans to remove, which may overlap or touch.
+    """(doc_id, tag, start, end): word spans to remove, which may overlap or touch.
 
-    ``text_hash`` tells apart texts of rows that share an id.
+    ``tag`` tells apart the texts of rows that share an id.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = texts.where(F.col("id").isNotNull())
-    scanned = staged(
-        texts.mapInPandas(_scan(window, key), "id long, n long, k1 long, k2 long, keys array<long>"),
-        "scanned",
-    ).where(F.col("n") >= window)
+    scan = settled(texts.mapInPandas(_scan(window, key), SCANNED), "scanned")
+    scanned = scan.where(F.col("n") >= window).withColumn(
+        "tag", F.shiftright(F.shiftleft("k1", 32), 32).cast("int")
+    )
     heads = scanned.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.count("*").alias("rows"))
     copies = staged(
-        scanned.select("id", "k1", "k2", "n")
+        scanned.select("id", "k1", "k2", "n", "tag")
         .join(heads.where("rows > 1"), ["k1", "k2"])
         .where(F.col("id") > F.col("first"))
-        .select("id", "k1", "n"),
+        .select("id", "tag", "n"),
         "copies",
     )
-    whole = copies.select("id", "k1", F.lit(0).cast("long").alias("start"), F.col("n").alias("end"))
+    whole = copies.select("id", "tag", F.lit(0).cast("long").alias("start"), F.col("n").alias("end"))
 
-    gone = few_or_shuffled(copies.select("id", "k1").distinct())
-    keys = scanned.join(gone, ["id", "k1"], "left_anti").select(
-        "id", "k1", F.explode("keys").alias("key")
-    )
-    repeated = (
-        keys.groupBy("key")
+    gone = few_or_shuffled(copies.select("id", "tag").distinct())
+    distinct = scanned.join(gone, ["id", "tag"], "left_anti")
+    repeated = settled(
+        distinct.select("id", F.explode("key").alias("key"))
+        .groupBy("key")
         .agg(F.min("id").alias("low"), F.max("id").alias("high"))
         .where("low < high")
-        .select("key")
+        .select("key"),
+        "repeated",
     )
-    wanted = staged(
-        keys.join(repeated, "key", "left_semi").groupBy("id", "k1").agg(F.collect_list("key").alias("keys")),
-        "wanted",
+    piece = F.explode(F.arrays_zip("key", "pos", "len", "s1", "s2")).alias("piece")
+    pieces = settled(
+        distinct.select("id", "tag", piece)
+        .select("id", "tag", "piece.*")
+        .join(repeated, "key", "left_semi"),
+        "pieces",
     )
-    held = staged(
-        texts.join(few_or_shuffled(wanted.select("id").distinct()), "id", "left_semi")
-        .join(wanted, "id")
-        .mapInPandas(_edges(window, key), "id long, k1 long, pos long, e1 long, e2 long"),
+    discard(scan, repeated)
+    first = F.min(F.struct("id", "tag", "pos")).alias("src")
+    firsts = settled(pieces.groupBy("s1", "s2", "key").agg(first), "firsts")
+    branching = firsts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    opened = pieces.join(
+        firsts.join(branching, "key", "left_semi").select("s1", "s2", "src"), ["s1", "s2"]
+    ).where(F.col("id") == F.col("src.id"))
+    edges = settled(
+        _with_texts(texts, opened.select("id", "tag", "pos", "len"), "pos", "len").mapInPandas(
+            _edges(window), "id long, tag int, pos int, e1 long, e2 int"
+        ),
         "edges",
     )
-    here = F.xxhash64("id", "k1", "pos")
-    onward = F.xxhash64("id", "k1", F.col("pos") + 1)
-    edges = (
-        held.groupBy("e1", "e2")
-        .agg(
-            F.min(F.struct("id", "k1", "pos")).alias("src"),
-            F.max("id").alias("high"),
-            F.count("*").alias("n"),
-            F.bit_xor(here).alias("at"),
-            F.bit_xor(onward).alias("next"),
+    held = edges.groupBy("e1", "e2").agg(first, F.max("id").alias("high")).where("src.id < high")
+    place = ["id", "tag", "pos", "len", "src.id as sid", "src.tag as stag", "src.pos as spos"]
+    placed = (
+        pieces.join(firsts.select("s1", "s2", "src"), ["s1", "s2"])
+        .where(F.col("id") > F.col("src.id"))
+        .selectExpr(*place)
+        .union(
+            edges.withColumn("len", F.lit(window))
+            .join(held.select("e1", "e2", "src"), ["e1", "e2"])
+            .where(F.col("id") > F.col("src.id"))
+            .selectExpr(*place)
         )
-        .where("src.id < high")
-        .select("e1", "e2", "src.*", "n", "at", "next")
-    )
-    along = Window.partitionBy("id", "k1").orderBy("pos")
-    before = F.lag(F.struct("pos", "n", "next")).over(along)
-    joined = (
-        (F.col("before.pos") == F.col("pos") - 1)
-        & (F.col("before.n") == F.col("n"))
-        & (F.col("before.next") == F.col("at"))
+        .withColumn("shift", F.col("spos") - F.col("pos"))
     )
-    paths = staged(
-        edges.withColumn("before", before)
-        .withColumn("head", F.when(F.coalesce(joined, F.lit(False)), 0).otherwise(1))
-        .withColumn("path", F.sum("head").over(along))
-        .groupBy("id", "k1", "path")
+    # Of one document and one alignment with one source: bounded by the document's length.
+    alignment = ["id", "tag", "sid", "stag", "shift"]
+    along = Window.partitionBy(*alignment).orderBy("pos", "len")
+    reached = F.max(F.col("pos") + F.col("len")).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    paths = settled(
+        placed.withColumn("branch", F.when(F.col("pos") <= reached, 0).otherwise(1))
+        .withColumn("run", F.sum("branch").over(along))
+        .groupBy(*alignment, "run")
         .agg(
             F.min("pos").alias("pos"),
-            (F.count("*") + window - 1).alias("len"),
-            F.min_by(F.struct("e1", "e2"), "pos").alias("edge"),
+            (F.max(F.col("pos") + F.col("len")) - F.min("pos")).alias("len"),
         )
-        .select("id", "k1", "pos", "len", "edge.e1", "edge.e2"),
+        .withColumn("path", F.struct(*alignment, "pos")),
         "paths",
     )
-    sources = paths.select("e1", "e2", "len", F.col("id").alias("source"))
-    placed = held.join(sources, ["e1", "e2"]).where(F.col("id") > F.col("source"))
-    requests = staged(
-        placed.select("id", "k1", "pos", "len", "e1", "e2").union(
-            paths.select("id", "k1", "pos", "len", "e1", "e2")
-        ),
-        "requests",
+    discard(pieces, firsts, edges)
+    asked = paths.select("id", "tag", "pos", "len", "path", F.lit(0).alias("role")).union(
+        paths.select(
+            F.col("sid"), F.col("stag"), F.col("pos") + F.col("shift"), "len", "path", F.lit(1)
+        )
     )
-    per_doc = requests.groupBy("id", "k1").agg(
-        F.collect_list(F.struct("pos", "len", "e1", "e2")).alias("spans")
+    kind = paths.schema["path"].dataType.simpleString()
+    read = _with_texts(texts, asked, "pos", "len", "path", "role").mapInPandas(
+        _digests, f"path {kind}, role int, digest binary"
     )
-    read = staged(
-        texts.join(few_or_shuffled(requests.select("id").distinct()), "id", "left_semi")
-        .join(per_doc, "id")
-        .mapInPandas(
-            _digests(), "id long, k1 long, pos long, len long, e1 long, e2 long, digest binary"
-        ),
-        "digests",
-    )
-    truth = read.join(
-        paths.select("id", "k1", "pos", "e1", "e2"), ["id", "k1", "pos", "e1", "e2"], "left_semi"
-    ).select("e1", "e2", F.col("id").alias("source"), F.col("digest").alias("expected"))
-    spans = (
-        read.join(truth, ["e1", "e2"])
-        .where((F.col("id") > F.col("source")) & (F.col("digest") == F.col("expected")))
-        .select("id", "k1", F.col("pos").alias("start"), (F.col("pos") + F.col("len")).alias("end"))
+    same = (
+        read.groupBy("path")
+        .agg(
+            F.min("digest").alias("low"),
+            F.max("digest").alias("high"),
+            F.count_distinct("role").alias("roles"),
+        )
+        .where("low = high and roles = 2")
+        .select("path")
     )
-    return spans.union(whole).select(
-        F.col("id").alias("doc_id"), F.col("k1").alias("text_hash"), "start", "end"
+    start, end = F.col("pos").cast("long"), (F.col("pos") + F.col("len")).cast("long")
+    spans = paths.join(same, "path", "left_semi").select(
+        "id", "tag", start.alias("start"), end.alias("end")
     )
+    return spans.union(whole).withColumnRenamed("id", "doc_id")
 
 
 def cut(text: str | None, spans, hasher: WordHasher) -> tuple[list[bytes], int]:
@@ -250,10 +270,10 @@ def cut(text: str | None, spans, hasher: WordHasher) -> tuple[list[bytes], int]:
     words = data.split()
     if not spans:
         return words, 0
-    own = sequence_hash(hasher.words(data)[2])[0]
+    own = hasher.tag(hasher.words(data)[2])
     change = np.zeros(len(words) + 1, np.int64)
     for span in spans:
-        if span["text_hash"] == own:
+        if span["tag"] == own:
             change[span["start"]] += 1
             change[span["end"]] -= 1
     kept = np.cumsum(change[:-1]) == 0
@@ -279,9 +299,9 @@ def without_repeats(
     Rows without spans are not shuffled as long as the ids that have some are few.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    spans = staged(spans, "spans")
+    spans = settled(spans, "spans")
     per_doc = spans.groupBy(F.col("doc_id").alias("id")).agg(
-        F.collect_list(F.struct("text_hash", "start", "end")).alias("spans")
+        F.collect_list(F.struct("tag", "start", "end")).alias("spans")
     )
     ids = few_or_shuffled(spans.select(F.col("doc_id").alias("id")).distinct())
     none = F.lit(None).cast(per_doc.schema["spans"].dataType)
