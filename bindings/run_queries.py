@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -55,6 +56,54 @@ def collect(spark, sf):
     return jobs.collect_job(spark, listing_pages(spark, sf), fresh_path(spark, "j1"), CONFIG)
 
 
+@query(
+    "j1_page_errors",
+    f"""WITH {sql.POSTS} SELECT subreddit AS group_name, CAST(id AS BIGINT) AS page_no,
+      'https://forum.example/l/' || id AS url, 1 AS attempt,
+      'NestedTooDeep: more than 64 items are open at once' AS error
+    FROM posts WHERE CAST(id AS BIGINT) % 7 = 3 AND subreddit IN ({', '.join(f"'{g}'" for g in GROUPS)})""",
+)
+def page_errors(spark, sf):
+    """Every seventh page opens items without end and is reported, not lost."""
+    endless = F.repeat(F.lit('<div class="thing">'), 100)
+    pages = listing_pages(spark, sf).withColumn(
+        "html", F.when(F.col("page_no") % 7 == 3, endless).otherwise(F.col("html"))
+    )
+    out = fresh_path(spark, "j1-errors")
+    jobs.collect_job(spark, pages, out, CONFIG)
+    schema = "group_name string, page_no long, url string, attempt int, error string"
+    return spark.read.schema(schema).json(f"{out}/errors")
+
+
+J2_SQL = f"""WITH {sql.POSTS}, {sql.ITEMS}, {COLLECTED}, {ENRICHED}
+    SELECT a.username, id, kind, text, created_utc FROM authors a LEFT JOIN budgeted USING (username)"""
+
+
+@query("j2_enrich_stop_at_old", J2_SQL)
+def enrich_stop_at_old(spark, sf):
+    """Newest-first pages, read up to the first item older than the lookback."""
+    posts = jobs.collect(listing_pages(spark, sf), CONFIG)
+    newest_first = F.lit(1 << 40) - F.col("created_utc").cast("long")
+    items = tables.items(spark, sf).withColumn("_page", newest_first)
+    pages = tables.user_pages(items, page_no=F.col("_page"))
+    users, items = jobs.enrich_job(
+        spark, posts, pages, None, fresh_path(spark, "j2"), replace(CONFIG, stop_at_old=True)
+    )
+    return users.join(items.select("username", "id", "kind", "text", "created_utc"), "username", "left")
+
+
+@query(
+    "j2_items_per_user",
+    f"""WITH {sql.POSTS}, {sql.ITEMS}, {COLLECTED}, {ENRICHED}
+    SELECT a.username, count(id) AS items FROM authors a LEFT JOIN budgeted USING (username) GROUP BY a.username""",
+)
+def items_per_user(spark, sf):
+    posts = jobs.collect(listing_pages(spark, sf), CONFIG)
+    out = fresh_path(spark, "j2")
+    jobs.enrich_job(spark, posts, user_pages(spark, sf), None, out, CONFIG)
+    return spark.read.schema("username string, items long").json(f"{out}/items_per_user")
+
+
 @query(
     "j2_enrich",
     f"""WITH {sql.POSTS}, {sql.ITEMS}, {COLLECTED}, {ENRICHED}

@@ -18,17 +18,16 @@ from riskloom.sources import readers, writers
 from riskloom.sources.staging import fresh_path
 
 
-@query(
-    "s1_lenient_posts",
-    f"""WITH {sql.POSTS}, n AS (SELECT *, CAST(id AS BIGINT) AS k FROM posts)
+LENIENT = f"""WITH {sql.POSTS}, n AS (SELECT *, CAST(id AS BIGINT) AS k FROM posts)
     SELECT id, CASE WHEN k % 3 = 0 THEN '' ELSE url END AS url, subreddit,
       CASE WHEN k % 7 = 0 THEN '' ELSE author END AS author, title, text,
-      CASE WHEN k % 11 = 0 THEN 0e0 ELSE created_utc END AS created_utc, language FROM n""",
-)
-def lenient_posts(spark, sf):
-    """Posts with missing, null and empty fields, numeric ids, and stray array lines."""
+      CASE WHEN k % 11 = 0 THEN 0e0 ELSE created_utc END AS created_utc, language FROM n"""
+
+
+def uneven_posts(spark, sf):
+    """Posts with missing, null and empty fields and numeric ids."""
     number = F.col("id").cast("long")
-    rows = tables.posts(spark, sf).select(
+    return tables.posts(spark, sf).select(
         number.alias("id"),
         F.when(number % 3 != 0, F.col("url")).alias("url"),
         "subreddit",
@@ -38,13 +37,34 @@ def lenient_posts(spark, sf):
         F.when(number % 5 == 0, F.col("text")).alias("selftext"),
         F.when(number % 11 != 0, F.col("created_utc")).alias("created_utc"),
     )
+
+
+@query("s1_lenient_posts", LENIENT)
+def lenient_posts(spark, sf):
+    """Uneven posts as lines among stray lines that hold arrays."""
+    rows = uneven_posts(spark, sf)
     lines = rows.select(F.to_json(F.struct("*")).alias("value"))
-    stray = rows.where(number % 4 == 0).select(F.lit('["no", "post"]').alias("value"))
+    stray = rows.where(F.col("id") % 4 == 0).select(F.lit('["no", "post"]').alias("value"))
     path = fresh_path(spark, "lenient")
     lines.unionByName(stray).write.text(path)
     return readers.read_posts(spark, path, lines=True)
 
 
+def one_file_each(documents, path):
+    """Writes (part, value) so that each value is a file of its own."""
+    documents.write.partitionBy("part").text(path)
+    return path
+
+
+@query("s1_posts_document", LENIENT)
+def posts_document(spark, sf):
+    """Uneven posts in whole documents, each an array over several lines."""
+    rows = uneven_posts(spark, sf).withColumn("part", F.col("id") % 5)
+    arrays = rows.groupBy("part").agg(F.to_json(F.collect_list(F.struct(*rows.columns[:-1]))).alias("value"))
+    arrays = arrays.withColumn("value", F.replace("value", F.lit("},{"), F.lit("},\n{")))
+    return readers.read_posts(spark, one_file_each(arrays, fresh_path(spark, "documents")))
+
+
 @query("s2_strict_posts", f"WITH {sql.POSTS} SELECT * FROM posts")
 def strict_posts(spark, sf):
     path = fresh_path(spark, "strict")
@@ -52,17 +72,36 @@ def strict_posts(spark, sf):
     return readers.read_posts_strict(spark, path, lines=True)
 
 
-@query(
-    "s3_history",
-    f"""WITH {sql.ITEMS}, t AS (SELECT *, CAST(string_split(id, ':')[2] AS INT) AS turn FROM items)
+HISTORIES = f"""WITH {sql.ITEMS}, t AS (SELECT *, CAST(string_split(id, ':')[2] AS INT) AS turn FROM items)
     SELECT DISTINCT u.username, i.id, i.kind, i.created_utc
-    FROM (SELECT DISTINCT username FROM t) u LEFT JOIN (SELECT * FROM t WHERE turn % 3 <> 1) i USING (username)""",
-)
+    FROM (SELECT DISTINCT username FROM t) u LEFT JOIN (SELECT * FROM t WHERE turn % 3 <> 1) i USING (username)"""
+
+
+def damaged_items(spark, sf):
+    """Items some of which lack their kind."""
+    turn = F.element_at(F.split("id", ":"), 2).cast("int")
+    return tables.items(spark, sf).withColumn("kind", F.when(turn % 3 != 1, F.col("kind")))
+
+
+@query("s3_history_document", HISTORIES)
+def history_document(spark, sf):
+    """Whole documents of users with their items; users without a sound item stay."""
+    items = damaged_items(spark, sf)
+    entry = F.struct(*schemas.ITEM.names)
+    users_ = items.groupBy("username").agg(F.collect_list(entry).alias("items"))
+    users_ = users_.withColumn("part", F.pmod(F.xxhash64("username"), F.lit(4)))
+    documents = users_.groupBy("part").agg(
+        F.to_json(F.map_from_entries(F.collect_list(F.struct("username", "items")))).alias("value")
+    )
+    path = one_file_each(documents, fresh_path(spark, "histories"))
+    found, kept = readers.read_history(spark, path)
+    return found.join(kept.select("username", "id", "kind", "created_utc"), "username", "left")
+
+
+@query("s3_history", HISTORIES)
 def history(spark, sf):
     """Nested lines in which some items lack their kind; those users stay."""
-    items = tables.items(spark, sf)
-    turn = F.element_at(F.split("id", ":"), 2).cast("int")
-    damaged = items.withColumn("kind", F.when(turn % 3 != 1, F.col("kind")))
+    items, damaged = tables.items(spark, sf), damaged_items(spark, sf)
     path = fresh_path(spark, "history")
     writers.write_history_nested(items.select("username").distinct(), damaged, path)
     found, kept = readers.read_history_lines(spark, path)

@@ -160,7 +160,7 @@ def listing_pages(posts: DataFrame) -> DataFrame:
     )
 
 
-def user_pages(items: DataFrame) -> DataFrame:
+def user_pages(items: DataFrame, page_no: Column | None = None) -> DataFrame:
     """A landed user page around each history item."""
     moment = F.expr(
         "date_format(timestampadd(SECOND, cast(created_utc as bigint), "
@@ -180,7 +180,7 @@ def user_pages(items: DataFrame) -> DataFrame:
     return items.select(
         "username",
         "kind",
-        F.lit(1).alias("page_no"),
+        (F.lit(1) if page_no is None else page_no).alias("page_no"),
         F.concat(F.lit("https://forum.example/u/"), "id").alias("url"),
         html.alias("html"),
         F.lit(200).alias("status"),

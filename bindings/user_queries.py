@@ -6,7 +6,7 @@ from bindings import sql, tables
 from bindings.registry import query
 from riskloom.operators import posts, users
 from riskloom.sources import writers
-from riskloom.sources.staging import staged
+from riskloom.sources.staging import fresh_path, staged
 
 MODEL = tables.CALIBRATED
 ITEM_SCORES = f"{sql.ITEMS}, u_posts AS (SELECT *, '' AS title FROM items), {sql.scored('u_posts', MODEL, 'si')}, own AS (SELECT username, id, risk_score AS score FROM si)"
@@ -118,3 +118,17 @@ def fallback_scores(spark, sf):
 )
 def scored_user_csv_rows(spark, sf):
     return writers.scored_user_csv_rows(active_risk(spark, sf))
+
+
+@query(
+    "s9_scored_users_csv",
+    f"""{ACTIVE_RISK} SELECT username, printf('%.4f', score) AS score, label,
+      printf('%.4f', max_post_score) AS max_post_score, printf('%.4f', average_score) AS average_score,
+      CAST(count_high_posts AS VARCHAR) AS count_high_posts, CAST(total_posts AS VARCHAR) AS total_posts,
+      explanation FROM risk""",
+)
+def scored_users_csv(spark, sf):
+    """The rows written as CSV and read back as text."""
+    path = fresh_path(spark, "users-csv")
+    writers.write_scored_users_csv(active_risk(spark, sf), path)
+    return spark.read.csv(path, header=True, escape='"')

@@ -26,6 +26,14 @@ ATTRIBUTES = {
     "link": "data-url",
 }
 TEXTS = ("title", "expando_text", "md_text")
+# An item that is open gets the texts of all elements in it, those of nested items too. A
+# page with more open items than this is refused, so that work and output stay in
+# proportion to the page.
+MAX_OPEN_ITEMS = 64
+
+
+class NestedTooDeep(ValueError):
+    """A page that opens items within items without end."""
 
 
 class _Text:
@@ -98,6 +106,8 @@ class ListingParser(HTMLParser):
         depth = len(self.stack)
         self._within_items(tag, attributes, classes, depth)
         if tag == "div" and "thing" in classes:
+            if len(self.open_items) >= MAX_OPEN_ITEMS:
+                raise NestedTooDeep(f"more than {MAX_OPEN_ITEMS} items are open at once")
             item = _Item(attributes, depth)
             self.items.append(item)
             self.open_items.append(item)

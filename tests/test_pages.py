@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -187,3 +188,14 @@ def test_usable_pages(spark, broadcast_keys):
     shared = [("a", 1, "x", 1, 404, "gone"), ("a", 2, "dup", 1, 200, "in a"), ("b", 1, "dup", 1, 200, "in b")]
     both = pg.usable_pages(spark.createDataFrame(shared, df.schema), ["g"], broadcast_keys=broadcast_keys)
     assert [r.html for r in both.collect()] == ["in b"]
+
+
+def test_items_without_end_are_refused_at_once(spark):
+    page = "<div class='thing'>some text " * 4000
+    row = spark.createDataFrame([(page,)], "html string").select(pg.parse_page("html").alias("p")).first()
+    assert row.p["items"] == [] and "64 items" in row.p["error"]
+    assert len(parse_listing("<div class='thing'>" * 64)["items"]) == 64
+    start = time.perf_counter()
+    with pytest.raises(ValueError):
+        parse_listing(page)
+    assert time.perf_counter() - start < 0.5
