@@ -8,9 +8,11 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from bindings import sql, tables
+from bindings.post_queries import FULL_DETECTED
 from bindings.registry import query
 from bindings.select_queries import budget_sql
 from bindings.source_queries import EXTRACTED, SCORED
+from riskloom.functions import text as tx
 from riskloom.operators.select import cutoff
 from riskloom.plans import jobs
 from riskloom.sources.staging import fresh_path
@@ -147,6 +149,29 @@ def score_posts(spark, sf):
     return table.select("id", "risk_score", "risk_label", "risk_explanation")
 
 
+def labelled_texts(spark, sf):
+    title = F.substring_index("text", "\n", 1)
+    return tables.read(spark, sf, "documents").select(
+        "lang", tx.scoring_text(title, F.col("text")).alias("text")
+    )
+
+
+@query(
+    "j3_score_posts_language",
+    f"""WITH {sql.POSTS}, {sql.scored('posts', CONFIG.model)}, {FULL_DETECTED},
+    f AS (SELECT scored.* EXCLUDE (language),
+        CASE WHEN length(full_text) < 20 THEN 'unknown' ELSE lb.lang END AS language
+      FROM scored LEFT JOIN lb ON lb.doc_id = CAST(id AS BIGINT))
+    SELECT id, language, risk_score, {sql.post_explanation('language')} AS risk_explanation FROM f""",
+)
+def score_posts_language(spark, sf):
+    """Profiles trained and written by one job, read and applied by the next."""
+    out = fresh_path(spark, "j3")
+    profiles = jobs.train_profiles_job(spark, labelled_texts(spark, sf), f"{out}/profiles")
+    table = jobs.score_posts_job(spark, tables.posts(spark, sf), f"{out}/posts", CONFIG, profiles)
+    return table.select("id", "language", "risk_score", "risk_explanation")
+
+
 def risk_sql(users: str, items: str, posts: str) -> str:
     return f"""ip AS (SELECT *, '' AS title FROM {items}), {sql.scored('ip', CONFIG.model, 'si')},
     own AS (SELECT username, id, risk_score AS score FROM si),

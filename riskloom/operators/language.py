@@ -26,6 +26,8 @@ WEIGHT_SCALE = 1000
 MIN_LENGTH = 20
 UNKNOWN = "unknown"
 MAX_LANGUAGES = 256
+# Characters times languages that are scored at a time.
+SLICE = 1 << 19
 # Bucket number of the weight given to trigrams unseen in training.
 UNSEEN = -1
 
@@ -39,6 +41,41 @@ def _trigram_counts(text: str, buckets: int) -> np.ndarray:
     return np.bincount(hashed, minlength=buckets)
 
 
+def _slices(texts: list[str], chars: int) -> Iterator[list[str]]:
+    """Runs of texts of about ``chars`` characters."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= chars or i == len(texts) - 1:
+            yield texts[start : i + 1]
+            start, size = i + 1, 0
+
+
+def _best(texts: list[str], weights: np.ndarray) -> np.ndarray:
+    """Number of the language with the largest sum of weights, for each text.
+
+    All texts are hashed as one; trigrams that would reach over the end of a
+    text get no weight, as the row after the last bucket is zero.
+    """
+    buckets = weights.shape[1]
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+    ends = np.cumsum([len(t) for t in texts])
+    scores = np.zeros((len(weights), len(texts)), np.int64)
+    if len(points) >= 3:
+        a, b, c = MULTIPLIERS
+        hashed = (points[:-2] * a + points[1:-1] * b + points[2:] * c) % buckets
+        for back in (1, 2):
+            over = ends - back
+            hashed[over[(over >= 0) & (over < len(hashed))]] = buckets
+        padded = np.pad(weights, ((0, 0), (0, 1)))
+        sums = np.zeros((len(weights), len(points) + 1), np.int64)
+        np.cumsum(padded[:, hashed], axis=1, out=sums[:, 1 : len(hashed) + 1])
+        sums[:, len(hashed) + 1 :] = sums[:, len(hashed) : len(hashed) + 1]
+        starts = np.concatenate([[0], ends[:-1]])
+        scores = sums[:, ends] - sums[:, starts]
+    return scores.argmax(axis=0)
+
+
 def _count_trigrams(buckets: int):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -78,17 +115,18 @@ def train_language_profiles(labelled: DataFrame, buckets: int = BUCKETS) -> Data
     return seen.unionByName(unseen)
 
 
-def detector(profiles: DataFrame, buckets: int = BUCKETS):
+def detector(profiles: DataFrame, buckets: int = BUCKETS, max_languages: int = MAX_LANGUAGES):
     """A column function text -> language, with ``profiles`` fitted in.
 
     Reads the profile table (bounded by languages x buckets, checked) to the
-    driver once, as fitting any model does. Texts under MIN_LENGTH characters
+    driver once, as fitting any model does; pass a written table, or the
+    training runs while the plan is being built. Texts under MIN_LENGTH characters
     are "unknown"; equal scores go to the first language by name.
     """
-    limit = MAX_LANGUAGES * (buckets + 1)
+    limit = max_languages * (buckets + 1)
     rows = profiles.select("lang", "bucket", "weight").limit(limit + 1).toPandas()
     if len(rows) > limit:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages in the profile table")
+        raise ValueError(f"more than {max_languages} languages in the profile table")
     names = sorted(rows["lang"].unique())
     weights = np.zeros((len(names), buckets), dtype=np.int64)
     for i, name in enumerate(names):
@@ -99,8 +137,9 @@ def detector(profiles: DataFrame, buckets: int = BUCKETS):
 
     @F.pandas_udf(T.StringType())
     def best_language(texts: pd.Series) -> pd.Series:
-        best = (names[int(np.argmax(weights @ _trigram_counts(t, buckets)))] for t in texts)
-        return pd.Series(list(best), dtype="object")
+        parts = _slices(texts.tolist(), SLICE // len(names))
+        best = [i for part in parts for i in _best(part, weights)]
+        return pd.Series([names[i] for i in best], dtype="object")
 
     def detect(text: Column) -> Column:
         if not names:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riskloom.model import DEFAULT_MODEL, RiskModel
 from riskloom.operators import report
-from riskloom.operators.language import detector
+from riskloom.operators.language import detector, train_language_profiles
 from riskloom.operators.pages import extract_items, extract_posts, parsed_pages, usable_keys
 from riskloom.operators.posts import scored_records
 from riskloom.operators.select import (
@@ -146,6 +146,12 @@ def enrich_job(
     return users, items
 
 
+def train_profiles_job(spark: SparkSession, labelled: DataFrame, out: str) -> DataFrame:
+    """Language profiles of ``labelled(lang, text)`` as a table, for J3 and J5."""
+    train_language_profiles(labelled).write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
+
+
 def score_posts_job(
     spark: SparkSession,
     posts: DataFrame,
@@ -205,8 +211,15 @@ def full_run(
     cfg: RunConfig,
     known: tuple[DataFrame, DataFrame] | None = None,
     profiles: DataFrame | None = None,
+    labelled: DataFrame | None = None,
 ) -> DataFrame:
-    """All stages in order below ``out``; the first failure ends the run."""
+    """All stages in order below ``out``; the first failure ends the run.
+
+    Posts get a language from ``profiles``, a table that an earlier run has
+    written, or from profiles trained on ``labelled(lang, text)`` first.
+    """
+    if profiles is None and labelled is not None:
+        profiles = train_profiles_job(spark, labelled, f"{out}/profiles")
     posts = collect_job(spark, listing_pages, f"{out}/posts", cfg)
     users, items = enrich_job(spark, posts, user_pages, known, f"{out}/history", cfg)
     scored = score_posts_job(spark, posts, f"{out}/scored_posts", cfg, profiles)

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import math
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,3 +80,13 @@ def test_without_profiles_all_is_unknown(spark, profiles):
     detect = lg.detector(profiles.limit(0))
     df = spark.createDataFrame([("a text of more than twenty characters",)], "t string")
     assert df.select(detect(F.col("t"))).first()[0] == "unknown"
+
+
+def test_short_texts_are_scored_together(spark, profiles):
+    rng = random.Random(2)
+    words = " ".join(t for _, t in TEXTS).split()
+    texts = [" ".join(rng.choice(words) for _ in range(5)) for _ in range(200)] + ["", "ab", "abc"]
+    weights = np.array([[rng.randint(-9000, 0) for _ in range(lg.BUCKETS)] for _ in range(3)])
+    want = [int(np.argmax(weights @ lg._trigram_counts(t, lg.BUCKETS))) for t in texts]
+    assert [i for part in lg._slices(texts, 900) for i in lg._best(part, weights)] == want
+    assert list(lg._best(["a"], weights)) == [0]

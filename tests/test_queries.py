@@ -9,13 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from bindings import tables
+from bindings import load_all, tables
 from riskloom.operators import posts, select, users
 from riskloom.plans import jobs
 from tools.compare import database, rows
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = load_all().QUERIES, load_all().ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -94,3 +94,21 @@ def test_collecting_parses_each_page_once_and_shuffles_no_page(spark):
     shuffled = df._jdf.queryExecution().optimizedPlan().toString()
     above_parse = shuffled[: shuffled.index("ArrowEvalPython")]
     assert "html" not in above_parse
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_histories_parse_each_page_once_and_shuffle_no_body(spark, monkeypatch, few):
+    monkeypatch.setattr(jobs, "few", lambda keys: few)
+    pages = spark.createDataFrame(
+        [("u", "comment", 1, "l", "<div class='thing'>", 200, 1)],
+        "username string, kind string, page_no int, url string, html string, status int, attempt int",
+    )
+    authors = spark.createDataFrame([("u",)], "username string")
+    df = jobs.pages_of(pages, authors)
+    assert plan(df).count("ArrowEvalPython") == 1
+    logical = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "html" not in logical[: logical.index("ArrowEvalPython")]
+
+
+def test_every_query_is_registered_once(spark):
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())

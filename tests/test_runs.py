@@ -61,6 +61,17 @@ def test_full_run(spark, landed, tmp_path):
     assert fallback.count() == 3
 
 
+def test_full_run_with_language(spark, landed, tmp_path):
+    texts = [("en", "the house and the garden of the king"), ("de", "das Haus und der Garten des Herrn")]
+    labelled = spark.createDataFrame(texts, "lang string, text string")
+    listing, history = landed
+    german = listing.withColumn("html", F.replace("html", F.lit(">tea<"), F.lit(">der Garten und das Haus des Herrn<")))
+    jobs.full_run(spark, german, history, str(tmp_path), jobs.RunConfig(AS_OF), labelled=labelled)
+    scored = spark.read.parquet(f"{tmp_path}/scored_posts/table").collect()
+    assert {r.id: r.language for r in scored}["2"] == "de"
+    assert spark.read.parquet(f"{tmp_path}/profiles").count() > 2
+
+
 def test_enrichment_skips_known_users(spark, landed, tmp_path):
     listing, history = landed
     posts = extract_posts(listing)
