@@ -13,10 +13,15 @@ tokenizers pipeline is built that does the same:
   dropped.
 
 If no piece has a metaspace after another character, text is first split before
-metaspaces, which changes no result and lets words be remembered.
+metaspaces, which changes no result. A text whose words stand between single spaces
+is then the pieces of its words one after the other: a task remembers the pieces of
+words it has met and hands only new ones to the library. Other texts, and those of
+models that rewrite characters, go to it whole.
 
 Texts are encoded in batches of bounded size on several threads. The ids of
-every text can be held against those of the sentencepiece library (``parity``).
+every text can be held against those of the sentencepiece library (``parity``),
+which takes about half as long again; :func:`verify_parity` does so for a bounded
+number of texts before a run.
 The model's bytes are read once on the driver and broadcast (about half a MB), so
 executors need no file. Null texts give null ids, empty ones no ids; texts of
 any length are encoded whole. Other columns pass through.
@@ -28,7 +33,9 @@ import os
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,10 +44,12 @@ from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalize
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 METASPACE = "▁"
-# Threads of one task, and characters that are encoded at a time.
-THREADS, BATCH_CHARS = 2, 1 << 20
-# Words whose pieces a task remembers.
-REMEMBERED = 100_000
+# Characters that are encoded at a time.
+BATCH_CHARS = 1 << 18
+# Words whose pieces a task remembers, and new ones that are one text for the library.
+REMEMBERED, NEW_WORDS = 300_000, 4_096
+# Texts that are verified before a run.
+VERIFIED_ROWS = 2_000
 # Fixed values of the public model format: kinds of pieces and model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -85,6 +94,17 @@ class PieceModel:
     escape_spaces: bool = True
     suffix: bool = False
 
+    @property
+    def splits(self) -> bool:
+        """Whether no piece has a metaspace after another character."""
+        return not any(METASPACE in p.lstrip(METASPACE) for p, _, kind in self.pieces if kind == NORMAL)
+
+    @property
+    def by_words(self) -> bool:
+        """Whether words between single spaces can be encoded one by one."""
+        own = any(kind == USER_DEFINED for _, _, kind in self.pieces)
+        return self.splits and self.dummy_prefix and not (own or self.charsmap or self.trim_spaces)
+
     @property
     def unknown(self) -> int:
         return next(i for i, p in enumerate(self.pieces) if p[2] == UNKNOWN)
@@ -139,7 +159,8 @@ def build(model: PieceModel) -> Tokenizer:
             unk_token=model.pieces[unknown][0],
             fuse_unk=True,
             byte_fallback=model.byte_fallback,
-            cache_capacity=REMEMBERED,
+            # The library's own memory of words is of use only where ours is not used.
+            cache_capacity=0 if model.by_words else 20_000,
         )
     out = Tokenizer(core)
     steps = []
@@ -154,8 +175,7 @@ def build(model: PieceModel) -> Tokenizer:
         steps.append(normalizers.Prepend(METASPACE))
     steps.append(normalizers.Replace(" ", METASPACE))
     out.normalizer = normalizers.Sequence(steps)
-    inner = any(METASPACE in p.lstrip(METASPACE) for p, _, kind in model.pieces if kind == NORMAL)
-    if not inner:
+    if model.splits:
         out.pre_tokenizer = pre_tokenizers.Split(Regex(f"{METASPACE}+[^{METASPACE}]*"), "isolated")
     own = [p for p, _, kind in model.pieces if kind == USER_DEFINED]
     if own:
@@ -167,17 +187,97 @@ def build(model: PieceModel) -> Tokenizer:
     return out
 
 
-def encode(tokenizer: Tokenizer, texts: list[str], batch_chars: int = BATCH_CHARS) -> list[list[int]]:
-    """Ids of each text, encoded in batches of about ``batch_chars`` characters."""
-    out: list[list[int]] = []
+def slices(texts: list[str | None], chars: int) -> Iterator[list[str | None]]:
+    """Runs of texts of about ``chars`` characters; a longer text is a run of its own."""
     start = size = 0
     for i, text in enumerate(texts):
-        size += len(text)
-        if size >= batch_chars or i == len(texts) - 1:
-            found = tokenizer.encode_batch_fast(texts[start : i + 1], add_special_tokens=False)
-            out += [e.ids for e in found]
+        size += len(text or "")
+        if size >= chars or i == len(texts) - 1:
+            yield texts[start : i + 1]
             start, size = i + 1, 0
-    return out
+
+
+def encode(tokenizer: Tokenizer, texts: list[str]) -> list[np.ndarray]:
+    """Ids of each text, without special tokens."""
+    found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    return [np.array(e.ids, np.int32) for e in found]
+
+
+class Decoder:
+    """Decodes ids on the library's threads.
+
+    The pipeline's own decoder drops all metaspaces of the first piece, where
+    only the leading one is not text. Texts that open with a piece of several
+    are decoded without dropping any, and lose one space here.
+    """
+
+    def __init__(self, tokenizer: Tokenizer):
+        self.tokenizer = tokenizer
+        self.exact = Tokenizer.from_str(tokenizer.to_str())
+        self.exact.decoder = decoders.Sequence(
+            [decoders.Replace(METASPACE, " "), decoders.ByteFallback(), decoders.Fuse()]
+        )
+        pieces = tokenizer.get_vocab(with_added_tokens=False)
+        self.several = {i for p, i in pieces.items() if p.startswith(METASPACE * 2)}
+
+    def __call__(self, ids: list[np.ndarray]) -> list[str]:
+        lists = [i.tolist() for i in ids]
+        out = self.tokenizer.decode_batch(lists, skip_special_tokens=False)
+        for i, own in enumerate(lists):
+            if own and own[0] in self.several:
+                out[i] = self.exact.decode(own, skip_special_tokens=False)[1:]
+        return out
+
+
+def _spaced(text: str) -> bool:
+    """Whether a text is empty or has spaces that are not single between words."""
+    return not text or "  " in text or text[0] == " " or text[-1] == " " or METASPACE in text
+
+
+class WordEncoder:
+    """Encodes texts as :func:`encode` does, looking up words it has met before."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        self.tokenizer = tokenizer
+        pieces = tokenizer.get_vocab(with_added_tokens=False)
+        self.opens = np.zeros(max(pieces.values()) + 1, bool)
+        self.opens[[i for p, i in pieces.items() if p.startswith(METASPACE)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        """Adds the ids of new words."""
+        joined = [" ".join(words[i : i + NEW_WORDS]) for i in range(0, len(words), NEW_WORDS)]
+        ids = np.concatenate(encode(self.tokenizer, joined))
+        # Exactly the first piece of each word opens with a metaspace.
+        starts = np.flatnonzero(self.opens[ids])
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        lengths = np.diff(starts, append=len(ids))
+        self.ids = np.concatenate([self.ids, ids])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        whole = [_spaced(t) for t in texts]
+        rest = iter(encode(self.tokenizer, [t for t, w in zip(texts, whole) if w]))
+        split = [t.split(" ") for t, w in zip(texts, whole) if not w]
+        words = [w for ws in split for w in ws]
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        new = [w for w in dict.fromkeys(words) if w not in self.known]
+        if new:
+            self._learn(new)
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        lengths = self.starts[at + 1] - self.starts[at]
+        ends = np.cumsum(lengths)
+        taken = np.arange(ends[-1] if len(ends) else 0) + np.repeat(
+            self.starts[at] - (ends - lengths), lengths
+        )
+        cuts = ends[np.cumsum([len(ws) for ws in split])[:-1] - 1] if len(split) > 1 else []
+        found = iter(np.split(self.ids[taken], cuts))
+        return [next(rest) if w else next(found) for w in whole]
 
 
 ENCODED = T.StructType(
@@ -193,44 +293,66 @@ def with_tokens(
     docs: DataFrame,
     text_col: str = "text",
     model_path: str = MODEL_PATH,
-    threads: int = THREADS,
-    decode: bool = True,
+    threads: int | None = None,
+    decoded: bool = True,
     parity: bool = True,
 ) -> DataFrame:
     """``docs`` with the column ``_tokens``: struct of ids, decoded text and parity.
 
-    ``decoded`` is null without ``decode``; ``parity`` is null without ``parity``.
+    ``decoded`` and ``parity`` are null unless asked for.
+    A task encodes on as many ``threads`` as the session gives it cores
+    (``spark.task.cpus``); more would take the cores of other tasks.
     """
+    threads = threads or int(docs.sparkSession.conf.get("spark.task.cpus", "1"))
     with open(model_path, "rb") as file:
         data = file.read()
-    sent = docs.sparkSession.sparkContext.broadcast((data, build(parse_model(data)).to_str()))
+    model = parse_model(data)
+    by_words = model.by_words
+    sent = docs.sparkSession.sparkContext.broadcast((data, build(model).to_str()))
 
     @F.pandas_udf(ENCODED)
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         # Read by the library's thread pool when it starts, in this worker.
         os.environ["RAYON_NUM_THREADS"] = str(threads)
-        os.environ["TOKENIZERS_PARALLELISM"] = "true"
+        os.environ["TOKENIZERS_PARALLELISM"] = str(threads > 1).lower()
         serialized, pipeline = sent.value
         tokenizer = Tokenizer.from_str(pipeline)
+        ids_of = WordEncoder(tokenizer) if by_words else partial(encode, tokenizer)
+        text_of = Decoder(tokenizer)
         reference = None
         if parity:
             from sentencepiece import SentencePieceProcessor
 
             reference = SentencePieceProcessor(model_proto=serialized)
-        for batch in batches:
-            known = batch.notna().to_numpy()
-            texts = [t for t, k in zip(batch, known) if k]
-            ids = encode(tokenizer, texts)
+        # Ids take many times the room of their text until they are packed: small slices.
+        for part in (p for batch in batches for p in slices(batch.tolist(), BATCH_CHARS)):
+            texts = [t for t in part if t is not None]
+            ids = ids_of(texts)
             back = [None] * len(ids)
-            if decode:
-                back = tokenizer.decode_batch(ids, skip_special_tokens=False)
+            if decoded:
+                back = text_of(ids)
             same = [None] * len(ids)
             if reference is not None:
-                same = [reference.encode(t) == i for t, i in zip(texts, ids)]
-            rows = iter(zip(ids, back, same))
+                same = [reference.encode(t) == i.tolist() for t, i in zip(texts, ids)]
+            rows = zip(ids, back, same)
             yield pd.DataFrame(
-                [next(rows) if k else (None, None, None) for k in known],
+                [(None, None, None) if t is None else next(rows) for t in part],
                 columns=["ids", "decoded", "parity"],
             )
 
     return docs.withColumn("_tokens", tokens(text_col))
+
+
+def verify_parity(
+    docs: DataFrame, text_col: str = "text", model_path: str = MODEL_PATH, rows: int = VERIFIED_ROWS
+) -> None:
+    """Raises ValueError if the ids of any of about ``rows`` texts differ from the library's.
+
+    Texts are chosen by their hash.
+    """
+    one_in = max(1, docs.count() // rows)
+    some = docs.select(text_col).where(F.pmod(F.xxhash64(text_col), F.lit(one_in)) == 0)
+    checked = with_tokens(some, text_col, model_path, decoded=False)
+    different = checked.where(~F.col("_tokens.parity")).count()
+    if different:
+        raise ValueError(f"{different} texts are encoded unlike the library does")
