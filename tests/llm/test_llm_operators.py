@@ -410,10 +410,17 @@ def test_unigram_models_agree_with_the_library(fallback, trim):
     texts = ["", "abc", "the abcd ab", "a  b   c", "dé cab", " abc ", "bcdbcd the", "aéb"]
     if fallback:
         texts += ["x日y", "abc 😀 the"]
-    assert sentencepiece_tokens.encode(ours, texts) == [reference.encode(t) for t in texts]
-    ids = [reference.encode(t) for t in texts]
+    want = [reference.encode(t) for t in texts]
+    assert [i.tolist() for i in sentencepiece_tokens.encode(ours, texts)] == want
+    assert model.by_words == (not trim)
+    if model.by_words:
+        by_words = sentencepiece_tokens.WordEncoder(ours)
+        for _ in range(2):
+            assert [i.tolist() for i in by_words(texts)] == want
+        assert by_words([]) == [] and [i.tolist() for i in by_words(["", "abc"])][0] == []
     if fallback:
-        assert ours.decode_batch(ids, skip_special_tokens=False) == [reference.decode(i) for i in ids]
+        decoder = sentencepiece_tokens.Decoder(ours)
+        assert decoder([np.array(i) for i in want]) == [reference.decode(i) for i in want]
 
 
 def test_tokens_of_hard_rows(docs, empty):
