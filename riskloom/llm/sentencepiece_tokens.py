@@ -45,9 +45,9 @@ from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalize
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 METASPACE = "▁"
 # Characters that are encoded at a time.
-BATCH_CHARS = 1 << 18
+BATCH_CHARS = 1 << 20
 # Words whose pieces a task remembers, and new ones that are one text for the library.
-REMEMBERED, NEW_WORDS = 300_000, 4_096
+REMEMBERED, NEW_WORDS = 500_000, 4_096
 # Texts that are verified before a run.
 VERIFIED_ROWS = 2_000
 # Fixed values of the public model format: kinds of pieces and model types.
