@@ -18,10 +18,9 @@ is then the pieces of its words one after the other: a task remembers the pieces
 words it has met and hands only new ones to the library. Other texts, and those of
 models that rewrite characters, go to it whole.
 
-Texts are encoded in batches of bounded size on several threads. The ids of
-every text can be held against those of the sentencepiece library (``parity``),
-which takes about half as long again; :func:`verify_parity` does so for a bounded
-number of texts before a run.
+Texts are encoded in batches of bounded size, on one thread unless tasks have
+several cores. The ids of every text are held against those of the sentencepiece
+library, which encodes it whole, unless ``parity`` is turned off.
 The model's bytes are read once on the driver and broadcast (about half a MB), so
 executors need no file. Null texts give null ids, empty ones no ids; texts of
 any length are encoded whole. Other columns pass through.
@@ -48,8 +47,6 @@ METASPACE = "▁"
 BATCH_CHARS = 1 << 20
 # Words whose pieces a task remembers, and new ones that are one text for the library.
 REMEMBERED, NEW_WORDS = 500_000, 4_096
-# Texts that are verified before a run.
-VERIFIED_ROWS = 2_000
 # Fixed values of the public model format: kinds of pieces and model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -348,20 +345,3 @@ def with_tokens(
             )
 
     return docs.withColumn("_tokens", tokens(text_col))
-
-
-def verify_parity(
-    docs: DataFrame, text_col: str = "text", model_path: str = MODEL_PATH, rows: int = VERIFIED_ROWS
-) -> None:
-    """Raises ValueError if the ids of any of about ``rows`` texts differ from the library's.
-
-    Texts are chosen by their hash.
-    """
-    one_in = max(1, docs.count() // rows)
-    some = docs.select(text_col).where(F.pmod(F.xxhash64(text_col), F.lit(one_in)) == 0)
-    # Few texts: two tasks, so that the models are not built for a handful each.
-    some = some.repartition(2)
-    checked = with_tokens(some, text_col, model_path, decoded=False)
-    different = checked.where(~F.col("_tokens.parity")).count()
-    if different:
-        raise ValueError(f"{different} texts are encoded unlike the library does")

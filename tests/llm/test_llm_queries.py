@@ -66,6 +66,12 @@ def test_tokens_round_trip_and_agree_with_the_library(spark):
     assert sentencepiece_tokens.with_tokens(docs).where("not _tokens.parity").isEmpty()
 
 
+def test_tokens_of_every_text_are_compared_with_the_library(spark):
+    found = QUERIES["op4_sentencepiece"](spark, LARGER)
+    # Null where a text was not compared.
+    assert found.count() == found.where("parity").count() == 1000
+
+
 def test_fingerprints_by_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy(F.desc("doc_id")).collect()
     found = {r.doc_id: r for r in QUERIES["op5_fingerprints"](spark, SF).collect()}
