@@ -17,7 +17,8 @@ multiply it, so edges travel in pieces:
 3. Placed pieces and edges are compacted: they make one path as long as both
    their document and their source go on without a branch between.
 4. Path and source are read again at their coordinates, and only spans whose
-   words have equal SHA-256 digests stay.
+   words have equal SHA-256 digests stay. A source is asked once for each span,
+   however many documents repeat it.
 
 Texts that are null, empty or shorter than a window have no spans. Rows with a
 null id are neither sources nor cut. Rows that share an id never cut each other
@@ -44,6 +45,8 @@ WINDOW = 13
 KEY = 5
 # Texts whose pieces are handed on at a time.
 ROWS = 512
+# Requests of one text that travel in one row.
+LISTED = 4_096
 SCANNED = (
     "id long, n long, k1 long, k2 long, key array<long>, pos array<int>, len array<int>, "
     "s1 array<long>, s2 array<int>"
@@ -126,26 +129,37 @@ def _edges(window: int):
     return run
 
 
+# A span and where its source has it.
+REQUEST = ("id", "tag", "pos", "len", "sid", "stag", "spos")
+
+
 def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Digest of the words of each requested span."""
     hasher = WordHasher()
     for batch in batches:
         rows = []
-        for text, tag, spans in zip(batch["text"], batch["tag"], batch["asked"]):
+        for id_, text, tag, spans in zip(*(batch[c] for c in ("id", "text", "tag", "asked"))):
             data = encoded(text)
             if hasher.tag(hasher.words(data)[2]) != tag:
                 continue
             words = data.split()
             for span in spans:
                 part = b" ".join(words[span["pos"] : span["pos"] + span["len"]])
-                rows.append((span["path"], span["role"], hashlib.sha256(part).digest()))
-        yield pd.DataFrame(rows, columns=["path", "role", "digest"])
+                source = span["sid"], span["stag"], span["spos"]
+                own = id_, tag, span["pos"], span["len"]
+                rows.append((*own, *source, hashlib.sha256(part).digest()))
+        yield pd.DataFrame(rows, columns=[*REQUEST, "digest"])
 
 
 def _with_texts(texts: DataFrame, asked: DataFrame, *fields: str) -> DataFrame:
-    """(id, tag, text, asked): the requests of each text, beside it."""
+    """(id, tag, text, asked): the requests of each text beside it, in lists of bounded size."""
+    turn = F.row_number().over(Window.partitionBy("id", "tag").orderBy("pos", "len"))
     asked = settled(
-        asked.groupBy("id", "tag").agg(F.collect_list(F.struct(*fields)).alias("asked")), "asked"
+        asked.withColumn("list", F.floor((turn - 1) / LISTED))
+        .groupBy("id", "tag", "list")
+        .agg(F.collect_list(F.struct(*fields)).alias("asked"))
+        .drop("list"),
+        "asked",
     )
     wanted = few_or_shuffled(asked.select("id").distinct())
     return texts.join(wanted, "id", "left_semi").join(asked, "id")
@@ -234,32 +248,35 @@ def repeated_spans(
             F.min("pos").alias("pos"),
             (F.max(F.col("pos") + F.col("len")) - F.min("pos")).alias("len"),
         )
-        .withColumn("path", F.struct(*alignment, "pos")),
+        .withColumn("spos", F.col("pos") + F.col("shift"))
+        .select(*REQUEST),
         "paths",
     )
     discard(pieces, firsts, edges)
-    asked = paths.select("id", "tag", "pos", "len", "path", F.lit(0).alias("role")).union(
-        paths.select(
-            F.col("sid"), F.col("stag"), F.col("pos") + F.col("shift"), "len", "path", F.lit(1)
+    # A source's own request names itself; paths have sources of smaller ids.
+    sources = paths.select("sid", "stag", "spos", "len").distinct()
+    asked = paths.union(
+        sources.selectExpr(
+            "sid as id", "stag as tag", "spos as pos", "len", "sid", "stag", "spos"
         )
     )
-    kind = paths.schema["path"].dataType.simpleString()
-    read = _with_texts(texts, asked, "pos", "len", "path", "role").mapInPandas(
-        _digests, f"path {kind}, role int, digest binary"
+    read = _with_texts(texts, asked, *REQUEST[2:]).mapInPandas(
+        _digests,
+        "id long, tag int, pos int, len int, sid long, stag int, spos int, digest binary",
     )
-    same = (
-        read.groupBy("path")
-        .agg(
-            F.min("digest").alias("low"),
-            F.max("digest").alias("high"),
-            F.count_distinct("role").alias("roles"),
-        )
-        .where("low = high and roles = 2")
-        .select("path")
+    digests = settled(
+        read.groupBy(*REQUEST)
+        .agg(F.min("digest").alias("digest"), F.max("digest").alias("high"))
+        .where("digest = high")
+        .drop("high"),
+        "digests",
     )
+    held = digests.where("id = sid").select("sid", "stag", "spos", "len", "digest")
     start, end = F.col("pos").cast("long"), (F.col("pos") + F.col("len")).cast("long")
-    spans = paths.join(same, "path", "left_semi").select(
-        "id", "tag", start.alias("start"), end.alias("end")
+    spans = (
+        digests.where("id > sid")
+        .join(held, held.columns, "left_semi")
+        .select("id", "tag", start.alias("start"), end.alias("end"))
     )
     return spans.union(whole).withColumnRenamed("id", "doc_id")
 

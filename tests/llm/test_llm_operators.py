@@ -160,6 +160,34 @@ def test_passages_by_brute_force(spark):
         assert got[i] == (" ".join(words), n, n - len(words)), i
 
 
+def test_a_source_is_asked_once_for_a_span_that_many_repeat(spark, monkeypatch):
+    asked = []
+
+    def recorded(df, name):
+        table = settled(df, name)
+        if name == "asked":
+            asked.append(table.agg(F.max(F.size("asked"))).first()[0])
+        return table
+
+    settled = substring_dedup.settled
+    monkeypatch.setattr(substring_dedup, "settled", recorded)
+    common, other = prose(40), prose(40)
+    texts = {i: f"{prose(5)} {common} {prose(i % 4)}" for i in range(60)}
+    # A source of more spans than a list holds.
+    texts |= {100 + i: f"{prose(5)} {' '.join(other.split()[i:])}" for i in range(20)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+
+    def found():
+        left = substring_dedup.without_repeats(frame, substring_dedup.repeated_spans(frame))
+        return {r.doc_id: r.kept for r in left.collect()}
+
+    want = {i: " ".join(words) for i, words in covered(texts).items()}
+    assert found() == want and max(n for n in asked if n) < 40
+    asked.clear()
+    monkeypatch.setattr(substring_dedup, "LISTED", 3)
+    assert found() == want and max(n for n in asked if n) <= 3
+
+
 def test_passages_of_hard_rows(spark, docs, empty):
     left = substring_dedup.without_repeats(docs, substring_dedup.repeated_spans(docs))
     got = {(r.doc_id, r.n_words): r.n_removed for r in left.collect()}
