@@ -25,6 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.tables import few_or_shuffled
 from riskloom.sources.staging import staged
 
 # Rules given with the task: (verdict, host, path), the host without a path for all its paths.
@@ -37,8 +38,6 @@ RULES = (
 )
 TRAINING_ROWS = 20_000
 TREES, DEPTH, BINS, SEED = 20, 4, 64, 7
-# Distinct suffixes and folders whose statistics are joined as a broadcast, most frequent first.
-MOST_VALUES = 10_000
 SMOOTHING = 4.0
 
 
@@ -98,18 +97,10 @@ def lexical(url: str = "_url") -> dict[str, Column]:
 
 
 def _statistic(labelled: DataFrame, column: str, prior: float) -> DataFrame:
-    """(value, smoothed share of blocked urls), of the most frequent values."""
+    """(value, smoothed share of blocked urls) of every value."""
     blocked = F.sum((F.col("_rule.verdict") == "block").cast("int"))
-    return (
-        labelled.groupBy(column)
-        .agg(
-            F.count("*").alias("_n"),
-            ((blocked + SMOOTHING * prior) / (F.count("*") + SMOOTHING)).alias(f"{column}_blocked"),
-        )
-        .orderBy(F.desc("_n"), column)
-        .limit(MOST_VALUES)
-        .drop("_n")
-    )
+    share = (blocked + SMOOTHING * prior) / (F.count("*") + SMOOTHING)
+    return labelled.groupBy(column).agg(share.alias(f"{column}_blocked"))
 
 
 def judged(
@@ -139,9 +130,7 @@ def judged(
         prior = sizes["blocked"] / sizes["n"]
         features = lexical()
         for column in ("_suffix", "_folder"):
-            found = staged(_statistic(labelled, column, prior), column.strip("_"))
-            # At most MOST_VALUES rows.
-            rows = rows.join(F.broadcast(found), column, "left")
+            rows = rows.join(few_or_shuffled(_statistic(labelled, column, prior)), column, "left")
             features[f"{column}_blocked"] = F.coalesce(f"{column}_blocked", F.lit(prior))
         numbers = [c.cast("double").alias(f"_f{i}") for i, c in enumerate(features.values())]
         names = [f"_f{i}" for i in range(len(numbers))]

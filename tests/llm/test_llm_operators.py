@@ -398,6 +398,16 @@ def test_urls_of_hard_rows(spark):
     assert url_filter.judged(pages.where("false")).count() == 0
 
 
+def test_statistics_cover_rare_folders(spark):
+    urls = [f"http://a{i % 2}.org/f{i}.html" for i in range(12_000)]
+    rules = (("allow", "a0.org", "/"), ("block", "a1.org", "/"))
+    rows = spark.createDataFrame([(u,) for u in urls], "_url string").select("*", *(c.alias(n) for c, n in zip(url_filter.parts("_url"), ("_host", "_path"))))
+    rows = rows.withColumn("_rule", url_filter.rule_of(rules)).withColumn("_folder", F.split_part("_path", F.lit("/"), F.lit(2)))
+    found = url_filter._statistic(rows, "_folder", 0.5)
+    shares = found.groupBy("_folder_blocked").count().collect()
+    assert sorted(tuple(r) for r in shares) == [(pytest.approx(2 / 5), 6_000), (pytest.approx(3 / 5), 6_000)]
+
+
 # SentencePiece
 
 
