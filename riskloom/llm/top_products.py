@@ -2,8 +2,8 @@
 
 Vectors of integers are grouped by length into buckets whose lengths differ by
 a factor of ``RATIO`` at most, and each bucket into blocks of bounded size. A
-first round scores every query against one block of the longest bucket, which
-bounds its k-th best score from below. The bound prunes the second round:
+first round scores every query against one block of each of the longest buckets
+that together hold more than k vectors, which bounds its k-th best score from below. The bound prunes the second round:
 
 * a bucket whose longest vector can't reach the bound is not visited;
 * in a visited block, the bound over the two lengths is a local cosine
@@ -142,17 +142,17 @@ def top_products(
     batches = max(1, -(-total.count() // query_rows))
     total = total.withColumn("batch", F.pmod(F.xxhash64("query_id"), F.lit(batches)).cast("int"))
 
-    longest = sizes.groupBy("dim").agg(F.max_by(F.struct("bucket", "blocks"), "bucket").alias("top"))
+    longer = Window.partitionBy("dim").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    longest = sizes.withColumn("longer", F.coalesce(F.sum("rows").over(longer), F.lit(0)))
+    # The query itself may be one of them.
     seeds = (
-        total.join(longest, "dim")
-        .select("*", "top.bucket")
-        .withColumn("block", F.pmod(F.xxhash64("query_id", F.lit(1)), "top.blocks").cast("int"))
+        total.join(longest.where(F.col("longer") < k + 1), "dim")
+        .withColumn("block", F.pmod(F.xxhash64("query_id", F.lit(1)), "blocks").cast("int"))
         .withColumn("bound", F.lit(float("-inf")))
-        .withColumn("batch", F.lit(0))
     )
     first = _visited(seeds, placed, k, focus)
     bounds = first.groupBy("query_id").agg(
-        F.when(F.count("*") >= k, F.min("score")).cast("double").alias("bound")
+        F.get(F.sort_array(F.collect_list("score"), False), F.lit(k - 1)).cast("double").alias("bound")
     )
     bounded = total.join(staged(bounds, "bounds"), "query_id", "left").withColumn(
         "bound", F.coalesce("bound", F.lit(float("-inf")))

@@ -250,6 +250,32 @@ def test_products_by_brute_force(spark):
     assert top_products.top_products(none.withColumnRenamed("vec_id", "query_id"), none).count() == 0
 
 
+def test_few_long_vectors_neither_gather_queries_nor_stop_pruning(spark, monkeypatch):
+    rounds = []
+
+    def recorded(visits, *rest):
+        rounds.append(visits)
+        return visited(visits, *rest)
+
+    visited = top_products._visited
+    monkeypatch.setattr(top_products, "_visited", recorded)
+    rng = np.random.default_rng(4)
+    x = rng.integers(-100, 100, (300, 8))
+    x[:3] *= np.array([[50], [700], [9000]])
+    frame = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, vec array<int>")
+    asked = frame.withColumnRenamed("vec_id", "query_id")
+    got = {}
+    for r in top_products.top_products(asked, frame, 5, block_rows=64, query_rows=16).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q in range(300):
+        scores = sorted((-int(x[q] @ x[i]), i) for i in range(300) if i != q)[:5]
+        assert sorted(got[q]) == [(n + 1, i, -v) for n, (v, i) in enumerate(scores)]
+    first, second = rounds
+    groups = first.groupBy("dim", "bucket", "block", "batch").count()
+    assert groups.agg(F.max("count")).first()[0] < 64
+    assert second.where("bound = double('-inf')").isEmpty()
+
+
 # Mixing
 
 
