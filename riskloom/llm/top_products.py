@@ -16,8 +16,10 @@ that together hold more than k vectors, which bounds its k-th best score from be
 Queries visit blocks in batches: a task holds one block of vectors and one
 batch of queries, however many there are of either.
 
-Null vectors, vectors with null or non-finite components or with components
-beyond 2**26 after scaling, and rows with a null id take no part. Empty vectors
+Null vectors, vectors with null or non-finite components, and rows with a null
+id take no part. Components are 64-bit integers; products that could pass 64 bits
+are summed as Python integers. A scaled component or a product of a block's best
+that does pass them is an error, never a wrong number. Empty vectors
 score 0 with each other; vectors of different dimensions are never compared.
 Ties go to the smaller id. Rows that share an id are never each other's
 answers, and an id that occurs more than once may be answered once per row.
@@ -41,16 +43,34 @@ RATIO = 0.9
 FOCUS = 6
 # Local cosine threshold from which coordinates prune better than length.
 COORDINATE_FROM = 0.15
-LARGEST = 1 << 26
+# What components and products stay below.
+LIMIT = 1 << 63
 
 
 def scaled(vector: str, factor: float) -> Column:
-    """floor(factor * component) as array<int>; null if any component is unusable."""
-    exact = F.transform(vector, lambda x: F.floor(F.lit(factor) * x.cast("double")))
+    """floor(factor * component) as array<long>; null if any component is null or not finite."""
+
+    def exact(x: Column) -> Column:
+        value = F.lit(factor) * x.cast("double")
+        beyond = F.raise_error(F.lit("a scaled component passes 64 bits")).cast("long")
+        return F.when(F.abs(value) < float(LIMIT), F.floor(value)).otherwise(beyond)
+
     usable = F.forall(
-        vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * factor <= LARGEST)
+        vector,
+        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")),
     )
-    return F.when(usable, exact).cast("array<int>")
+    return F.when(usable, F.transform(vector, exact)).cast("array<long>")
+
+
+def _products(x: np.ndarray, q: np.ndarray, largest: np.ndarray) -> np.ndarray:
+    """Exact products; Python integers if any may pass 64 bits, going by ``largest``."""
+    # Sums modulo 2**64 are exact where the product itself fits.
+    scores = x @ q
+    wide = largest >= LIMIT * (1 - 1e-9)
+    if wide.any():
+        scores = scores.astype(object)
+        scores[wide] = x[wide].astype(object) @ q.astype(object)
+    return scores
 
 
 def _answers(k: int, focus: int):
@@ -69,11 +89,18 @@ def _answers(k: int, focus: int):
             q = np.asarray(vec, np.int64)
             near = _candidates(q, float(length), float(bound), unit, lengths, focus)
             near = near[ids[near] != id_]
-            scores = x[near] @ q
-            reach = scores >= bound
+            scores = _products(x[near], q, float(length) * lengths[near])
+            # The bound is a rounded score, so scores are rounded likewise.
+            reach = scores.astype(float) >= bound
             near, scores = near[reach], scores[reach]
-            best = np.lexsort((ids[near], -scores))[:k]
-            out.append((np.full(len(best), id_), ids[near[best]], scores[best]))
+            if scores.dtype == object:
+                best = sorted(range(len(near)), key=lambda i: (-scores[i], ids[near[i]]))[:k]
+                if any(not -LIMIT <= scores[i] < LIMIT for i in best):
+                    raise OverflowError(f"a product of query {id_} passes 64 bits")
+                best = np.array(best, np.int64)
+            else:
+                best = np.lexsort((ids[near], -scores))[:k]
+            out.append((np.full(len(best), id_), ids[near[best]], scores[best].astype(np.int64)))
         return pd.DataFrame({c: np.concatenate(v) for c, v in zip(columns, zip(*out))})
 
     return run
@@ -113,7 +140,7 @@ def top_products(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` items of largest product per query.
 
-    ``queries(query_id long, vec array<int>)``, ``items(vec_id long, vec array<int>)``.
+    ``queries(query_id long, vec array<long>)``, ``items(vec_id long, vec array<long>)``.
     """
     length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
     step = math.log(1 / RATIO)
@@ -125,7 +152,7 @@ def top_products(
         .withColumn("dim", F.size("vec")),
         "items",
     )
-    # One row per dimension and length class: integers up to 2**26 have some 500 classes.
+    # One row per dimension and length class: 64-bit integers have some 500 classes.
     sizes = staged(
         items.groupBy("dim", "bucket").agg(
             F.count("*").alias("rows"), F.max("length").alias("longest")

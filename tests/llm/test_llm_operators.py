@@ -276,6 +276,27 @@ def test_few_long_vectors_neither_gather_queries_nor_stop_pruning(spark, monkeyp
     assert second.where("bound = double('-inf')").isEmpty()
 
 
+def test_products_of_large_components(spark):
+    rows = [(i, [float(i), 1.0, -2.0]) for i in range(20)]
+    rows += [(50, [3e5, 1.0, 0.0]), (52, [4e8, 4e8, 1.0]), (53, [4e8, -4e8, 1.0]), (54, [float("inf"), 1.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    items = frame.select("vec_id", top_products.scaled("embedding", 256.0).alias("vec"))
+    asked = items.where("vec_id in (3, 50, 53)").withColumnRenamed("vec_id", "query_id")
+    exact = {i: [math.floor(256 * v) for v in row] for i, row in rows if i != 54}
+    got = {}
+    for r in top_products.top_products(asked, items, 5, block_rows=8, query_rows=2).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q in (3, 50, 53):
+        scores = sorted((-sum(a * b for a, b in zip(exact[q], e)), i) for i, e in exact.items() if i != q)[:5]
+        assert sorted(got[q]) == [(n + 1, i, -v) for n, (v, i) in enumerate(scores)]
+
+
+def test_products_beyond_64_bits_are_exact():
+    x, q = np.array([[1 << 62, 1 << 62], [1 << 62, -(1 << 62)], [3, 4]]), np.array([1 << 62, 1 << 62])
+    largest = np.sqrt((x.astype(float) ** 2).sum(1)) * 2.0**62.5
+    assert top_products._products(x, q, largest).tolist() == [1 << 125, 0, 7 << 62]
+
+
 # Mixing
 
 
