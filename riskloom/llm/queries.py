@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import (
+    fill_in_middle,
     fingerprints,
     labelled,
     line_dedup,
@@ -16,9 +18,11 @@ from riskloom.llm import (
     quality_gam,
     sentencepiece_tokens,
     substring_dedup,
+    token_counts,
     top_products,
     toxicity,
     url_filter,
+    word_buckets,
 )
 from riskloom.llm.words import word_count
 from riskloom.sources.staging import staged
@@ -243,3 +247,109 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
         F.col("_rule.rule").alias("rule"),
         F.col("_verdict").alias("verdict"),
     )
+
+
+TOKEN_LIMIT = 4096
+
+
+@query("op11_token_counts")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether the tokens pass the limit."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    counts = token_counts.token_counts(table(spark, sf, "documents"), path)
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+RESAMPLED_SQL = r"""
+WITH RECURSIVE bits AS (
+  SELECT CAST(i AS BIGINT) AS i, CAST(i AS BIGINT) AS v, 0 AS k FROM range(256) AS r(i)
+  UNION ALL
+  SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8),
+crcs AS (SELECT list(v ORDER BY i) AS crc FROM bits WHERE k = 8),
+docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+words AS (
+  SELECT r, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM docs),
+aimed AS (
+  SELECT unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+known AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM words UNION SELECT w FROM aimed)),
+hashed AS (
+  SELECT w, xor(list_reduce(
+      [CAST('0x' || h[2 * i + 1:2 * i + 2] AS BIGINT) FOR i IN range(length(h) // 2)],
+      lambda c, b: xor(crc[(xor(c, b) & 255) + 1], c >> 8), CAST(4294967295 AS BIGINT)),
+    4294967295) % 10000 AS bucket
+  FROM known, crcs),
+features AS (SELECT r, bucket FROM words JOIN hashed USING (w)),
+source AS (SELECT bucket, count(*) AS n FROM features GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS n FROM aimed JOIN hashed USING (w) GROUP BY bucket),
+sums AS (
+  SELECT (SELECT CAST(count(*) AS DOUBLE) FROM words) AS all_s,
+    (SELECT CAST(count(*) AS DOUBLE) FROM aimed) AS all_t),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(
+    ((coalesce(target.n, 0) + 1) * (all_s + 10000)) / ((source.n + 1) * (all_t + 10000)))) AS BIGINT) AS gain
+  FROM source LEFT JOIN target USING (bucket), sums),
+weights AS (
+  SELECT r, count(*) AS n, sum(gain) AS w FROM features JOIN gains USING (bucket) GROUP BY r),
+scored AS (
+  SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_features, CAST(coalesce(w, 0) AS BIGINT) AS weight,
+    CAST(coalesce(w, 0) + floor(-1000 * ln(-ln((CAST(CAST('0x' || substr(sha256(
+      '2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS DOUBLE) + 0.5)
+      / 4294967296.0))) AS BIGINT) AS score
+  FROM docs LEFT JOIN weights USING (r)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+    count(*) OVER (PARTITION BY n_features >= 20) AS n
+  FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank
+FROM placed
+"""
+
+
+@query("op12_importance_resampling", RESAMPLED_SQL)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents drawn to look like the benchmark texts: weight, score and rank of each."""
+    return word_buckets.resampled(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+MIDDLE_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n,
+    CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS a,
+    CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+      WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut),
+parts AS (
+  SELECT doc_id, text, n, form,
+    array_to_string(u[1:least(a, b)], '') AS p,
+    array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m,
+    array_to_string(u[greatest(a, b) + 1:n], '') AS s
+  FROM drawn)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+@query("op13_fill_in_middle", MIDDLE_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of every document's transformed text and of the text restored from that."""
+    made = fill_in_middle.transformed(table(spark, sf, "documents"))
+    back = fill_in_middle.restored("output", "form").sha256.alias("restored_sha256")
+    columns = ("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256")
+    return made.select(*columns, back)

@@ -14,7 +14,14 @@ from tools.compare import database, rows
 
 SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-COMPARED = ("op1_top_products", "op2_line_dedup", "op7_minhash_near_dedup", "op8_substring_dedup")
+COMPARED = (
+    "op1_top_products",
+    "op2_line_dedup",
+    "op7_minhash_near_dedup",
+    "op8_substring_dedup",
+    "op12_importance_resampling",
+    "op13_fill_in_middle",
+)
 
 
 @pytest.mark.parametrize("name", COMPARED)
@@ -28,7 +35,7 @@ def test_query_matches_sql(spark, name):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
 
 
 def _accuracy(spark, name, label, held):
@@ -140,3 +147,14 @@ def test_pipeline_stages_keep_their_columns(spark):
     assert first.columns == docs.columns
     kept = {r.doc_id for r in first.select("doc_id").collect()}
     assert ids <= kept < {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_token_counts_are_the_librarys(spark):
+    import public_tokenizers
+    from sentencepiece import SentencePieceProcessor
+
+    library = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "text").collect()
+    found = {tuple(r) for r in QUERIES["op11_token_counts"](spark, LARGER).collect()}
+    counts = [(r.doc_id, len(r.text.encode()), len(library.encode(r.text))) for r in docs]
+    assert found == {(*c, c[2] > 4096) for c in counts}
