@@ -14,6 +14,7 @@ adjacent words alone (``crc(ab)`` is ``crc(a)`` shifted by ``len(b)`` zero bytes
 automata, whatever the number of distinct words in all documents; long texts are cut
 into slices at delimiters and their payloads follow on.
 
+Texts are scanned once; their features are written, and counted and weighed from there.
 Shuffled are bucket counts (at most one row a bucket and task) and, for the ranking, one
 narrow row a document, in ranges: no task ranks more than its range.
 """
@@ -149,18 +150,47 @@ def slices(texts: list[bytes]) -> Iterator[list[list[bytes]]]:
         yield part
 
 
-def bucket_counts(texts: DataFrame, text_col: str, most: int, buckets: int) -> DataFrame:
-    """(bucket long, n long): how many features of all texts are in each bucket that has any."""
+def featured(texts: DataFrame, text_col: str, most: int, buckets: int) -> DataFrame:
+    """(key, buckets array<int>): the features of each row, whose column ``key`` stays.
+
+    A table: texts are scanned once, and all that follows reads numbers.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = Payloads()
+        for batch in batches:
+            at, rows, size = 0, [], 0
+            for found in of.buckets(batch.column(1).to_pylist(), most, buckets):
+                rows.append(found.astype(np.int32))
+                size += len(found)
+                if size > SLICE or at + len(rows) == batch.num_rows:
+                    lists = _lists(rows)
+                    keys = batch.column(0).slice(at, len(rows))
+                    yield pa.RecordBatch.from_arrays([keys, lists], ["key", "buckets"])
+                    at, rows, size = at + len(rows), [], 0
+
+    kind = texts.schema["key"].dataType.simpleString()
+    return staged(
+        texts.select("key", text_col).mapInArrow(scan, f"key {kind}, buckets array<int>"), "features"
+    )
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows), pa.int32()))
+
+
+def bucket_counts(features: DataFrame, buckets: int) -> DataFrame:
+    """(bucket long, n long): how many features of all rows are in each bucket that has any."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, total = Payloads(), np.zeros(buckets, np.int64)
+        total = np.zeros(buckets, np.int64)
         for batch in batches:
-            for found in of.buckets(batch.column(0).to_pylist(), most, buckets):
-                total += np.bincount(found, minlength=buckets)
+            total += np.bincount(batch.column(0).flatten().to_numpy(), minlength=buckets)
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"bucket": held, "n": total[held]})
 
-    counted = texts.select(text_col).mapInArrow(count, "bucket long, n long")
+    counted = features.select("buckets").mapInArrow(count, "bucket long, n long")
     return counted.groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
@@ -230,35 +260,39 @@ def resampled(
     noise; equal rows take places one after the other. Without target texts all gains come
     from the documents alone; without documents there are no rows.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    source = bucket_counts(rows, "text", most, buckets)
-    table = staged(gains(source, bucket_counts(target, target_col, most, buckets), buckets), "gains")
+    rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
+    aims = target.select(F.lit(0).alias("key"), F.col(target_col).alias("text"))
+    source, aimed = (featured(t, "text", most, buckets) for t in (rows, aims))
+    table = staged(gains(bucket_counts(source, buckets), bucket_counts(aimed, buckets), buckets), "gains")
     # As long as there are buckets, whatever the tables' size.
     gain = np.zeros(buckets, np.int64)
     for bucket, value in table.collect():
         gain[bucket] = value
-    sent = spark.sparkContext.broadcast(gain)
-    discard(table)
-    id_type = rows.schema["id"].dataType.simpleString()
+    sent = docs.sparkSession.sparkContext.broadcast(gain)
+    discard(table, aimed)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, gain = Payloads(), sent.value
+        gain = sent.value
         for batch in batches:
-            found, words, weights = of.buckets(batch.column(1).to_pylist(), most, buckets), [], []
-            for own in found:
-                words.append(len(own))
-                weights.append(int(gain[own].sum()))
+            lists = batch.column(1)
+            # Sums over rows as differences of running sums, which also fits empty rows.
+            sums = np.concatenate([[0], np.cumsum(gain[lists.flatten().to_numpy()])])
+            words = np.diff(lists.offsets.to_numpy())
+            ends = np.cumsum(words)
+            weights = sums[ends] - sums[ends - words]
             values = [batch.column(0), pa.array(words, pa.int64()), pa.array(weights, pa.int64())]
-            yield pa.RecordBatch.from_arrays(values, ["id", "n_features", "weight"])
+            yield pa.RecordBatch.from_arrays(values, ["key", "n_features", "weight"])
 
-    weighed = rows.mapInArrow(weigh, f"id {id_type}, n_features long, weight long")
-    scored = weighed.withColumn("score", F.col("weight") + noise("id", seed))
+    kind = rows.schema["key"].dataType.simpleString()
+    weighed = source.mapInArrow(weigh, f"key {kind}, n_features long, weight long")
+    scored = staged(weighed.withColumn("score", F.col("weight") + noise("key", seed)), "scores")
+    discard(source)
     # n words make n + (n-1) + ... runs, so a least number of words is one of features.
     least = sum(max(least_words - i, 0) for i in range(most))
-    placed = ranked(scored, F.col("n_features") >= least, [F.desc("score"), F.asc_nulls_last("id")])
+    placed = ranked(scored, F.col("n_features") >= least, [F.desc("score"), F.asc_nulls_last("key")])
+    discard(scored)
     drawn = placed.agg(F.floor(F.count("place") * F.lit(percent) / F.lit(100)).cast("long").alias("k"))
     rank = F.when(F.col("place") <= F.col("k"), F.col("place")).cast("long").alias("rank")
     return placed.crossJoin(F.broadcast(drawn)).select(
-        F.col("id").alias(id_col), "n_features", "weight", "score", rank
+        F.col("key").alias(id_col), "n_features", "weight", "score", rank
     )
