@@ -38,13 +38,20 @@ cnt AS (SELECT subreddit, pos, least(count(*), 30) AS n FROM rk GROUP BY ALL),
 shr AS (SELECT subreddit, least(30, 130 - coalesce(sum(n) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS share FROM cnt),
 collected AS (SELECT id, url, subreddit, author, title, text, created_utc, language FROM rk JOIN shr USING (subreddit) WHERE rank <= share)"""
 
-ENRICHED = f"""authors AS (SELECT DISTINCT author AS username FROM collected),
-xi AS (SELECT username, replace(id, ':', '-') AS id, 'https://forum.example/x' AS url, subreddit,
+AUTHORS = "authors AS (SELECT DISTINCT author AS username FROM collected)"
+
+
+def fetched_sql(users: str) -> str:
+    """CTEs: what fetching the history of ``users(username)`` finds, as ``budgeted``."""
+    return f"""xi AS (SELECT username, replace(id, ':', '-') AS id, 'https://forum.example/x' AS url, subreddit,
     username AS author, kind, {sql.strip('text')} AS text, created_utc
-  FROM items WHERE username IN (SELECT username FROM authors) AND created_utc >= {OLDEST}e0),
+  FROM items WHERE username IN (SELECT username FROM {users}) AND created_utc >= {OLDEST}e0),
 {budget_sql('xi', CONFIG.max_items)}"""
 
 
+ENRICHED = f"{AUTHORS}, {fetched_sql('authors')}"
+
+
 def listing_pages(spark, sf):
     return tables.listing_pages(tables.posts(spark, sf))
 
@@ -140,6 +147,42 @@ def enrich_again(spark, sf):
     return users.join(items.select("username", "id"), "username", "left")
 
 
+KNOWN = """known AS (SELECT DISTINCT author AS username FROM posts WHERE CAST(substr(author, 2) AS INT) % 3 = 0),
+    again AS (SELECT username FROM known WHERE CAST(substr(username, 2) AS INT) % 9 = 0),
+    fetched AS (SELECT username FROM authors EXCEPT SELECT username FROM known UNION SELECT username FROM again)"""
+
+
+@query(
+    "j2_enrich_store",
+    f"""WITH {sql.POSTS}, {sql.ITEMS}, {COLLECTED}, {AUTHORS}, {KNOWN}, {fetched_sql('fetched')}
+    SELECT username, 'old-' || id AS id, kind, text, created_utc
+    FROM (SELECT username FROM known EXCEPT SELECT username FROM fetched) LEFT JOIN items USING (username)
+    UNION ALL
+    SELECT username, id, kind, text, created_utc FROM fetched LEFT JOIN budgeted USING (username)""",
+)
+def enrich_store(spark, sf):
+    """A bucketed history of users with and without items, of whom some are fetched again."""
+    posts = jobs.collect(listing_pages(spark, sf), CONFIG)
+    number = F.substring("username", 2, 10).try_cast("int")
+    known = tables.posts(spark, sf).select(F.col("author").alias("username")).distinct()
+    known = known.where(number % 3 == 0)
+    held = tables.items(spark, sf).join(known, "username", "left_semi")
+    held = held.withColumn("id", F.concat(F.lit("old-"), "id"))
+    store = jobs.history_store(spark, fresh_path(spark, "history"))
+    jobs.merge_into_history(store, known, held)
+    jobs.enrich_store_job(
+        spark,
+        posts,
+        user_pages(spark, sf),
+        store,
+        fresh_path(spark, "j2"),
+        CONFIG,
+        again=known.where(number % 9 == 0),
+    )
+    items = store.read("items").select("username", "id", "kind", "text", "created_utc")
+    return store.read("users").join(items, "username", "left")
+
+
 @query(
     "j3_score_posts",
     f"{SCORED} SELECT id, risk_score, risk_label, {sql.post_explanation()} AS risk_explanation FROM scored",
@@ -193,12 +236,35 @@ def score_users(spark, sf):
     f"WITH {sql.POSTS}, {sql.ITEMS}, {COLLECTED}, {ENRICHED}, {risk_sql('authors', 'budgeted', 'collected')}",
 )
 def full_run(spark, sf):
-    """Landed pages in, user risk out; posts keep the language unknown without profiles."""
+    """Landed pages in, user risk out."""
     return jobs.full_run(
         spark, listing_pages(spark, sf), user_pages(spark, sf), fresh_path(spark, "j5"), CONFIG
     )
 
 
+@query(
+    "j5_full_run_language",
+    f"""WITH {sql.POSTS}, {COLLECTED}, {sql.scored('collected', CONFIG.model)}, {FULL_DETECTED},
+    f AS (SELECT scored.* EXCLUDE (language),
+        CASE WHEN length(full_text) < 20 THEN 'unknown' ELSE lb.lang END AS language
+      FROM scored LEFT JOIN lb ON lb.doc_id = CAST(id AS BIGINT))
+    SELECT id, language, risk_score, {sql.post_explanation('language')} AS risk_explanation FROM f""",
+)
+def full_run_language(spark, sf):
+    """The scored posts of a full run that trains profiles on labelled texts first."""
+    out = fresh_path(spark, "j5")
+    jobs.full_run(
+        spark,
+        listing_pages(spark, sf),
+        user_pages(spark, sf),
+        out,
+        CONFIG,
+        labelled=labelled_texts(spark, sf),
+    )
+    scored = spark.read.parquet(f"{out}/scored_posts/table")
+    return scored.select("id", "language", "risk_score", "risk_explanation")
+
+
 def table_stream(spark, sf, name):
     # A glob, as a stream's plain path must be a folder and a table may be one file.
     path = f"{sf}/{name}.parquet"

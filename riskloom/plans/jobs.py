@@ -39,6 +39,7 @@ from riskloom.operators.skew import few
 from riskloom.operators.users import MIN_CONFIDENT_ITEMS, fallback_scores, score_users
 from riskloom.schemas import HISTORY, POST, USERS
 from riskloom.sources import readers, writers
+from riskloom.sources.buckets import BUCKETS, BucketStore, Written
 from riskloom.sources.staging import discard, staged
 
 
@@ -146,6 +147,55 @@ def enrich_job(
     return users, items
 
 
+def history_store(spark: SparkSession, root: str, buckets: int = BUCKETS) -> BucketStore:
+    """The bucketed history below ``root``: users, and items by the user they belong to."""
+    return BucketStore(spark, root, "username", {"users": USERS, "items": HISTORY}, buckets)
+
+
+def merge_into_history(store: BucketStore, new_users: DataFrame, new_items: DataFrame) -> Written:
+    """L11 on a store: users of ``new_users`` are replaced whole, bucket by bucket.
+
+    Buckets without such a user are neither read nor written.
+    """
+    touched = store.touched(new_users)
+    merged = {
+        "users": merge_new_wins(store.read("users", touched), new_users, new_users),
+        "items": merge_new_wins(store.read("items", touched), new_items, new_users),
+    }
+    return store.write(merged, touched)
+
+
+def enrich_store_job(
+    spark: SparkSession,
+    posts: DataFrame,
+    user_pages: DataFrame,
+    store: BucketStore,
+    out: str,
+    cfg: RunConfig,
+    again: DataFrame | None = None,
+) -> Written:
+    """J2 on a history that stays: what :func:`enrich_job` adds goes into ``store``.
+
+    Authors that the store knows are skipped, but for those in ``again(username)``:
+    they are fetched although they are known, and what is found now replaces all that
+    the store has of them. Of the store only the buckets of the authors are read, and
+    only those of fetched users are written. Reports go below ``out``.
+    """
+    authors = staged(unique_authors(posts), "authors")
+    known = store.read("users", store.touched(authors))
+    report.author_coverage(authors, known).write.mode("overwrite").json(f"{out}/coverage")
+    fetched = authors_to_fetch(authors, known)
+    if again is not None:
+        fetched = fetched.unionByName(again.select("username")).dropna().distinct()
+    fetched.write.mode("overwrite").parquet(f"{out}/fetched")
+    new_users = spark.read.schema(USERS).parquet(f"{out}/fetched")
+    parsed = staged(pages_of(user_pages, new_users), "parsed")
+    _write_errors(parsed, ["username", "kind"], f"{out}/errors")
+    written = merge_into_history(store, new_users, fetch_history(parsed, cfg).select(*HISTORY.names))
+    discard(parsed, authors)
+    return written
+
+
 def train_profiles_job(spark: SparkSession, labelled: DataFrame, out: str) -> DataFrame:
     """Language profiles of ``labelled(lang, text)`` as a table, for J3 and J5."""
     train_language_profiles(labelled).write.mode("overwrite").parquet(out)

@@ -10,7 +10,8 @@ from riskloom.model import DEFAULT_MODEL, RiskModel
 from riskloom.operators.posts import scored_records
 from riskloom.operators.users import stats_columns, user_score
 from riskloom.functions.features import label
-from riskloom.sources.staging import fresh_path, remove_path
+from riskloom.sources.buckets import BUCKETS, BucketStore, Written
+from riskloom.sources.staging import fresh_path
 
 LATENESS = "1 day"
 
@@ -123,14 +124,6 @@ def _newest(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     return best.select(key, "_row.*").select(*rows.columns)
 
 
-def _versions(spark: SparkSession, out: str) -> list[int]:
-    """Numbers of the complete snapshots below ``out``."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/v*/_SUCCESS")
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    found = pattern.getFileSystem(conf).globStatus(pattern)
-    return sorted(int(f.getPath().getParent().getName()[1:]) for f in found or [])
-
-
 def upsert_stream(
     spark: SparkSession,
     updates: DataFrame,
@@ -138,27 +131,23 @@ def upsert_stream(
     order: str,
     out: str,
     delivery: str | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Keeps the newest row per ``key`` in versioned snapshots (T4).
+    """Keeps the newest row per ``key`` in a bucketed store below ``out`` (T4).
 
     Newest is by ``order``, or by (``delivery``, ``order``) where rows carry the
     number of their delivery; equal places are settled by the other columns. It
     does not matter in which order or micro-batch files arrive.
 
-    Micro-batch n writes snapshot n from snapshot n-1, so a batch that is run
-    again after a failure rewrites its own snapshot and reads none of its
-    output. Snapshots older than n-1 are removed. Returns the last one.
+    Micro-batch n makes version n + 1 from version n, reading and writing only the
+    buckets of its keys. A batch that is run again after a failure makes its own
+    version again and reads none of its output. Returns the last version's rows.
     """
     places = [order] if delivery is None else [delivery, order]
+    store = upsert_store(spark, updates.schema, key, out, buckets)
 
     def apply(batch: DataFrame, number: int) -> None:
-        rows = batch
-        if number > 0:
-            old = batch.sparkSession.read.schema(batch.schema).parquet(f"{out}/v{number - 1}")
-            rows = old.unionByName(batch)
-        _newest(rows, key, places).write.mode("overwrite").parquet(f"{out}/v{number}")
-        if number > 1:
-            remove_path(batch.sparkSession, f"{out}/v{number - 2}")
+        upsert_batch(store, batch, number, places)
 
     query = (
         updates.writeStream.foreachBatch(apply)
@@ -167,4 +156,21 @@ def upsert_stream(
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(updates.schema).parquet(f"{out}/v{_versions(spark, out)[-1]}")
+    return store.read("rows")
+
+
+def upsert_store(
+    spark: SparkSession, schema: T.StructType, key: str, out: str, buckets: int = BUCKETS
+) -> BucketStore:
+    """The store that :func:`upsert_stream` keeps."""
+    return BucketStore(spark, f"{out}/store", key, {"rows": schema}, buckets)
+
+
+def upsert_batch(store: BucketStore, batch: DataFrame, number: int, places: list[str]) -> Written:
+    """Version ``number + 1`` of the store: the newest of its rows and the batch's per key."""
+    batch = batch.persist()
+    touched = store.touched(batch)
+    rows = store.read("rows", touched, number).unionByName(batch)
+    written = store.write({"rows": _newest(rows, store.key, places)}, touched, number)
+    batch.unpersist()
+    return written

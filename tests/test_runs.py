@@ -210,4 +210,4 @@ def test_upsert_resumes_and_new_wins(spark, tmp_path):
     assert deliver(("a", 1, "x"), ("a", 2, "y"), ("b", 5, "z")) == {("a", 2, "y"), ("b", 5, "z")}
     assert deliver(("b", 1, "new"), ("c", 1, "c")) == {("a", 2, "y"), ("b", 1, "new"), ("c", 1, "c")}
     assert deliver(("d", 1, "d")) >= {("a", 2, "y"), ("d", 1, "d")}
-    assert sorted(p.name for p in (tmp_path / "out").glob("v*")) == ["v1", "v2"]
+    assert sorted(p.name for p in (tmp_path / "out/store/manifest").glob("v*")) == ["v2", "v3"]
