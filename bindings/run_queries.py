@@ -11,7 +11,14 @@ from bindings import sql, tables
 from bindings.post_queries import FULL_DETECTED
 from bindings.registry import query
 from bindings.select_queries import budget_sql
-from bindings.source_queries import EXTRACTED, SCORED
+from bindings.source_queries import (
+    CHAINED,
+    CHAINED_ITEMS,
+    EXTRACTED,
+    SCORED,
+    chained_items,
+    chained_posts,
+)
 from riskloom.functions import text as tx
 from riskloom.operators.select import cutoff
 from riskloom.plans import jobs
@@ -147,6 +154,37 @@ def enrich_again(spark, sf):
     return users.join(items.select("username", "id"), "username", "left")
 
 
+CHAINED_COLLECTED = COLLECTED.replace(EXTRACTED, CHAINED)
+
+
+@query("j1_collect_chained", f"WITH {sql.POSTS}, {CHAINED_COLLECTED} SELECT * FROM collected")
+def collect_chained(spark, sf):
+    """Pages without numbers: their links order them, and a lost page ends its listing."""
+    return jobs.collect_job(spark, chained_posts(spark, sf), fresh_path(spark, "j1"), CONFIG)
+
+
+@query(
+    "j2_enrich_chained",
+    f"""WITH {sql.POSTS}, items0 AS (SELECT * FROM ({sql.ITEMS.split("AS (", 1)[1].rstrip().removesuffix(")")})),
+    {CHAINED_ITEMS.replace("FROM items)", "FROM items0)")},
+    items AS (SELECT * FROM paged_items WHERE number % 4 <> 0 AND {sql.REACHED}),
+    {COLLECTED}, {ENRICHED}
+    SELECT a.username, id, kind, text, created_utc FROM authors a LEFT JOIN budgeted USING (username)""",
+)
+def enrich_chained(spark, sf):
+    """A pinned old item ends a listing at once, a lost page at itself."""
+    posts = jobs.collect(listing_pages(spark, sf), CONFIG)
+    users, items = jobs.enrich_job(
+        spark,
+        posts,
+        chained_items(spark, sf),
+        None,
+        fresh_path(spark, "j2"),
+        replace(CONFIG, stop_at_old=True),
+    )
+    return users.join(items.select("username", "id", "kind", "text", "created_utc"), "username", "left")
+
+
 KNOWN = """known AS (SELECT DISTINCT author AS username FROM posts WHERE CAST(substr(author, 2) AS INT) % 3 = 0),
     again AS (SELECT username FROM known WHERE CAST(substr(username, 2) AS INT) % 9 = 0),
     fetched AS (SELECT username FROM authors EXCEPT SELECT username FROM known UNION SELECT username FROM again)"""
@@ -168,7 +206,7 @@ def enrich_store(spark, sf):
     known = known.where(number % 3 == 0)
     held = tables.items(spark, sf).join(known, "username", "left_semi")
     held = held.withColumn("id", F.concat(F.lit("old-"), "id"))
-    store = jobs.history_store(spark, fresh_path(spark, "history"))
+    store = jobs.history_store(spark, fresh_path(spark, "history"), buckets=8)
     jobs.merge_into_history(store, known, held)
     jobs.enrich_store_job(
         spark,
@@ -341,6 +379,6 @@ def upsert(spark, sf):
     # The files of all deliveries arrive one by one in no order.
     stream = flows.stream_table(spark, landing, landed.schema, maxFilesPerTrigger=3)
     last = flows.upsert_stream(
-        spark, stream, "user_id", "event_id", fresh_path(spark, "t4"), delivery="delivery"
+        spark, stream, "user_id", "event_id", fresh_path(spark, "t4"), "delivery", buckets=8
     )
     return last.drop("delivery")

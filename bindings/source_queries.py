@@ -15,7 +15,7 @@ from riskloom.model import FEATURES
 from riskloom.operators import pages as pg
 from riskloom.operators import posts, users
 from riskloom.sources import readers, writers
-from riskloom.sources.staging import fresh_path
+from riskloom.sources.staging import fresh_path, staged
 
 
 LENIENT = f"""WITH {sql.POSTS}, n AS (SELECT *, CAST(id AS BIGINT) AS k FROM posts)
@@ -364,6 +364,80 @@ def next_link(spark, sf):
     return pages.select("page_no", pg.next_link(F.col("html")).alias("next"))
 
 
+@query(
+    "x6_page_chains",
+    f"""WITH RECURSIVE {sql.ACTIVITY}, {sql.chained('activity', 'subreddit', tables.PER_PAGE)},
+    sizes AS (SELECT subreddit AS listing, number, max(page) AS last FROM paged GROUP BY ALL),
+    nodes AS (
+      SELECT listing, number, last, unnest(range(0, last + 1)) AS p FROM sizes),
+    linked AS (
+      SELECT *, 'https://forum.example/list/' || listing || CASE WHEN p = 0 THEN '' ELSE '?count=25&after=x_' || p END AS url,
+        CASE WHEN p = 1 AND number % 5 = 2 THEN NULL WHEN p < last THEN p + 1 WHEN number % 3 = 0 AND last > 0 THEN 1 END AS on_p
+      FROM nodes),
+    walk AS (
+      SELECT listing, p, 1 AS page_no FROM nodes WHERE p = 0
+      UNION ALL
+      SELECT w.listing, l.on_p, w.page_no + 1 FROM walk w JOIN linked l ON l.listing = w.listing AND l.p = w.p
+      WHERE l.on_p IS NOT NULL AND w.page_no <= l.last)
+    SELECT listing, url, CAST(min(page_no) AS BIGINT) AS page_no FROM walk JOIN linked USING (listing, p) GROUP BY ALL""",
+)
+def page_chains(spark, sf):
+    """Pages of 25 items in the order of their next links, which are all that orders them."""
+    listing = {"subreddit": "listing"}
+    pages = tables.chained(tables.activity(spark, sf), listing, F.concat(F.lit("<p>"), "id", F.lit("</p>")))
+    return pg.page_numbers(pg.parsed_pages(pages), ["listing"])
+
+
+CHAINED = f"""{EXTRACTED.replace("extracted AS", "single AS")},
+{sql.chained('single', 'subreddit', tables.PER_PAGE)},
+extracted AS (
+  SELECT id, url, subreddit, author, title, text, created_utc, language FROM paged WHERE {sql.REACHED}
+  UNION ALL
+  SELECT DISTINCT 'pin', '', subreddit, 'pin', '', '', 946684800, CAST(NULL AS VARCHAR) FROM paged WHERE number % 4 = 0)"""
+
+
+def chained_posts(spark, sf):
+    return tables.chained(
+        tables.posts(spark, sf), {"subreddit": "group_name"}, tables.listed_post()
+    )
+
+
+@query("x1_extract_posts_chained", f"WITH {sql.POSTS}, {CHAINED} SELECT * FROM extracted")
+def extract_posts_chained(spark, sf):
+    """Several pages of 25 posts, pinned ones first, second pages that fail, links that return."""
+    parsed = staged(pg.parsed_pages(chained_posts(spark, sf)), "parsed")
+    return pg.extract_posts(parsed, usable=pg.usable_keys(parsed, ["group_name"]))
+
+
+def chained_items(spark, sf):
+    return tables.chained(
+        tables.items(spark, sf), {"username": "username", "kind": "kind"}, tables.listed_item(), 2
+    )
+
+
+CHAINED_ITEMS = f"""{sql.chained('items', "username || '/' || kind", 2, 'paged_items')}"""
+
+
+@query(
+    "x2_extract_items_chained",
+    f"""WITH {sql.ITEMS}, {CHAINED_ITEMS}
+    SELECT username, replace(id, ':', '-') AS id, page + 1 AS page_no, {sql.strip('text')} AS text
+    FROM paged_items WHERE {sql.REACHED}
+    UNION ALL
+    SELECT DISTINCT username, 'pin', 1, '' FROM paged_items WHERE number % 4 = 0""",
+)
+def extract_items_chained(spark, sf):
+    """Items of users' pages, which come with the number of the page they were on."""
+    parsed = staged(pg.parsed_pages(chained_items(spark, sf)), "parsed")
+    raw = pg.raw_items(parsed, "username", usable=pg.usable_keys(parsed, ["username", "kind"]))
+    return raw.select(
+        "username",
+        nz.item_id(F.col("raw_fullname"), F.col("raw_element_id")).alias("id"),
+        "page_no",
+        F.coalesce("raw_md_text", F.lit("")).alias("text"),
+    ).distinct()
+
+
 @query(
     "x6_next_link_raw_pages",
     "SELECT page_id, CAST(NULL AS VARCHAR) AS next, CAST(NULL AS VARCHAR) AS error FROM pages",

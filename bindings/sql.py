@@ -181,3 +181,18 @@ def user_risk(users: str, own: str, fallback: str | None, name: str = "risk") ->
 USER_COLUMNS = (
     "username, score, label, max_post_score, average_score, count_high_posts, total_posts, explanation"
 )
+
+
+def chained(source: str, key: str, per_page: int, name: str = "paged") -> str:
+    """CTE of the rows of ``source`` on the pages that ``tables.chained`` makes of them.
+
+    ``page`` counts from 0, ``number`` is the listing's.
+    """
+    return f"""{name} AS (
+  SELECT *, (row_number() OVER (PARTITION BY {key} ORDER BY created_utc DESC, id) - 1) // {per_page} AS page,
+    CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) % 60 AS number
+  FROM {source})"""
+
+
+# Rows that a crawl gets: where the second page never comes, those of the first.
+REACHED = "(number % 5 <> 2 OR page = 0)"

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.model import DEFAULT_MODEL, RiskModel
+from riskloom.operators.select import newest_first_rank
+
 # The test corpus is invented prose that the default vocabulary hardly meets.
 # This model uses words the corpus has, so that every rule is exercised.
 CALIBRATED = RiskModel(
@@ -106,19 +108,15 @@ def escape(text: Column) -> Column:
     return text
 
 
-def listing_pages(posts: DataFrame) -> DataFrame:
-    """A landed listing page around each post.
-
-    Rows alternate between attribute styles; every third page also has a
-    promoted item and every fourth an item without a time.
-    """
+def listed_post() -> Column:
+    """A post as an item of a listing page; rows alternate between attribute styles."""
     number = F.col("id").cast("long")
     name = F.when(number % 2 == 0, F.concat(F.lit('data-fullname="t3_'), "id", F.lit('"'))).otherwise(
         F.concat(F.lit('id="thing_t3_'), "id", F.lit('"'))
     )
     seconds = F.col("created_utc").cast("long")
     stamp = F.when(number % 2 == 0, seconds * 1000).otherwise(seconds).cast("string")
-    thing = F.concat(
+    return F.concat(
         F.lit('<div class=" thing link" '),
         name,
         F.lit(' data-promoted="false" data-timestamp="'),
@@ -136,6 +134,15 @@ def listing_pages(posts: DataFrame) -> DataFrame:
         escape(F.col("text")),
         F.lit("</div></div></div></div>"),
     )
+
+
+def listing_pages(posts: DataFrame) -> DataFrame:
+    """A landed listing page around each post.
+
+    Every third page also has a promoted item and every fourth an item without a time.
+    """
+    number = F.col("id").cast("long")
+    thing = listed_post()
     promoted = F.lit('<div class="thing" data-promoted="true" id="t3_ad" data-timestamp="1"></div>')
     timeless = F.lit('<div class="thing" id="t3_x"><a class="title">x</a></div>')
     html = F.concat(
@@ -162,11 +169,25 @@ def listing_pages(posts: DataFrame) -> DataFrame:
 
 def user_pages(items: DataFrame, page_no: Column | None = None) -> DataFrame:
     """A landed user page around each history item."""
+    html = listed_item()
+    return items.select(
+        "username",
+        "kind",
+        (F.lit(1) if page_no is None else page_no).alias("page_no"),
+        F.concat(F.lit("https://forum.example/u/"), "id").alias("url"),
+        html.alias("html"),
+        F.lit(200).alias("status"),
+        F.lit(1).alias("attempt"),
+    )
+
+
+def listed_item() -> Column:
+    """A history item as an item of a user's page."""
     moment = F.expr(
         "date_format(timestampadd(SECOND, cast(created_utc as bigint), "
         "TIMESTAMP_NTZ'1970-01-01 00:00:00'), \"yyyy-MM-dd'T'HH:mm:ss\")"
     )
-    html = F.concat(
+    return F.concat(
         F.lit("<div class='thing comment' id='t1_"),
         F.replace("id", F.lit(":"), F.lit("-")),
         F.lit("' data-subreddit='"),
@@ -177,12 +198,59 @@ def user_pages(items: DataFrame, page_no: Column | None = None) -> DataFrame:
         escape(F.col("text")),
         F.lit("</p></div></div></form></div>"),
     )
-    return items.select(
-        "username",
-        "kind",
-        (F.lit(1) if page_no is None else page_no).alias("page_no"),
-        F.concat(F.lit("https://forum.example/u/"), "id").alias("url"),
-        html.alias("html"),
-        F.lit(200).alias("status"),
-        F.lit(1).alias("attempt"),
+
+
+PER_PAGE = 25
+
+
+def chained(
+    rows: DataFrame, listing: dict[str, str], item: Column, per_page: int = PER_PAGE
+) -> DataFrame:
+    """Landed pages of ``per_page`` items, newest first, that only their links order.
+
+    ``listing`` names the columns that key a listing. The first page of every fourth
+    listing opens with a pinned item of the year 2000. The second page never comes in
+    every fifth listing and with the second attempt in the others. The last page of
+    every third listing links back to the second.
+    """
+    key = F.concat_ws("/", *listing)
+    number = F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("long") % 60
+    keyed = rows.select(*listing, "id", "created_utc", item.alias("_item"), key.alias("_key"))
+    ranked = newest_first_rank(keyed, "_key")
+    placed = ranked.withColumn("_page", F.floor((F.col("rank") - 1) / per_page).cast("long"))
+    pages = placed.groupBy(*listing, "_key", "_page").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "_item"))).alias("_items")
+    )
+    sizes = pages.groupBy("_key").agg(F.max("_page").alias("_last"))
+
+    def url(page: Column) -> Column:
+        start = F.concat(F.lit("https://forum.example/list/"), "_key")
+        after = F.concat(F.lit("?count=25&after=x_"), page.cast("string"))
+        return F.when(page == 0, start).otherwise(F.concat(start, after))
+
+    on = F.when(F.col("_page") < F.col("_last"), url(F.col("_page") + 1)).when(
+        (F.col("_number") % 3 == 0) & (F.col("_last") > 0), url(F.lit(1))
+    )
+    link = F.concat(F.lit('<span class="next-button"><a href="'), escape(on), F.lit('">on</a></span>'))
+    pinned = F.lit(
+        '<div class="thing" data-fullname="t3_pin" data-timestamp="946684800" data-author="pin"></div>'
+    )
+    body = F.concat(
+        F.when((F.col("_page") == 0) & (F.col("_number") % 4 == 0), pinned).otherwise(""),
+        F.array_join(F.transform("_items", lambda i: i["_item"]), ""),
+        F.coalesce(link, F.lit("")),
+    )
+    attempts = F.when(F.col("_page") == 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    tried = (
+        pages.join(sizes, "_key")
+        .withColumn("_number", number)
+        .select("*", F.explode(attempts).alias("attempt"))
+    )
+    failed = (F.col("_page") == 1) & ((F.col("attempt") == 1) | (F.col("_number") % 5 == 2))
+    return tried.select(
+        *(F.col(c).alias(name) for c, name in listing.items()),
+        url(F.col("_page")).alias("url"),
+        F.when(~failed, body).alias("html"),
+        F.when(failed, 503).otherwise(200).alias("status"),
+        "attempt",
     )

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from riskloom.functions import normalize as nz
 from riskloom.functions.text import empty_to_null
+from riskloom.operators.chains import page_numbers
 from riskloom.operators.select import drop_invalid, drop_promoted, prefix_until_old
 from riskloom.operators.skew import BROADCAST_KEYS, having_few
 from riskloom.schemas import HISTORY, POST
@@ -54,10 +55,13 @@ def usable_keys(
     usable attempt is absent. With ``listing`` (its key columns) given, pages
     after an absent one of the same listing (by ``page_no``) go too, and the
     listing's columns and ``page_no`` are part of the result: a url may be in
-    several listings.
+    several listings. Pages without the column ``page_no`` are numbered by their next
+    links first, see :func:`numbered_pages`.
 
     Page bodies are not read.
     """
+    if listing and "page_no" not in pages.columns:
+        pages = numbered_pages(pages, listing)
     settled = F.col("status").isin(USABLE, *ABSENT)
     outcome = (
         pages.where(F.col("attempt") <= max_attempts)
@@ -76,6 +80,18 @@ def usable_keys(
     return usable.select(*keys, F.col("_first.attempt").alias("attempt"))
 
 
+def numbered_pages(pages: DataFrame, listing: list[str]) -> DataFrame:
+    """(url, attempt, status, ``listing``, page_no) of pages that next links lead to.
+
+    Pages are best parsed; landed ones are parsed for their links here.
+    """
+    if "next" not in pages.columns:
+        body = F.when(F.col("status") == USABLE, F.col("html"))
+        pages = pages.withColumn("next", next_link(body))
+    tried = pages.select("url", "attempt", "status", *listing)
+    return tried.join(page_numbers(pages, listing), [*listing, "url"])
+
+
 def usable_pages(
     pages: DataFrame,
     listing: list[str] | None = None,
@@ -100,16 +116,17 @@ def next_link(html: Column) -> Column:
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
-    """``pages`` with ``_items`` and ``error`` in place of ``html``.
+    """``pages`` with ``_items``, ``next`` and ``error`` in place of ``html``.
 
-    Pages without the class name anywhere cannot hold an item and are not sent
-    to Python; their rows stay, as a crawl's outcome depends on them.
+    Pages without the class names of items and next links anywhere hold neither and are
+    not sent to Python; their rows stay, as a crawl's outcome depends on them.
     """
-    held = (F.col("status") == USABLE) & F.col("html").contains("thing")
+    marked = F.col("html").contains("thing") | F.col("html").contains("next-button")
+    held = (F.col("status") == USABLE) & marked
     body = F.when(held, F.col("html"))
     return (
         pages.withColumn("_page", parse_page(body))
-        .withColumns({"_items": F.col("_page.items"), "error": F.col("_page.error")})
+        .withColumns({c: F.col(f"_page.{f}") for c, f in (("_items", "items"), ("next", "next"), ("error", "error"))})
         .drop("html", "_page")
     )
 
@@ -120,10 +137,11 @@ def raw_items(pages: DataFrame, *keep: str, usable: DataFrame | None = None) ->
     ``pages`` are landed or parsed. Landed pages without the class name anywhere
     are dropped before they would be sent to Python. Pages are restricted to
     ``usable`` only after parsing, as items are smaller to shuffle than page
-    bodies.
+    bodies. Columns that only ``usable`` has, such as page numbers, come with it.
     """
     if usable is not None:
-        pages, keep = _tried(pages), tuple(dict.fromkeys([*keep, *usable.columns]))
+        own = [c for c in usable.columns if c in pages.columns]
+        pages, keep = _tried(pages), tuple(dict.fromkeys([*keep, *own]))
     parsed = pages
     if "_items" not in pages.columns:
         parsed = pages.where(F.col("html").contains("thing")).withColumn(
@@ -135,7 +153,8 @@ def raw_items(pages: DataFrame, *keep: str, usable: DataFrame | None = None) ->
     items = parsed.select(*keep, F.posexplode_outer("_items").alias("item_no", "_item"))
     items = items.where(F.col("item_no").isNotNull())
     raw = items.select(*keep, "item_no", *(F.col(f"_item.{f}").alias(f"raw_{f}") for f in _FIELDS))
-    return raw if usable is None else raw.join(usable, usable.columns, "left_semi")
+    # Keys are unique, so this joins no row twice.
+    return raw if usable is None else raw.join(usable, own)
 
 
 def _created() -> Column:
@@ -176,8 +195,9 @@ def extract_items(
     With ``oldest`` given, a user's listing ends at its first older item, as a
     crawl of newest-first pages would stop there (L4).
     """
-    paged = "page_no" in pages.columns
-    raw = raw_items(pages, "username", "kind", *(["page_no"] if paged else []), usable=usable)
+    own = ["page_no"] if "page_no" in pages.columns else []
+    paged = own or (usable is not None and "page_no" in usable.columns)
+    raw = raw_items(pages, "username", "kind", *own, usable=usable)
     items = raw.select(
         "username",
         nz.item_id(F.col("raw_fullname"), F.col("raw_element_id")).alias("id"),

@@ -79,7 +79,7 @@ def collect_job(
 ) -> DataFrame:
     """Landed listing pages -> ``out``: table, JSON lines, posts per group, errors.
 
-    Each page is parsed once; items and pages that failed come from that table.
+    Pages without ``page_no`` are put in order by their next links. Each page is parsed once; items and pages that failed come from that table.
     """
     wanted = listing_pages.where(F.col("group_name").isin(*cfg.groups))
     parsed = staged(parsed_pages(wanted), "parsed")
@@ -93,7 +93,8 @@ def collect_job(
 
 
 def _write_errors(parsed: DataFrame, keys: list[str], path: str) -> None:
-    errors = parsed.where("error is not null").select(*keys, "page_no", "url", "attempt", "error")
+    keys = [*keys, *(c for c in ("page_no",) if c in parsed.columns)]
+    errors = parsed.where("error is not null").select(*keys, "url", "attempt", "error")
     errors.write.mode("overwrite").json(path)
 
 
