@@ -359,8 +359,8 @@ def deduplicated(spark, sf):
 )
 def rolling_user_risk(spark, sf):
     """All windows, those still open at the newest event as they stand."""
-    risk = flows.rolling_user_risk(event_stream(spark, sf))
-    latest = flows.drain_updates(spark, risk, ["window_start", "window_end", "username"], "t3")
+    scores = event_stream(spark, sf)
+    latest = flows.rolling_risk_stream(spark, scores, fresh_path(spark, "t3"), buckets=8)
     times = {c: F.unix_seconds(c) for c in ("window_start", "window_end")}
     return latest.withColumns(times)
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from bindings import sql, tables
 from bindings.registry import query
-from riskloom.operators import posts, users
+from riskloom.operators import posts, stats, users
 from riskloom.sources import writers
 from riskloom.sources.staging import fresh_path, staged
 
@@ -95,6 +97,29 @@ def score_users(spark, sf):
     )
 
 
+@query("u9_incremental", f"{FULL} SELECT {sql.USER_COLUMNS} FROM risk")
+def incremental(spark, sf):
+    """Stats kept over three deliveries; every fifth user is fetched again in the last.
+
+    What those users had before is other items (all of them twice), so that not taking
+    them back would show.
+    """
+    scored = staged(item_scores(spark, sf), "scores")
+    number = F.substring("username", 2, 10).cast("int")
+    part = F.substring_index("id", ":", 1).cast("long") % 3
+    fetched = number % 5 == 0
+    store = stats.stats_store(spark, fresh_path(spark, "stats"), buckets=8)
+    once = scored.where(~fetched)
+    stats.add_to_stats(store, once.where(part == 0).unionByName(scored.where(fetched)), high=MODEL.high)
+    stats.add_to_stats(store, once.where(part == 1).unionByName(scored.where(fetched)), high=MODEL.high)
+    again = tables.users(spark, sf).where(fetched)
+    last = once.where(part == 2).unionByName(scored.where(fetched))
+    stats.add_to_stats(store, last, again, high=MODEL.high)
+    return users.score_users_from_stats(
+        tables.users(spark, sf), stats.stats_of(store), post_scores(spark, sf), high=MODEL.high, medium=MODEL.medium
+    )
+
+
 @query(
     "u9_score_users_default",
     f"""WITH {sql.USERS}, {sql.ITEMS}, u_posts AS (SELECT *, '' AS title FROM items),

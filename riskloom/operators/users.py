@@ -112,21 +112,21 @@ def risk_of_stats(
     return df.withColumn("explanation", user_explanation(min_confident)).select(*USER_RISK_COLUMNS)
 
 
-def score_users_from_scores(
+def score_users_from_stats(
     users: DataFrame,
-    item_scores: DataFrame,
+    own: DataFrame,
     fallback: DataFrame | None = None,
     *,
     high: float = DEFAULT_MODEL.high,
     medium: float = DEFAULT_MODEL.medium,
     min_confident: int = MIN_CONFIDENT_ITEMS,
 ) -> DataFrame:
-    """User risk for each of ``users`` from (username, score) rows.
+    """User risk for each of ``users`` from their stats, one row per user.
 
-    Both kinds of scores are reduced to one row per user before the joins, so
-    no join sees a frequent user; the fallback choice is made on those rows.
+    ``own`` has the columns of :func:`user_stats`, as has what ``fallback(author, score)``
+    is reduced to: no join sees a frequent user, and the fallback choice is made on those
+    rows.
     """
-    own = user_stats(item_scores, high=high)
     joined = users.select("username").distinct().join(own, "username", "left")
     joined = joined.withColumn("_from_posts", F.lit(False))
     if fallback is not None:
@@ -143,6 +143,22 @@ def score_users_from_scores(
     return risk_of_stats(filled, high, medium, min_confident)
 
 
+def score_users_from_scores(
+    users: DataFrame,
+    item_scores: DataFrame,
+    fallback: DataFrame | None = None,
+    *,
+    high: float = DEFAULT_MODEL.high,
+    medium: float = DEFAULT_MODEL.medium,
+    min_confident: int = MIN_CONFIDENT_ITEMS,
+) -> DataFrame:
+    """User risk for each of ``users`` from (username, score) rows."""
+    own = user_stats(item_scores, high=high)
+    return score_users_from_stats(
+        users, own, fallback, high=high, medium=medium, min_confident=min_confident
+    )
+
+
 def score_users(
     users: DataFrame,
     items: DataFrame,

@@ -8,12 +8,16 @@ from pyspark.sql import types as T
 
 from riskloom.model import DEFAULT_MODEL, RiskModel
 from riskloom.operators.posts import scored_records
-from riskloom.operators.users import stats_columns, user_score
+from riskloom.operators.stats import STATS, merged_stats, partial_stats, whole_stats
+from riskloom.operators.users import user_score
 from riskloom.functions.features import label
 from riskloom.sources.buckets import BUCKETS, BucketStore, Written
 from riskloom.sources.staging import fresh_path
 
 LATENESS = "1 day"
+PANE, WINDOW = "1 day", "10 days"
+_SPAN = T.StructType([T.StructField(c, T.TimestampType()) for c in ("start", "end")])
+PANES = T.StructType([T.StructField("pane", _SPAN), *STATS.fields])
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
@@ -33,28 +37,38 @@ def deduplicated(
     return items.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(keys)
 
 
-def rolling_user_risk(
+def daily_stats(
     scores: DataFrame,
     ts: str = "ts",
     lateness: str = LATENESS,
-    window: str = "10 days",
-    slide: str = "1 day",
+    pane: str = PANE,
+    high: float = DEFAULT_MODEL.high,
+) -> DataFrame:
+    """(pane, username, partial stats) of ``(username, ts, score)``: a row per user and pane.
+
+    Works on streams and on tables. Rows are not multiplied: each is in one pane.
+    """
+    panes = scores.withWatermark(ts, lateness).groupBy(F.window(ts, pane).alias("pane"), "username")
+    return panes.agg(*partial_stats(high=high))
+
+
+def risk_of_panes(
+    panes: DataFrame,
+    window: str = WINDOW,
+    slide: str = PANE,
     model: RiskModel = DEFAULT_MODEL,
+    moment: str = "pane",
 ) -> DataFrame:
-    """User risk over a sliding lookback of ``(username, ts, score)``.
+    """User risk over sliding windows that are put together from panes.
 
-    Works on streams and on tables. Rows behind the watermark are dropped;
-    state is one row of stats per user and open window.
+    ``moment`` is the window column of an aggregation, or a time within the pane.
     """
-    grouped = (
-        scores.withWatermark(ts, lateness)
-        .groupBy(F.window(ts, window, slide).alias("w"), "username")
-        .agg(*stats_columns(high=model.high))
-    )
+    grouped = panes.groupBy(F.window(moment, window, slide).alias("w"), "username")
+    stats = grouped.agg(*merged_stats()).select("w", "username", *whole_stats())
     score = user_score(
         F.col("max_post_score"), F.col("average_score"), F.col("count_high_posts")
     )
-    df = grouped.select(
+    df = stats.select(
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),
         "username",
@@ -67,53 +81,85 @@ def rolling_user_risk(
     return df.withColumn("label", label(F.col("score"), model.high, model.medium))
 
 
-def drain(spark: SparkSession, stream: DataFrame, name: str, out: str | None = None) -> DataFrame:
-    """Runs an append stream over what has arrived and returns the sink's table.
+def rolling_user_risk(
+    scores: DataFrame,
+    ts: str = "ts",
+    lateness: str = LATENESS,
+    window: str = WINDOW,
+    slide: str = PANE,
+    model: RiskModel = DEFAULT_MODEL,
+) -> DataFrame:
+    """User risk over a sliding lookback of ``(username, ts, score)``.
 
-    Sink and checkpoint lie below the shared folder, so the query can be taken
-    up again by another driver.
+    Works on tables and, for windows that the watermark has closed, on append streams.
+    Scores combine to one row per user and ``slide`` first; only those rows are multiplied
+    by the windows that they are part of. Rows of a pane behind the watermark are dropped.
     """
-    out = out or fresh_path(spark, name)
+    return risk_of_panes(daily_stats(scores, ts, lateness, slide, model.high), window, slide, model)
+
+
+def pane_store(spark: SparkSession, out: str, buckets: int = BUCKETS) -> BucketStore:
+    """Where :func:`rolling_risk_stream` keeps panes, bucketed by user."""
+    return BucketStore(spark, f"{out}/panes", "username", {"panes": PANES}, buckets)
+
+
+def rolling_risk_stream(
+    spark: SparkSession,
+    scores: DataFrame,
+    out: str,
+    ts: str = "ts",
+    lateness: str = LATENESS,
+    window: str = WINDOW,
+    slide: str = PANE,
+    model: RiskModel = DEFAULT_MODEL,
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """T3 as a stream that also delivers open windows: runs over what has arrived.
+
+    The stream's state is one row of partial stats per user and pane that is still open.
+    A micro-batch replaces the panes that it changed in a bucketed store, which holds
+    each pane once, however often it changed; a batch run again puts the same panes in.
+    Windows are put together when the result is read. A late row counts in all windows
+    of its pane as long as the pane is open, which ``lateness`` says.
+    """
+    store = pane_store(spark, out, buckets)
+
+    def apply(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        touched = store.touched(batch)
+        kept = store.read("panes", touched, number).join(batch, ["username", "pane"], "left_anti")
+        store.write({"panes": kept.unionByName(batch)}, touched, number)
+        batch.unpersist()
+
+    panes = daily_stats(scores, ts, lateness, slide, model.high)
     query = (
-        stream.writeStream.outputMode("append")
-        .format("parquet")
+        panes.select(*PANES.names)
+        .writeStream.outputMode("update")
+        .foreachBatch(apply)
         .option("checkpointLocation", f"{out}/checkpoint")
         .trigger(availableNow=True)
-        .start(f"{out}/table")
+        .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{out}/table")
+    return risk_of_panes(store.read("panes"), window, slide, model, "pane.start")
 
 
-def drain_updates(
-    spark: SparkSession, stream: DataFrame, keys: list[str], name: str, out: str | None = None
-) -> DataFrame:
-    """Runs an aggregating stream over what has arrived and returns its rows as they stand.
+def drain(spark: SparkSession, stream: DataFrame, name: str, out: str | None = None) -> DataFrame:
+    """Runs an append stream over what has arrived and returns the sink's table.
 
-    Unlike :func:`drain`, it also delivers groups that are still open: each
-    micro-batch writes the rows it changed below its number, and the latest
-    row per key is the result.
+    Sink and checkpoint lie below the shared folder, so the query can be taken
+    up again by another driver.
     """
     out = out or fresh_path(spark, name)
-
-    def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(
-            f"{out}/changes/number={number}"
-        )
-
     query = (
-        stream.writeStream.outputMode("update")
-        .foreachBatch(write)
+        stream.writeStream.outputMode("append")
+        .format("parquet")
         .option("checkpointLocation", f"{out}/checkpoint")
         .trigger(availableNow=True)
-        .start()
+        .start(f"{out}/table")
     )
     query.awaitTermination()
-    schema = T.StructType([*stream.schema.fields, T.StructField("_batch", T.IntegerType())])
-    changes = spark.read.schema(schema).parquet(f"{out}/changes")
-    columns = [c for c in stream.columns if c not in keys]
-    latest = changes.groupBy(*keys).agg(F.max_by(F.struct(*columns), "_batch").alias("_row"))
-    return latest.select(*keys, "_row.*").select(*stream.columns)
+    return spark.read.schema(stream.schema).parquet(f"{out}/table")
 
 
 def _newest(rows: DataFrame, key: str, order: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from riskloom.operators import stats, users
 from riskloom.operators.pages import extract_posts
 from riskloom.plans import jobs
 from riskloom.schemas import HISTORY, POST
@@ -178,10 +179,19 @@ def test_open_windows_are_delivered_as_they_stand(spark, tmp_path):
         land(spark, path, *((d / 3, (d % 7) / 7) for d in range(part, 60, 3)))
     table = spark.read.parquet(path)
     stream = flows.stream_table(spark, path, table.schema, maxFilesPerTrigger=1)
-    keys = ["window_start", "window_end", "username"]
-    risk = flows.rolling_user_risk(stream, lateness="30 days")
-    got = {tuple(r) for r in flows.drain_updates(spark, risk, keys, "t3").collect()}
+    out = str(tmp_path / "out")
+    risk = flows.rolling_risk_stream(spark, stream, out, lateness="30 days", buckets=4)
+    got = {tuple(r) for r in risk.collect()}
     assert got == {tuple(r) for r in flows.rolling_user_risk(table).collect()}
+    # A pane changed in several batches is kept once, and no row was multiplied on the way.
+    panes = flows.pane_store(spark, out, 4).read("panes")
+    assert panes.count() == panes.select("username", "pane").distinct().count() == 20
+    assert panes.agg(F.sum("scores")).first()[0] == 60
+    # Later files go on where the run ended; a late row amends its open pane.
+    land(spark, path, (0.5, 1.0), (21, 0.5))
+    risk = flows.rolling_risk_stream(spark, stream, out, lateness="30 days", buckets=4)
+    table = spark.read.parquet(path)
+    assert {tuple(r) for r in risk.collect()} == {tuple(r) for r in flows.rolling_user_risk(table).collect()}
 
 
 def test_upsert_does_not_depend_on_the_order_of_files(spark, tmp_path):
@@ -211,3 +221,32 @@ def test_upsert_resumes_and_new_wins(spark, tmp_path):
     assert deliver(("b", 1, "new"), ("c", 1, "c")) == {("a", 2, "y"), ("b", 1, "new"), ("c", 1, "c")}
     assert deliver(("d", 1, "d")) >= {("a", 2, "y"), ("d", 1, "d")}
     assert sorted(p.name for p in (tmp_path / "out/store/manifest").glob("v*")) == ["v2", "v3"]
+
+
+def test_stats_over_deliveries_equal_all_at_once(spark, tmp_path):
+    store = stats.stats_store(spark, str(tmp_path), buckets=4)
+
+    def deliver(rows, again=None):
+        df = spark.createDataFrame(rows, "username string, score double")
+        people = None if again is None else spark.createDataFrame([(a,) for a in again], "username string")
+        return stats.add_to_stats(store, df, people)
+
+    deliver([("a", 0.1), ("a", 0.9), ("b", 0.2), (None, 1.0)])
+    deliver([("a", 0.3), ("c", 0.85)])
+    # b is fetched again with other items, c without any, d was not known.
+    done = deliver([("b", 0.5), ("b", 0.6), ("a", 0.2)], again=["b", "c", "d"])
+    got = {tuple(r) for r in stats.stats_of(store).collect()}
+    left = [("a", 0.1), ("a", 0.9), ("a", 0.3), ("a", 0.2), ("b", 0.5), ("b", 0.6)]
+    whole = users.user_stats(spark.createDataFrame(left, "username string, score double"))
+    assert got == {tuple(r) for r in whole.collect()}
+    assert done.version == 3 and set(done.buckets) == set(
+        store.touched(spark.createDataFrame([(u,) for u in "abcd"], "username string"))
+    )
+    people = spark.createDataFrame([(u,) for u in "abcd"], "username string")
+    risk = users.score_users_from_stats(people, stats.stats_of(store))
+    assert {tuple(r) for r in risk.collect()} == {
+        tuple(r)
+        for r in users.score_users_from_scores(
+            people, spark.createDataFrame(left, "username string, score double")
+        ).collect()
+    }
