@@ -1,11 +1,14 @@
 """Removal of globally repeated chunks of lines.
 
-A text is cut into chunks at boundaries that its lines choose themselves: after
-a line, if a rolling hash over the hashes of the last ``REACH`` lines is 0 modulo
-``SPACING``. Lines put in or taken out move later chunks along but change only
-those around them. A chunk of at least ``LEAST_LINES`` lines goes if the same
-bytes are a chunk of a document with a smaller id, or an earlier chunk of the
-same document.
+A text is cut into chunks at boundaries that its lines choose themselves: before a line
+whose rolling hash, over the hashes of it and the line before, is less than that of its
+neighbours. So boundaries are two lines apart at least and three on average; none is set
+before the second or the last line, so every chunk of a text of several lines has two or
+more. A stretch of more than ``MOST_LINES`` lines without boundary is cut at that length
+(a single line left over stays with the piece before). Lines put in or taken out move
+later chunks along but change only those around them. A chunk of at least ``LEAST_LINES``
+lines goes if the same bytes are a chunk of a document with a smaller id, or an earlier
+chunk of the same document.
 
 Chunks are first matched by 128-bit hashes, without their texts. Only repeated
 ones are read again and grouped by their bytes. A hash that stands for different
@@ -33,10 +36,8 @@ from pyspark.sql import types as T
 from riskloom.llm.tables import few_or_shuffled, settled
 from riskloom.llm.words import encoded
 
-REACH = 2
-SPACING = 3
-FACTOR = 31
-LEAST_LINES = 2
+FACTOR, MODULUS = 31, 4294967291
+LEAST_LINES, MOST_LINES = 2, 16
 
 
 def chunks(text: str | None) -> list[bytes]:
@@ -44,15 +45,16 @@ def chunks(text: str | None) -> list[bytes]:
     if text is None:
         return []
     lines = encoded(text).split(b"\n")
+    if len(lines) < 4:
+        return [b"\n".join(lines)]
     hashes = [int.from_bytes(hashlib.md5(line).digest()[:4], "big") for line in lines]
-    out, start = [], 0
-    for i in range(len(lines)):
-        rolled = sum(
-            hashes[i - back] * FACTOR**back for back in range(min(REACH, i + 1))
-        )
-        if rolled % SPACING == 0 or i == len(lines) - 1:
-            out.append(b"\n".join(lines[start : i + 1]))
-            start = i + 1
+    rolled = [(h + FACTOR * b) % MODULUS for b, h in zip([0, *hashes], hashes)]
+    starts = [i for i in range(2, len(lines) - 1) if rolled[i - 1] > rolled[i] <= rolled[i + 1]]
+    out = []
+    for start, end in zip([0, *starts], [*starts, len(lines)]):
+        pieces = max(1, (end - start - 2) // MOST_LINES + 1)
+        cuts = [start + MOST_LINES * k for k in range(pieces)]
+        out += [b"\n".join(lines[a:b]) for a, b in zip(cuts, [*cuts[1:], end])]
     return out
 
 

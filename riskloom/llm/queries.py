@@ -190,14 +190,18 @@ WITH lines AS (
 hashed AS (
   SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM lines),
 rolled AS (
-  SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS u FROM hashed),
-ends AS (
-  SELECT *, (u + 31 * coalesce(lag(u) OVER w, 0)) % 3 = 0 AS cut FROM rolled
+  SELECT *, (u + 31 * coalesce(lag(u) OVER w, 0)) % 4294967291 AS r, count(*) OVER (PARTITION BY doc_id) AS n
+  FROM (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS u FROM hashed)
   WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+cuts AS (
+  SELECT *, i > 2 AND i < n AND r < lag(r) OVER w AND r <= lead(r) OVER w AS cut FROM rolled
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+stretches AS (
+  SELECT *, greatest(1, max(CASE WHEN cut THEN i END) OVER (PARTITION BY doc_id ORDER BY i)) AS first FROM cuts),
 numbered AS (
-  SELECT *, coalesce(sum(CAST(cut AS INTEGER)) OVER (
-    PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
-  FROM ends),
+  SELECT doc_id, i, line, struct_pack(f := coalesce(first, 1), k := greatest(0, least((i - coalesce(first, 1)) // 16,
+    (count(*) OVER (PARTITION BY doc_id, first) - 2) // 16))) AS chunk
+  FROM stretches),
 chunks AS (
   SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS t, count(*) AS n
   FROM numbered GROUP BY doc_id, chunk),
