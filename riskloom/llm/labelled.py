@@ -11,6 +11,13 @@ def fold(id_col: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds))
 
 
+def share(labels: DataFrame, label: str, keep: Column) -> float:
+    """Smoothed share of ones among all labelled ids where ``keep``; half without any."""
+    known = labels.where(keep & F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).alias("label"))
+    row = known.agg(F.sum("label").alias("ones"), F.count("*").alias("rows")).first()
+    return ((row["ones"] or 0) + 1) / (row["rows"] + 2)
+
+
 def sample(labels: DataFrame, label: str, keep: Column, limits: dict[int, int]) -> DataFrame:
     """(doc_id, label, turn): labelled rows where ``keep``, at most ``limits[value]`` per value.
 

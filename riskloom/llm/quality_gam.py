@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.labelled import sample
+from riskloom.llm.labelled import sample, share
 from riskloom.llm.words import WordHasher, encoded
 
 SAMPLE_ROWS = 20_000
@@ -194,12 +194,17 @@ def _square(g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, float]:
     return value, float(gain[i, j] - total**2 / (weight + RIDGE))
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
-    """Fits the tables by cyclic boosting of the logistic loss."""
-    share = (y.sum() + 1) / (len(y) + 2)
-    model = AdditiveModel(float(np.log(share / (1 - share))))
+def fit(x: np.ndarray, y: np.ndarray, ones: float | None = None) -> AdditiveModel:
+    """Fits the tables by cyclic boosting of the logistic loss.
+
+    ``ones`` is their share among all that the rows stand for, by default among the rows.
+    Rows are weighed to it, so scores mean the same however the rows were drawn.
+    """
+    ones = (y.sum() + 1) / (len(y) + 2) if ones is None else ones
+    model = AdditiveModel(float(np.log(ones / (1 - ones))))
     if len(np.unique(y)) < 2:
         return model
+    weight = np.where(y == 1, ones / y.mean(), (1 - ones) / (1 - y.mean()))
     levels = np.linspace(0, 1, BINS + 1)[1:-1]
     model.cuts = [np.unique(np.quantile(c, levels)) for c in x.T]
     model.coarse = [np.unique(np.quantile(c, np.linspace(0, 1, PAIR_BINS + 1)[1:-1])) for c in x.T]
@@ -209,7 +214,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
 
     def slopes() -> tuple[np.ndarray, np.ndarray]:
         p = 1 / (1 + np.exp(-total))
-        return y - p, p * (1 - p)
+        return weight * (y - p), weight * p * (1 - p)
 
     for _ in range(ROUNDS):
         for at, table in zip(bins, model.tables):
@@ -252,7 +257,8 @@ def train(
 ) -> AdditiveModel:
     """Model fitted on ``rows`` labelled documents at most, of those where ``keep``.
 
-    Half the bound goes to either label.
+    Half the bound goes to either label; rows are weighed back to the share that labels
+    have among all that are kept, so the bound does not move the scores.
     """
     chosen = sample(labels, label, keep, {0: rows // 2, 1: rows // 2})
     found = (
@@ -264,4 +270,5 @@ def train(
     )
     if not len(found):
         return AdditiveModel()
-    return fit(np.array(found["x"].tolist(), float), found["label"].to_numpy(float))
+    x, y = np.array(found["x"].tolist(), float), found["label"].to_numpy(float)
+    return fit(x, y, share(labels, label, keep))

@@ -215,6 +215,26 @@ def test_line_chunks(spark, docs, empty):
     assert line_dedup.without_repeated_chunks(empty).count() == 0
 
 
+def test_chunks_leave_no_single_lines(spark):
+    lines = [f"line {RNG.random()}" for _ in range(200)]
+    for size in (2, 3, 5, 17, 200):
+        parts = line_dedup.chunks("\n".join(lines[:size]))
+        assert all(2 <= c.count(b"\n") + 1 <= line_dedup.MOST_LINES + 1 for c in parts)
+    same = line_dedup.chunks("\n".join(["x"] * 100))
+    assert sum(c.count(b"\n") + 1 for c in same) == 100 and len(same) > 4
+    assert line_dedup.chunks("one") == [b"one"] and line_dedup.chunks("") == [b""]
+    own = ["\n".join(f"own {RNG.random()}" for _ in range(30)) for _ in range(8)]
+    block = {n: "\n".join(lines[100 : 100 + n]) for n in (5, 20)}
+    texts = ["\n".join(lines), "\n".join(lines), f"{own[0]}\n{block[20]}\n{own[1]}"]
+    texts += [f"{own[2]}\n{block[20]}\n{own[3]}", "\n".join(lines[:2]), "\n".join(lines[:2])]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r._kept for r in line_dedup.without_repeated_chunks(frame).collect()}
+    # Nothing of a byte-identical copy stays, and a block's edges at most.
+    assert got[1].removed == 200 and got[1].text == "" and got[5].removed == 2
+    assert got[2].removed >= 14 and got[3].removed >= got[2].removed
+    assert set(own[2].split("\n")) <= set(got[3].text.split("\n"))
+
+
 def test_a_hash_of_different_bytes_removes_nothing(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "chunk_hash", lambda chunk: b"0" * 16)
     texts = [(0, "a\nb\nc\nd\ne\nf"), (1, "g\nh\ni\nj\nk\nl")]
@@ -408,6 +428,31 @@ def test_quality_learns_a_pair(spark, docs, empty):
     assert empty.select(one.column("text")).count() == 0
 
 
+def test_quality_scores_mean_the_natural_share_at_every_size(spark):
+    rng = np.random.default_rng(4)
+    shares = []
+    for ones, zeros in ((45, 255), (4500, 25_500)):
+        y = np.concatenate([np.ones(ones), np.zeros(zeros)])
+        x = rng.normal(y[:, None] * 1.2, 1.0, (len(y), 3))
+        if len(y) > 20_000:
+            # As train() draws it: half of the bound for either label, weighed back.
+            taken = np.concatenate([np.flatnonzero(y == 1), np.flatnonzero(y == 0)[:10_000]])
+            model = quality_gam.fit(x[taken], y[taken], ones / len(y))
+        else:
+            model = quality_gam.fit(x, y, ones / len(y))
+        test = rng.normal((rng.random(20_000) < 0.15)[:, None] * 1.2, 1.0, (20_000, 3))
+        scores = model.score(test)
+        assert abs(scores.mean() - 0.15) < 0.05
+        shares.append((scores >= quality_gam.THRESHOLD).mean())
+    assert abs(shares[0] - shares[1]) < 0.05
+
+
+def test_natural_share_counts_ids_once(spark):
+    labels = labels_of(spark, [(1, 1, 0), (1, 1, 0), (2, 0, 0), (3, 0, 0), (4, 1, 0), (5, None, 0)])
+    assert labelled.share(labels, "quality", F.col("doc_id") < 4) == pytest.approx(2 / 5)
+    assert labelled.share(labels.limit(0), "quality", F.lit(True)) == 0.5
+
+
 def test_toxicity_finds_planted_words(spark, docs, empty):
     rows, labels = [], []
     for i in range(400):
@@ -501,8 +546,12 @@ def test_unigram_models_agree_with_the_library(fallback, trim):
     if model.by_words:
         by_words = sentencepiece_tokens.WordEncoder(ours)
         for _ in range(2):
-            assert [i.tolist() for i in by_words(texts)] == want
-        assert by_words([]) == [] and [i.tolist() for i in by_words(["", "abc"])][0] == []
+            ids, back = by_words(texts)
+            assert [i.tolist() for i in ids] == want
+            # Spelled out of words, as the library decodes whole texts.
+            assert not fallback or back == [reference.decode(i) for i in want]
+            assert by_words(texts, False)[1] == [None] * len(texts)
+        assert by_words([]) == ([], []) and by_words(["", "abc"])[0][0].tolist() == []
     if fallback:
         decoder = sentencepiece_tokens.Decoder(ours)
         assert decoder([np.array(i) for i in want]) == [reference.decode(i) for i in want]
