@@ -15,7 +15,7 @@ tokenizers pipeline is built that does the same:
 If no piece has a metaspace after another character, text is first split before
 metaspaces, which changes no result. A text whose words stand between single spaces
 is then the pieces of its words one after the other: a task remembers the pieces of
-words it has met and hands only new ones to the library. Other texts, and those of
+words it has met, and what the library decodes them to, and hands only new ones to it. Other texts, and those of
 models that rewrite characters, go to it whole.
 
 Texts are encoded in batches of bounded size, on one thread unless tasks have
@@ -238,11 +238,23 @@ def _spaced(text: str) -> bool:
     return not text or "  " in text or text[0] == " " or text[-1] == " " or METASPACE in text
 
 
+def _whole(
+    tokenizer: Tokenizer, decoder: Decoder, texts: list[str], decoded: bool
+) -> tuple[list[np.ndarray], list]:
+    """Ids of each text, and what they decode to or None, all by the library."""
+    ids = encode(tokenizer, texts)
+    return ids, decoder(ids) if decoded else [None] * len(ids)
+
+
 class WordEncoder:
-    """Encodes texts as :func:`encode` does, looking up words it has met before."""
+    """Encodes texts as :func:`encode` and decodes them, looking up words it has met before.
+
+    What the library decodes of a word's ids is kept beside them: the decoded text of
+    words between single spaces is that of its words between single spaces.
+    """
 
     def __init__(self, tokenizer: Tokenizer):
-        self.tokenizer = tokenizer
+        self.tokenizer, self.decoder = tokenizer, Decoder(tokenizer)
         pieces = tokenizer.get_vocab(with_added_tokens=False)
         self.opens = np.zeros(max(pieces.values()) + 1, bool)
         self.opens[[i for p, i in pieces.items() if p.startswith(METASPACE)]] = True
@@ -250,38 +262,55 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
+        self.texts: list[str] = []
         self.ids, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def _learn(self, words: list[str]) -> None:
-        """Adds the ids of new words."""
+        """Adds the ids of new words and what they decode to."""
         joined = [" ".join(words[i : i + NEW_WORDS]) for i in range(0, len(words), NEW_WORDS)]
         ids = np.concatenate(encode(self.tokenizer, joined))
         # Exactly the first piece of each word opens with a metaspace.
         starts = np.flatnonzero(self.opens[ids])
         self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        self.texts += self.decoder(np.split(ids, starts[1:]))
         lengths = np.diff(starts, append=len(ids))
         self.ids = np.concatenate([self.ids, ids])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+    def __call__(self, texts: list[str], decoded: bool = True) -> tuple[list[np.ndarray], list]:
+        """Ids of each text, and what they decode to or None."""
         whole = [_spaced(t) for t in texts]
-        rest = iter(encode(self.tokenizer, [t for t, w in zip(texts, whole) if w]))
+        rest = encode(self.tokenizer, [t for t, w in zip(texts, whole) if w])
+        rest = iter(zip(rest, self.decoder(rest) if decoded else [None] * len(rest)))
         split = [t.split(" ") for t, w in zip(texts, whole) if not w]
         words = [w for ws in split for w in ws]
         if len(self.known) > REMEMBERED:
             self._forget()
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
+        new = set(words).difference(self.known)
         if new:
-            self._learn(new)
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            self._learn(list(new))
+        places = list(map(self.known.__getitem__, words))
+        at = np.array(places, np.int64)
         lengths = self.starts[at + 1] - self.starts[at]
         ends = np.cumsum(lengths)
         taken = np.arange(ends[-1] if len(ends) else 0) + np.repeat(
             self.starts[at] - (ends - lengths), lengths
         )
-        cuts = ends[np.cumsum([len(ws) for ws in split])[:-1] - 1] if len(split) > 1 else []
-        found = iter(np.split(self.ids[taken], cuts))
-        return [next(rest) if w else next(found) for w in whole]
+        ids = self.ids[taken]
+        out, back, first, start = [], [], 0, 0
+        for text, w in zip(texts, whole):
+            if w:
+                own, spelled = next(rest)
+            else:
+                last = first + text.count(" ") + 1
+                own, start = ids[start : ends[last - 1]], ends[last - 1]
+                spelled = None
+                if decoded:
+                    spelled = " ".join(map(self.texts.__getitem__, places[first:last]))
+                first = last
+            out.append(own)
+            back.append(spelled)
+        return out, back
 
 
 ENCODED = T.StructType(
@@ -321,8 +350,10 @@ def with_tokens(
         os.environ["TOKENIZERS_PARALLELISM"] = str(threads > 1).lower()
         serialized, pipeline = sent.value
         tokenizer = Tokenizer.from_str(pipeline)
-        ids_of = WordEncoder(tokenizer) if by_words else partial(encode, tokenizer)
-        text_of = Decoder(tokenizer)
+        if by_words:
+            coded = WordEncoder(tokenizer)
+        else:
+            coded = partial(_whole, tokenizer, Decoder(tokenizer))
         reference = None
         if parity:
             from sentencepiece import SentencePieceProcessor
@@ -331,10 +362,7 @@ def with_tokens(
         # Ids take many times the room of their text until they are packed: small slices.
         for part in (p for batch in batches for p in slices(batch.tolist(), BATCH_CHARS)):
             texts = [t for t in part if t is not None]
-            ids = ids_of(texts)
-            back = [None] * len(ids)
-            if decoded:
-                back = text_of(ids)
+            ids, back = coded(texts, decoded)
             same = [None] * len(ids)
             if reference is not None:
                 same = [reference.encode(t) == i.tolist() for t, i in zip(texts, ids)]
