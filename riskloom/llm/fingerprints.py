@@ -152,11 +152,20 @@ def in_sequence(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.struct(F.col("own").alias("bucket"), F.lit(0).alias("tail")),
         F.struct(F.col("follows").alias("bucket"), F.lit(1).alias("tail")),
     )
-    return (
+    spread = (
         rows.withColumn("own", bucket)
         .join(F.broadcast(heads), "id", "left")
         .withColumn("spot", F.explode(F.filter(spots, lambda s: s["bucket"].isNotNull())))
         .select("spot.bucket", "spot.tail", "id", "text")
+    )
+    if not tops:
+        # All ids are null: the first text in order follows the last.
+        first = rows.orderBy("text").limit(1)
+        spread = spread.unionByName(
+            first.select(F.lit(lowest).alias("bucket"), F.lit(1).alias("tail"), "id", "text")
+        )
+    return (
+        spread
         .repartition("bucket")
         .sortWithinPartitions("bucket", "tail", F.desc_nulls_last("id"), "text")
     )

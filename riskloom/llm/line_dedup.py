@@ -20,7 +20,8 @@ size; those of other documents stay in place while the ids of the former are few
 Lines end at line feeds. Null texts stay null and have no lines; an empty text is
 one empty line. A text all of whose chunks go becomes empty and its row stays.
 Rows with a null id are only compared within themselves; rows that share an id
-never remove each other's chunks. Other columns pass through.
+never remove each other's chunks. Other columns pass through, whatever their names, but
+for one named ``_kept``, which the result's replaces.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.tables import few_or_shuffled, settled
+from riskloom.llm.tables import few_or_shuffled, packed, settled, unpacked
 from riskloom.llm.words import encoded
 
 FACTOR, MODULUS = 31, 4294967291
@@ -155,14 +156,13 @@ def without_repeated_chunks(
         .agg(F.collect_list("h").alias("_gone")),
         "gone",
     )
-    own = F.col(id_col).cast("long").alias("_id")
     cut = few_or_shuffled(gone.select(F.col("id").alias("_id")))
-    docs = docs.select("*", own)
+    rows = packed(docs, _id=F.col(id_col).cast("long"), _text=F.col(text_col))
     rows = (
-        docs.join(cut, "_id", "left_semi")
+        rows.join(cut, "_id", "left_semi")
         .join(gone.withColumnRenamed("id", "_id").hint("merge"), "_id")
         .unionByName(
-            docs.join(cut, "_id", "left_anti").withColumn("_gone", F.lit(None).cast("array<binary>"))
+            rows.join(cut, "_id", "left_anti").withColumn("_gone", F.lit(None).cast("array<binary>"))
         )
     )
-    return rows.withColumn("_kept", kept(text_col, "_gone")).drop("_id", "_gone")
+    return unpacked(rows.withColumn("_kept", kept("_text", "_gone")), docs.columns, "_kept")

@@ -2,15 +2,15 @@
 
 Each source is to contribute a target number of words. Targets follow the
 sources' weights and stop at ``CAP`` times what a source has; what that leaves
-is shared by weight among the others (a water level, found by one running sum
-over the sources). Within a source, document rates r are those of maximum
+is shared by weight among the others (a water level, found by running sums over
+ranges of the sources). Within a source, document rates r are those of maximum
 entropy that meet the target,
 
     minimise  sum r (log r - 1)   with   sum r * size = target,  0 <= r <= CAP,
 
 whose solution is the exponential tilt r = min(CAP, exp(t * size / mean size)).
 The dual has one unknown t per source. Newton steps find it, kept inside a
-proven bracket; every step is one aggregate over (source, size) counts, for all
+proven bracket, and every fourth step halves that; every step is one aggregate over (source, size) counts, for all
 sources at once. Rates become whole copies in one more pass: documents round up
 in the order of a hash of their id, and per source the cut between up and down
 is settled size class by size class from the largest, each passing its
@@ -20,7 +20,8 @@ Sums run over exact decimals and longs, so reruns agree bit for bit. No step
 groups the documents of a source in one task. Null sources are a source, ordered
 last. Documents without words (null, empty, blank) are taken 0 times. Rows that
 share an id are counted one by one and rounded alike. Other columns pass through
-:func:`with_copies` unchanged, whatever their names.
+:func:`with_copies` unchanged, whatever their names, but for those that it adds, which
+replace their likes.
 """
 
 from __future__ import annotations
@@ -29,16 +30,16 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.tables import few_or_shuffled
+from riskloom.llm.tables import few_or_shuffled, packed, running, unpacked
 from riskloom.sources.staging import staged
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
-# Steps per written table; most tables; relative error at which a source is done.
-STEPS, TABLES, TOLERANCE = 4, 16, 1e-9
+# Steps per written table; relative error at which a source is done.
+STEPS, TOLERANCE = 4, 1e-9
 # Cells of the rounding order within a size class.
 CELLS = 2048
 EXACT = "decimal(38,12)"
@@ -57,24 +58,29 @@ def source_targets(
         F.sum("size").alias("source_size"),
         F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least"),
     )
-    place = F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))) - 1
-    weight = F.element_at(F.array(*map(F.lit, weights)), (place % len(weights) + 1).cast("int"))
-    full = F.col("source_size") * F.lit(float(cap))
-    by_level = Window.orderBy("level", F.asc_nulls_last("source"))
-    so_far = by_level.rowsBetween(Window.unboundedPreceding, -1)
-    onward = by_level.rowsBetween(0, Window.unboundedFollowing)
-    everything = Window.partitionBy(F.lit(1))
-    level = (F.col("all") - F.col("filled")) / F.col("open")
-    return (
-        totals.withColumn("weight", weight)
-        .withColumn("level", full / F.col("weight"))
-        .withColumn("all", F.sum("source_size").over(everything))
-        .withColumn("filled", F.coalesce(F.sum(full).over(so_far), F.lit(0.0)))
-        .withColumn("open", F.sum("weight").over(onward))
-        .withColumn("reached", F.when(level <= F.col("level"), level))
-        .withColumn("reached", F.min_by("reached", F.when(F.col("reached").isNotNull(), F.col("level"))).over(everything))
-        .withColumn("target", F.least(full, F.coalesce(F.col("reached") * F.col("weight"), full)))
-        .select("source", "docs", "source_size", "least", "target")
+    ordered = running(totals.withColumn("one", F.lit(1)), [F.asc_nulls_last("source")], "one")
+    place = (F.col("before_one") % len(weights) + 1).cast("int")
+    weighed = ordered.withColumns(
+        {
+            "weight": F.element_at(F.array(*map(F.lit, weights)), place),
+            "full": F.col("source_size") * F.lit(cap),
+        }
+    )
+    weighed = weighed.withColumn("level", F.col("full") / F.col("weight")).drop("before_one", "one")
+    # Sources fill up in the order of their levels; the water stands below the first that
+    # the rest does not fill.
+    by_level = [F.asc("level"), F.asc_nulls_last("source")]
+    filling = running(weighed, by_level, "full", "weight")
+    sums = weighed.agg(F.sum("source_size").alias("all"), F.sum("weight").alias("weights"))
+    water = (F.col("all") - F.col("before_full")) / (F.col("weights") - F.col("before_weight"))
+    reached = (
+        filling.crossJoin(F.broadcast(sums))
+        .withColumn("water", water)
+        .agg(F.min_by("water", F.when(F.col("water") <= F.col("level"), F.col("level"))).alias("water"))
+    )
+    target = F.least(F.col("full"), F.coalesce(F.col("water") * F.col("weight"), F.col("full")))
+    return weighed.crossJoin(F.broadcast(reached)).select(
+        "source", "docs", "source_size", "least", target.cast("double").alias("target")
     )
 
 
@@ -102,21 +108,18 @@ def tilts(sized: DataFrame, targets: DataFrame, cap: int = CAP) -> DataFrame:
         .select("source", "target", mean.alias("mean"), low.alias("low"), high.alias("high"), start.alias("tilt"), full.alias("done"))
     )
     state = staged(state, "tilts")
-    for _ in range(TABLES):
-        for _ in range(STEPS):
-            state = _step(counts, state, cap)
+    while not state.where(~F.col("done")).isEmpty():
+        # The last step of a table halves the bracket, so that all are done some time.
+        for step in range(STEPS):
+            state = _step(counts, state, cap, newton=step < STEPS - 1)
         state = staged(state, "tilts")
-        if state.where(~F.col("done")).isEmpty():
-            break
-    else:
-        raise ValueError("Newton steps did not converge")
     found = state.select(F.col("source").alias("_s"), "mean", "tilt")
     joined = targets.join(found, targets["source"].eqNullSafe(found["_s"]), "left")
     return joined.drop("_s")
 
 
-def _step(counts: DataFrame, state: DataFrame, cap: int) -> DataFrame:
-    """One safeguarded Newton step for every source."""
+def _step(counts: DataFrame, state: DataFrame, cap: int, newton: bool = True) -> DataFrame:
+    """One safeguarded Newton step, or one that halves the bracket, for every source."""
     kept = ["target", "mean", "low", "high", "tilt", "done"]
     rows = counts.join(
         state.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))
@@ -131,17 +134,18 @@ def _step(counts: DataFrame, state: DataFrame, cap: int) -> DataFrame:
     )
     goal = F.col("target") / F.col("mean")
     gap = F.col("first") - goal
-    done = F.col("done") | (F.abs(gap) <= goal * TOLERANCE) | (F.col("high") - F.col("low") <= 1e-14)
+    narrow = F.greatest(F.lit(1.0), F.abs("low"), F.abs("high")) * 1e-14
+    done = F.col("done") | (F.abs(gap) <= goal * TOLERANCE) | (F.col("high") - F.col("low") <= narrow)
     low = F.when(gap < 0, F.col("tilt")).otherwise(F.col("low"))
     high = F.when(gap > 0, F.col("tilt")).otherwise(F.col("high"))
-    newton = F.col("tilt") - gap / F.nullif("second", F.lit(0.0))
-    inside = (newton > F.col("new_low")) & (newton < F.col("new_high"))
+    ahead = F.col("tilt") - gap / F.nullif("second", F.lit(0.0))
+    inside = F.lit(newton) & (ahead > F.col("new_low")) & (ahead < F.col("new_high"))
     middle = (F.col("new_low") + F.col("new_high")) / 2
     return (
         sums.withColumn("new_low", low)
         .withColumn("new_high", high)
         .withColumn("is_done", done)
-        .withColumn("next", F.when(F.col("is_done"), F.col("tilt")).when(inside, newton).otherwise(middle))
+        .withColumn("next", F.when(F.col("is_done"), F.col("tilt")).when(inside, ahead).otherwise(middle))
         .select(
             "source",
             "target",
@@ -184,9 +188,10 @@ def with_copies(
     Only narrow columns are shuffled; rows of ``docs`` stay in their partitions
     while the sources are few.
     """
-    sized = docs.select(
-        F.col(source_col).alias("source"), F.col(size_col).cast("long").alias("size")
+    rows = packed(
+        docs, _id=F.col(id_col), _source=F.col(source_col), _size=F.col(size_col).cast("long")
     )
+    sized = rows.select(F.col("_source").alias("source"), F.col("_size").alias("size"))
     targets = staged(source_targets(sized, weights, cap), "targets")
     known = tilts(sized, targets, cap).select(
         F.col("source").alias("_s"),
@@ -197,14 +202,14 @@ def with_copies(
         F.xxhash64("source", F.col("source").isNull()).alias("_key"),
     )
     known = few_or_shuffled(known)
-    rated = docs.join(known, F.col(source_col).eqNullSafe(F.col("_s")), "left").drop("_s")
-    size = F.col(size_col).cast("long")
+    rated = rows.join(known, F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s")
+    size = F.col("_size")
     rate = F.when(
         F.col("_tilt").isNotNull() & (size > 0), _rate(F.col("_tilt"), size, F.col("_mean"), cap)
     ).otherwise(0.0)
     rated = rated.withColumn("_rate", rate).withColumn("_base", F.floor("_rate"))
     part = F.col("_rate") - F.col("_base")
-    chance = F.pmod(F.xxhash64(F.col(id_col), F.lit("round")), F.lit(1 << 40)) / float(1 << 40)
+    chance = F.pmod(F.xxhash64("_id", F.lit("round")), F.lit(1 << 40)) / float(1 << 40)
     cell = F.floor((chance - F.col("_part") + 1) * (CELLS // 2)).cast("long")
     class_ = F.when(F.col("_part") > 0, F.floor(F.log2(size)).cast("int"))
     rated = (
@@ -238,8 +243,5 @@ def with_copies(
         cuts.select(F.col("key").alias("_key"), F.col("class").alias("_class"), F.col("cut").alias("_cut"))
     )
     up = F.coalesce((F.col("_cell") < F.col("_cut")).cast("long"), F.lit(0))
-    return (
-        rated.join(cuts, ["_key", "_class"], "left")
-        .withColumn("_copies", F.col("_base") + up)
-        .select(*docs.columns, "_source_size", "_target", "_copies")
-    )
+    mixed = rated.join(cuts, ["_key", "_class"], "left").withColumn("_copies", F.col("_base") + up)
+    return unpacked(mixed, docs.columns, "_source_size", "_target", "_copies")

@@ -23,7 +23,8 @@ several cores. The ids of every text are held against those of the sentencepiece
 library, which encodes it whole, unless ``parity`` is turned off.
 The model's bytes are read once on the driver and broadcast (about half a MB), so
 executors need no file. Null texts give null ids, empty ones no ids; texts of
-any length are encoded whole. Other columns pass through.
+any length are encoded whole. Other columns pass through, but for one named ``_tokens``,
+which the result's replaces.
 """
 
 from __future__ import annotations

@@ -48,18 +48,16 @@ LIMIT = 1 << 63
 
 
 def scaled(vector: str, factor: float) -> Column:
-    """floor(factor * component) as array<long>; null if any component is null or not finite."""
-
-    def exact(x: Column) -> Column:
-        value = F.lit(factor) * x.cast("double")
-        beyond = F.raise_error(F.lit("a scaled component passes 64 bits")).cast("long")
-        return F.when(F.abs(value) < float(LIMIT), F.floor(value)).otherwise(beyond)
+    """floor(factor * component) as array<long>.
 
+    Null, so that the vector takes no part, if a component is null, not finite, or does
+    not fit 64 bits once scaled; other vectors are not touched by that.
+    """
+    value = lambda x: F.lit(factor) * x.cast("double")
     usable = F.forall(
-        vector,
-        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")),
+        vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(value(x)) < float(LIMIT))
     )
-    return F.when(usable, F.transform(vector, exact)).cast("array<long>")
+    return F.when(usable, F.transform(vector, lambda x: F.floor(value(x)))).cast("array<long>")
 
 
 def _products(x: np.ndarray, q: np.ndarray, largest: np.ndarray) -> np.ndarray:

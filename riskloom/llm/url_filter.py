@@ -25,7 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.tables import few_or_shuffled
+from riskloom.llm.tables import few_or_shuffled, packed, unpacked
 from riskloom.sources.staging import staged
 
 # Rules given with the task: (verdict, host, path), the host without a path for all its paths.
@@ -74,11 +74,21 @@ def lexical(url: str = "_url") -> dict[str, Column]:
     length = F.length(url)
     share = lambda pattern: F.regexp_count(url, F.lit(pattern)) / F.greatest(length, F.lit(1))
     letters = F.filter(F.split("_host", ""), lambda c: c != "")
-    size = F.greatest(F.size(letters), F.lit(1))
-    counts = F.transform(
-        F.array_distinct(letters), lambda c: F.size(F.filter(letters, lambda d: d == c)) / size
+    size = F.greatest(F.size(letters), F.lit(1)).cast("double")
+    # Runs of equal letters in order: one pass, whatever the number of different ones.
+    term = lambda run: run * F.log2(F.greatest(run, F.lit(1.0)))
+
+    def count(s: Column, c: Column) -> Column:
+        longer = F.struct(c.alias("last"), (s["run"] + 1).alias("run"), s["sum"].alias("sum"))
+        other = F.struct(
+            c.alias("last"), F.lit(1.0).alias("run"), (s["sum"] + term(s["run"])).alias("sum")
+        )
+        return F.when(s["last"] == c, longer).otherwise(other)
+
+    none = F.struct(F.lit("").alias("last"), F.lit(0.0).alias("run"), F.lit(0.0).alias("sum"))
+    entropy = F.log2(size) - F.aggregate(
+        F.array_sort(letters), none, count, lambda s: (s["sum"] + term(s["run"])) / size
     )
-    entropy = F.aggregate(counts, F.lit(0.0), lambda s, p: s - p * F.log2(p))
     return {
         "length": length,
         "host_length": F.length("_host"),
@@ -96,11 +106,21 @@ def lexical(url: str = "_url") -> dict[str, Column]:
     }
 
 
-def _statistic(labelled: DataFrame, column: str, prior: float) -> DataFrame:
-    """(value, smoothed share of blocked urls) of every value."""
-    blocked = F.sum((F.col("_rule.verdict") == "block").cast("int"))
-    share = (blocked + SMOOTHING * prior) / (F.count("*") + SMOOTHING)
-    return labelled.groupBy(column).agg(share.alias(f"{column}_blocked"))
+def _statistic(labelled: DataFrame, column: str) -> DataFrame:
+    """(value, urls, blocked urls) of every value."""
+    blocked = F.count_if(F.col("_rule.verdict") == "block")
+    return labelled.groupBy(column).agg(
+        F.count("*").alias(f"{column}_urls"), blocked.alias(f"{column}_blocked")
+    )
+
+
+def _others_blocked(column: str, prior: float) -> Column:
+    """Smoothed share of blocked urls among the others with the value."""
+    own = F.coalesce(F.col("_rule").isNotNull().cast("int"), F.lit(0))
+    own_blocked = F.coalesce((F.col("_rule.verdict") == "block").cast("int"), F.lit(0))
+    blocked = F.coalesce(f"{column}_blocked", F.lit(0)) - own_blocked
+    urls = F.coalesce(f"{column}_urls", F.lit(0)) - own
+    return (blocked + SMOOTHING * prior) / (urls + SMOOTHING)
 
 
 def judged(
@@ -108,11 +128,12 @@ def judged(
 ) -> DataFrame:
     """``pages`` with ``_host``, ``_path``, ``_rule`` (null without one), ``_verdict``, ``_blocked``.
 
-    ``_blocked`` is the method's score for urls without a rule.
+    ``_blocked`` is the method's score for urls without a rule. Columns of these names are
+    replaced, others pass through.
     """
     host, path = parts("_url")
     rows = (
-        pages.withColumn("_url", F.coalesce(F.col(url_col), F.lit("")))
+        packed(pages, _url=F.coalesce(F.col(url_col), F.lit("")))
         .withColumn("_host", host)
         .withColumn("_path", path)
         .withColumn("_rule", rule_of(rules))
@@ -130,8 +151,8 @@ def judged(
         prior = sizes["blocked"] / sizes["n"]
         features = lexical()
         for column in ("_suffix", "_folder"):
-            rows = rows.join(few_or_shuffled(_statistic(labelled, column, prior)), column, "left")
-            features[f"{column}_blocked"] = F.coalesce(f"{column}_blocked", F.lit(prior))
+            rows = rows.join(few_or_shuffled(_statistic(labelled, column)), column, "left")
+            features[f"{column}_blocked"] = _others_blocked(column, prior)
         numbers = [c.cast("double").alias(f"_f{i}") for i, c in enumerate(features.values())]
         names = [f"_f{i}" for i in range(len(numbers))]
         assemble = VectorAssembler(inputCols=names, outputCol="_x")
@@ -156,7 +177,8 @@ def judged(
         rows = trees.transform(assemble.transform(rows.select("*", *numbers)))
         score = vector_to_array("_p")[1]
     rows = rows.withColumn("_blocked", score)
-    return rows.withColumn(
+    rows = rows.withColumn(
         "_verdict",
         F.coalesce(verdict, F.when(F.col("_blocked") >= 0.5, "block").otherwise("allow")),
-    ).select(*pages.columns, "_host", "_path", "_rule", "_verdict", "_blocked")
+    )
+    return unpacked(rows, pages.columns, "_host", "_path", "_rule", "_verdict", "_blocked")

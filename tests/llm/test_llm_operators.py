@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import struct
@@ -25,11 +26,17 @@ from riskloom.llm import (
     url_filter,
 )
 from riskloom.llm.graph import components
+from riskloom.llm.tables import running
 from riskloom.llm.words import WordHasher, word_count
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 # Clashing names of extra columns.
+CLASHING = (
+    "_id _gone _kept _rate _part _cell _host _rule _p _x _tokens _score _size _row _source _text "
+    "_copies _target _key _class _cut _base _url _said _raw _f0 _folder _blocked _verdict _path"
+).split()
 EXTRA = ", id long, n long, gone string, size string, key string"
+EXTRA += "".join(f", {name} string" for name in CLASHING)
 RNG = random.Random(5)
 LEXICON = ["w%d" % i for i in range(3000)]
 
@@ -44,7 +51,7 @@ def hard_rows() -> list[tuple]:
     texts = [None, "", "   \n\t", "one", "two words", long, long, shared, shared, prose(40) + " " + shared]
     rows = [(i, t, "en" if i % 3 else None, None if i % 4 == 0 else f"s{i % 3}", None) for i, t in enumerate(texts)]
     rows += [rows[7], (None, shared, None, None, 3), (None, None, None, None, None)]
-    return [(*r, 1, 2, "x", "y", "z") for r in rows]
+    return [(*r, 1, 2, "x", "y", "z", *CLASHING) for r in rows]
 
 
 @pytest.fixture(scope="module")
@@ -210,7 +217,7 @@ def test_line_chunks(spark, docs, empty):
     for t in texts:
         assert b"\n".join(line_dedup.chunks(t)).decode() == t
     cut = line_dedup.without_repeated_chunks(docs)
-    assert cut.columns == [*docs.columns, "_kept"] and cut.count() == docs.count()
+    assert cut.columns == [*(c for c in docs.columns if c != "_kept"), "_kept"] and cut.count() == docs.count()
     assert cut.where("text is null and _kept.text is not null").isEmpty()
     assert line_dedup.without_repeated_chunks(empty).count() == 0
 
@@ -349,7 +356,9 @@ def test_targets_reshare_what_the_cap_leaves(spark):
 def test_mix_of_hard_rows(spark, docs, empty):
     sized = docs.withColumn("words", word_count("text"))
     mixed = mixing.with_copies(sized, size_col="words")
-    assert mixed.columns == [*sized.columns, "_source_size", "_target", "_copies"]
+    out = ["_source_size", "_target", "_copies"]
+    assert mixed.columns == [*(c for c in sized.columns if c not in out), *out]
+    assert mixed.where("_rate != '_rate' or _part != '_part' or _cell != '_cell'").isEmpty()
     rows = mixed.collect()
     assert len(rows) == docs.count()
     assert all(0 <= r._copies <= 3 and (r.words > 0 or r._copies == 0) for r in rows)
@@ -368,9 +377,59 @@ def test_rates_are_tilted_and_meet_the_target(spark):
         assert abs(r.taken / r.target - 1) < 0.002
 
 
+def test_copies_are_the_rounded_rates_of_the_optimum(spark):
+    sizes = [int(s) + 1 for s in np.random.default_rng(2).lognormal(4, 1.5, 1500)]
+    rows = [(i, "abc"[i % 3] if i % 7 else None, s) for i, s in enumerate(sizes)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    found = mixing.with_copies(sized, weights=(1, 5, 2)).collect()
+    for source in ("a", "b", "c", None):
+        own = [r for r in found if r.source == source]
+        size = np.array([r.size for r in own], float)
+        target, low, high = own[0]._target, -200.0, 200.0
+
+        def rate(t):
+            return np.minimum(3.0, np.exp(np.clip(t * size / size.mean(), -700, 2)))
+
+        for _ in range(200):
+            middle = (low + high) / 2
+            low, high = (middle, high) if rate(middle) @ size < target else (low, middle)
+        for r, want in zip(own, rate(low)):
+            assert math.floor(want - 1e-6) <= r._copies <= math.ceil(want + 1e-6)
+        assert abs(sum(r._copies * r.size for r in own) - target) <= max(r.size for r in own)
+
+
+def test_extreme_sizes_end_without_error(spark):
+    rows = [(i, "s", 10**9 if i % 50 == 0 else 1) for i in range(500)] + [(1000, "t", 10**9), (1001, "u", 1)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    found = mixing.with_copies(sized).collect()
+    assert len(found) == 502 and all(0 <= r._copies <= 3 for r in found)
+
+
+def test_running_sums_over_ranges(spark):
+    rows = [(RNG.randint(0, 50), i, RNG.randint(1, 9)) for i in range(300)]
+    frame = spark.createDataFrame(rows, "a int, b int, v long").repartition(7)
+    got = {(r.a, r.b): r.before_v for r in running(frame, [F.desc("a"), F.asc("b")], "v").collect()}
+    total = 0
+    for a, b, v in sorted(rows, key=lambda r: (-r[0], r[1])):
+        assert got[a, b] == total
+        total += v
+
+
 # Fingerprints
 
 
+def test_next_texts_of_rows_without_ids(spark):
+    texts = ["first text of all", "second one", "third"]
+    frame = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    rows = fingerprints.against_edited(frame).collect()
+    want = set()
+    for own, after in zip(texts, [*texts[1:], texts[0]]):
+        half = len(own) // 2
+        edited = own[: len(own) - half] + after[:half]
+        want.add((len(own), hashlib.sha256(edited.encode()).hexdigest()))
+    assert {(r.n_chars, r.edited_sha256) for r in rows} == want
+
+
 def test_fingerprints_follow_the_text():
     make = fingerprints.Fingerprinter()
     text = prose(2000)
@@ -490,14 +549,38 @@ def test_urls_of_hard_rows(spark):
     assert url_filter.judged(pages.where("false")).count() == 0
 
 
-def test_statistics_cover_rare_folders(spark):
-    urls = [f"http://a{i % 2}.org/f{i}.html" for i in range(12_000)]
+def test_statistics_cover_rare_folders_and_leave_the_row_out(spark):
+    urls = [f"http://a{i % 2}.org/f{i // 3}.html" for i in range(3_000)] + ["http://b.com/f1.html"]
     rules = (("allow", "a0.org", "/"), ("block", "a1.org", "/"))
     rows = spark.createDataFrame([(u,) for u in urls], "_url string").select("*", *(c.alias(n) for c, n in zip(url_filter.parts("_url"), ("_host", "_path"))))
     rows = rows.withColumn("_rule", url_filter.rule_of(rules)).withColumn("_folder", F.split_part("_path", F.lit("/"), F.lit(2)))
-    found = url_filter._statistic(rows, "_folder", 0.5)
-    shares = found.groupBy("_folder_blocked").count().collect()
-    assert sorted(tuple(r) for r in shares) == [(pytest.approx(2 / 5), 6_000), (pytest.approx(3 / 5), 6_000)]
+    stats = url_filter._statistic(rows.where("_rule is not null"), "_folder")
+    found = rows.join(stats, "_folder", "left").select("_url", url_filter._others_blocked("_folder", 0.5).alias("s"))
+    labels = [(u.split("/", 3)[3], "a1.org" in u) for u in urls[:-1]]
+    want = []
+    for at, url in enumerate(urls):
+        others = [bad for i, (folder, bad) in enumerate(labels) if i != at and i // 3 == (at // 3 if at < 3000 else 1)]
+        want.append((url, round((sum(others) + 2.0) / (len(others) + 4.0), 9)))
+    assert sorted((r._url, round(r.s, 9)) for r in found.collect()) == sorted(want)
+
+
+def test_entropy_by_brute_force(spark):
+    hosts = ["", "a", "aabbbc", "xyz.example.com", "ab" * 50, "z" * 100_000]
+    frame = spark.createDataFrame([(h, "", h) for h in hosts], "_host string, _path string, _url string")
+    got = {r._host: r.e for r in frame.select("_host", url_filter.lexical()["entropy"].alias("e")).collect()}
+    for host in hosts:
+        shares = [host.count(c) / len(host) for c in set(host)]
+        assert got[host] == pytest.approx(-sum(p * math.log2(p) for p in shares), abs=1e-9)
+
+
+def test_url_filter_passes_columns_of_any_name(spark):
+    schema = "page_id long, url string" + "".join(f", {c} string" for c in CLASHING)
+    urls = ["http://a.com/x", "http://b.net/es/1", "http://c.org/y", "http://d.com/es/z", None]
+    pages = spark.createDataFrame([(i, u, *CLASHING) for i, u in enumerate(urls)], schema)
+    found = url_filter.judged(pages)
+    out = ["_host", "_path", "_rule", "_verdict", "_blocked"]
+    assert found.columns == [*(c for c in pages.columns if c not in out), *out]
+    assert found.where("_p = '_p' and _x = '_x' and _url = '_url'").count() == len(urls)
 
 
 # SentencePiece
@@ -575,3 +658,30 @@ def test_word_hashes_cut_as_split_does():
     assert words == data.split()
     again = hasher.words(b"  " + data)[2]
     assert (again == hashes).all() and len(set(hashes)) == len(set(words))
+
+
+# The pipeline's stages
+
+
+def test_stages_on_hard_rows(spark, docs, empty, tmp_path):
+    import corpus_pipeline
+
+    rows = [(i, int(i % 3 > 0), 0) for i in range(12)] + [(None, 1, 0)]
+    labels_of(spark, rows).write.parquet(f"{tmp_path}/labels.parquet")
+    for start in (docs, empty):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, start, str(tmp_path))
+            got = out.collect()
+            if name == "sentencepiece":
+                assert out.columns[:4] == ["doc_id", "source", "lang", "n_tokens"]
+                assert len(got) == start.count()
+                assert all(r.round_trip is r.parity is (None if r.ids is None else True) for r in got)
+                continue
+            assert out.columns == start.columns and out.dtypes == start.dtypes
+            # Columns that operators use inside come back as they were.
+            assert all(all(r[c] == c for c in CLASHING) for r in got)
+            if name == "line_dedup":
+                assert len(got) == start.count()
+                assert all(r.text is None or r.n_chars == len(r.text) for r in got)
+            if name == "mix_sources":
+                assert all((r.text or "").split() for r in got)
