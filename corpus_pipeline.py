@@ -1,7 +1,11 @@
 """The training-data pipeline: five stages over ``documents``, each a written table.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame. All but the last
-return the columns of their input; each works on all that its predecessor kept.
+return the columns of their input, whatever other columns it has; each works on all that
+its predecessor kept. Null and empty texts pass the classifier by their score, lose no
+lines, are nobody's near duplicates, and are taken 0 times by the mix. Rows that share an
+id are rows of their own, but for near duplicates, where the id stands for the row. Empty
+tables stay empty.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import labelled, line_dedup, minhash_dedup, mixing, quality_gam
 from riskloom.llm import sentencepiece_tokens as tokens
+from riskloom.llm.tables import packed, unpacked
 from riskloom.llm.words import word_count
 from riskloom.sources.staging import staged
 
@@ -26,17 +31,16 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Drops documents that the classifier rejects; labels only serve its training."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality_gam.train(docs, labels, labelled.fold("doc_id", 5) != 0)
-    scored = docs.withColumn("_score", model.column("text"))
-    return scored.where(F.col("_score") >= LEAST_QUALITY).select(*docs.columns)
+    scored = packed(docs, score=model.column("text"))
+    return unpacked(scored.where(F.col("score") >= LEAST_QUALITY), docs.columns)
 
 
 def line_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts repeated chunks of lines out of the texts; no row goes."""
-    cut = line_dedup.without_repeated_chunks(docs)
-    text = F.col("_kept.text")
-    return cut.withColumns({"text": text, "n_chars": F.length(text).cast("long")}).select(
-        *docs.columns
-    )
+    """Cuts repeated chunks of lines out of the texts; no row goes, null texts stay null."""
+    rows = packed(docs, doc_id=F.col("doc_id"), text=F.col("text"))
+    cut = line_dedup.without_repeated_chunks(rows).select("_row", "_kept.text")
+    cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return unpacked(cut, docs.columns, "text", "n_chars").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,15 +50,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats each document as often as the mix takes it; those taken 0 times go."""
-    sized = docs.withColumn("_size", word_count("text"))
-    mixed = mixing.with_copies(sized, size_col="_size").where("_copies > 0")
+    rows = packed(
+        docs, doc_id=F.col("doc_id"), source=F.col("source"), size=word_count("text")
+    )
+    mixed = mixing.with_copies(rows).where("_copies > 0")
     copies = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    return mixed.withColumn("_copy", copies).select(*docs.columns)
+    return unpacked(mixed.select("_row", copies.alias("copy")), docs.columns)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokens of what is left, and whether they decode to the text they came from."""
-    found = tokens.with_tokens(docs)
+    """Tokens of what is left, and whether they decode to the text they came from.
+
+    A null text has null ids, no tokens and null checks.
+    """
+    found = tokens.with_tokens(docs.select("doc_id", "source", "lang", "text"))
     ids = F.col("_tokens.ids")
     return found.select(
         "doc_id",
