@@ -130,16 +130,18 @@ def without_repeated_chunks(
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = texts.where(F.col("id").isNotNull())
     held = settled(texts.mapInPandas(_hashes, "id long, h binary"), "hashes")
-    repeated = (
+    # Written first: a join of tables is one whose frequent keys can be split.
+    repeated = settled(
         held.groupBy("h")
         .agg(F.min("id").alias("low"), F.max("id").alias("high"))
         .where("low < high")
-        .select("h")
+        .select("h"),
+        "repeated",
     )
     found = settled(held.join(repeated, "h", "left_semi"), "found")
     asked = found.groupBy("id").agg(F.collect_list("h").alias("asked"))
     some = few_or_shuffled(found.select("id").distinct())
-    firsts = (
+    firsts = settled(
         texts.join(some, "id", "left_semi")
         .join(asked.hint("merge"), "id")
         .mapInPandas(_bytes, "id long, h binary, chunk binary")
@@ -147,7 +149,8 @@ def without_repeated_chunks(
         .agg(F.min("id").alias("first"))
         .groupBy("h")
         .agg(F.count("*").alias("kinds"), F.min("first").alias("first"))
-        .where("kinds = 1")
+        .where("kinds = 1"),
+        "firsts",
     )
     gone = settled(
         found.join(firsts, "h")
