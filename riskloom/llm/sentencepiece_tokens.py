@@ -29,7 +29,6 @@ which the result's replaces.
 
 from __future__ import annotations
 
-import gc
 import os
 import struct
 from collections.abc import Iterator
@@ -343,30 +342,24 @@ def with_tokens(
         data = file.read()
     model = parse_model(data)
     by_words = model.by_words
-    # A worker keeps what it builds beside the model's bytes, for its later tasks.
-    sent = docs.sparkSession.sparkContext.broadcast({"model": data, "pipeline": build(model).to_str()})
+    sent = docs.sparkSession.sparkContext.broadcast((data, build(model).to_str()))
 
     @F.pandas_udf(ENCODED)
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         # Read by the library's thread pool when it starts, in this worker.
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         os.environ["TOKENIZERS_PARALLELISM"] = str(threads > 1).lower()
-        kept = sent.value
-        if "coded" not in kept:
-            tokenizer = Tokenizer.from_str(kept["pipeline"])
-            if by_words:
-                kept["coded"] = WordEncoder(tokenizer)
-            else:
-                kept["coded"] = partial(_whole, tokenizer, Decoder(tokenizer))
-        coded, reference = kept["coded"], None
+        serialized, pipeline = sent.value
+        tokenizer = Tokenizer.from_str(pipeline)
+        if by_words:
+            coded = WordEncoder(tokenizer)
+        else:
+            coded = partial(_whole, tokenizer, Decoder(tokenizer))
+        reference = None
         if parity:
             from sentencepiece import SentencePieceProcessor
 
-            if "reference" not in kept:
-                kept["reference"] = SentencePieceProcessor(model_proto=kept["model"])
-            reference = kept["reference"]
-        # Remembered words are no garbage: the collector need not walk them again and again.
-        gc.freeze()
+            reference = SentencePieceProcessor(model_proto=serialized)
         # Ids take many times the room of their text until they are packed: small slices.
         for part in (p for batch in batches for p in slices(batch.tolist(), BATCH_CHARS)):
             texts = [t for t in part if t is not None]
