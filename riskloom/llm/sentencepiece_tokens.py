@@ -15,8 +15,9 @@ tokenizers pipeline is built that does the same:
 If no piece has a metaspace after another character, text is first split before
 metaspaces, which changes no result. A text whose words stand between single spaces
 is then the pieces of its words one after the other: a task remembers the pieces of
-words it has met, and what the library decodes them to, and hands only new ones to it. Other texts, and those of
-models that rewrite characters, go to it whole.
+words it has met, and which of them the library decodes to something else, and hands
+only new ones to it. Other texts, and those of models that rewrite characters, go to it
+whole.
 
 Texts are encoded in batches of bounded size, on one thread unless tasks have
 several cores. The ids of every text are held against those of the sentencepiece
@@ -247,11 +248,25 @@ def _whole(
     return ids, decoder(ids) if decoded else [None] * len(ids)
 
 
+class Words(dict):
+    """Numbers of words in the order they are first met; looking up a new one adds it."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class WordEncoder:
     """Encodes texts as :func:`encode` and decodes them, looking up words it has met before.
 
-    What the library decodes of a word's ids is kept beside them: the decoded text of
-    words between single spaces is that of its words between single spaces.
+    New words go to the library many at a time, between single spaces, and so do their ids
+    to be decoded. The decoded text of words between single spaces is that of its words
+    between single spaces: where each decodes to itself, it is the text. What a word decodes
+    to is kept only where that is something else.
     """
 
     def __init__(self, tokenizer: Tokenizer):
@@ -262,35 +277,43 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.texts: list[str] = []
+        self.known = Words()
+        self.other: dict[int, str] = {}
         self.ids, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        """Adds the ids of new words and what they decode to."""
-        joined = [" ".join(words[i : i + NEW_WORDS]) for i in range(0, len(words), NEW_WORDS)]
-        ids = np.concatenate(encode(self.tokenizer, joined))
-        # Exactly the first piece of each word opens with a metaspace.
-        starts = np.flatnonzero(self.opens[ids])
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
-        self.texts += self.decoder(np.split(ids, starts[1:]))
-        lengths = np.diff(starts, append=len(ids))
-        self.ids = np.concatenate([self.ids, ids])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+    def _learn(self) -> None:
+        """Adds the ids of the new words and what they decode to."""
+        words, self.known.new = self.known.new, []
+        first = len(self.known) - len(words)
+        found, starts = [self.ids], [self.starts]
+        size = len(self.ids)
+        for at in range(0, len(words), NEW_WORDS):
+            own = words[at : at + NEW_WORDS]
+            (ids,) = encode(self.tokenizer, [" ".join(own)])
+            # Exactly the first piece of each word opens with a metaspace.
+            begins = np.flatnonzero(self.opens[ids])
+            (joined,) = self.decoder([ids])
+            spelled = joined.split(" ")
+            if len(spelled) != len(own):
+                spelled = self.decoder(np.split(ids, begins[1:]))
+            pairs = enumerate(zip(own, spelled), first + at)
+            self.other.update((n, s) for n, (w, s) in pairs if w != s)
+            found.append(ids)
+            starts.append(size + np.append(begins[1:], len(ids)))
+            size += len(ids)
+        self.ids, self.starts = np.concatenate(found), np.concatenate(starts)
 
     def __call__(self, texts: list[str], decoded: bool = True) -> tuple[list[np.ndarray], list]:
         """Ids of each text, and what they decode to or None."""
         whole = [_spaced(t) for t in texts]
         rest = encode(self.tokenizer, [t for t, w in zip(texts, whole) if w])
         rest = iter(zip(rest, self.decoder(rest) if decoded else [None] * len(rest)))
-        split = [t.split(" ") for t, w in zip(texts, whole) if not w]
-        words = [w for ws in split for w in ws]
         if len(self.known) > REMEMBERED:
             self._forget()
-        new = set(words).difference(self.known)
-        if new:
-            self._learn(list(new))
-        places = list(map(self.known.__getitem__, words))
+        split = (t.split(" ") for t, w in zip(texts, whole) if not w)
+        places = [n for ws in split for n in map(self.known.__getitem__, ws)]
+        if self.known.new:
+            self._learn()
         at = np.array(places, np.int64)
         lengths = self.starts[at + 1] - self.starts[at]
         ends = np.cumsum(lengths)
@@ -298,6 +321,7 @@ class WordEncoder:
             self.starts[at] - (ends - lengths), lengths
         )
         ids = self.ids[taken]
+        others = np.isin(at, list(self.other)) if self.other else np.zeros(len(at), bool)
         out, back, first, start = [], [], 0, 0
         for text, w in zip(texts, whole):
             if w:
@@ -305,9 +329,10 @@ class WordEncoder:
             else:
                 last = first + text.count(" ") + 1
                 own, start = ids[start : ends[last - 1]], ends[last - 1]
-                spelled = None
-                if decoded:
-                    spelled = " ".join(map(self.texts.__getitem__, places[first:last]))
+                spelled = text if decoded else None
+                if decoded and others[first:last].any():
+                    words = zip(places[first:last], text.split(" "))
+                    spelled = " ".join(self.other.get(n, word) for n, word in words)
                 first = last
             out.append(own)
             back.append(spelled)
@@ -366,7 +391,8 @@ def with_tokens(
             ids, back = coded(texts, decoded)
             same = [None] * len(ids)
             if reference is not None:
-                same = [reference.encode(t) == i.tolist() for t, i in zip(texts, ids)]
+                theirs = reference.encode(texts, num_threads=threads, return_type="numpy")
+                same = [np.array_equal(a, b) for a, b in zip(theirs, ids)]
             rows = zip(ids, back, same)
             yield pd.DataFrame(
                 [(None, None, None) if t is None else next(rows) for t in part],

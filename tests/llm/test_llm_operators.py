@@ -640,6 +640,19 @@ def test_unigram_models_agree_with_the_library(fallback, trim):
         assert decoder([np.array(i) for i in want]) == [reference.decode(i) for i in want]
 
 
+def test_words_that_decode_to_something_else():
+    model = sentencepiece_tokens.parse_model(unigram_model(False, 0))
+    ours = Tokenizer.from_str(sentencepiece_tokens.build(model).to_str())
+    texts = ["abc xyz the", "the abc", "xyz", "q", "ab  xyz", "the xyz abc xyz ab"]
+    ids, back = sentencepiece_tokens._whole(ours, sentencepiece_tokens.Decoder(ours), texts, True)
+    assert back != texts
+    by_words = sentencepiece_tokens.WordEncoder(ours)
+    for _ in range(2):
+        own, spelled = by_words(texts)
+        assert [i.tolist() for i in own] == [i.tolist() for i in ids]
+        assert spelled == back
+
+
 def test_tokens_of_hard_rows(docs, empty):
     rows = sentencepiece_tokens.with_tokens(docs).collect()
     assert len(rows) == docs.count()
