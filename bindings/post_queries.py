@@ -11,6 +11,8 @@ from riskloom.functions import normalize as nz
 from riskloom.functions import text as tx
 from riskloom.model import FEATURES
 from riskloom.operators import language, posts, report, select
+from riskloom.plans import jobs
+from riskloom.sources.staging import fresh_path
 
 DOC_TEXT = f"""WITH {sql.POSTS}, t AS (
   SELECT *, {sql.strip("title || chr(10) || text")} AS full_text FROM posts)"""
@@ -44,9 +46,7 @@ def scoring_text(spark, sf):
     return df.select("id", posts.post_text(df).alias("full_text"))
 
 
-@query(
-    "p2a_language_profiles",
-    f"""WITH t AS (SELECT lang, list_transform(regexp_extract_all(lower(text), '(?s).'), lambda c: unicode(c)) AS cp
+PROFILES_SQL = f"""WITH t AS (SELECT lang, list_transform(regexp_extract_all(lower(text), '(?s).'), lambda c: unicode(c)) AS cp
       FROM documents),
     g AS (SELECT lang, unnest(list_transform(range(1, len(cp) - 1),
       lambda i: (cp[i] * 961 + cp[i + 1] * 31 + cp[i + 2]) % {language.BUCKETS})) AS bucket FROM t),
@@ -55,12 +55,25 @@ def scoring_text(spark, sf):
     SELECT lang, bucket, CAST(round(1000 * ln((n + 1)::DOUBLE / (total + {language.BUCKETS}))) AS BIGINT) AS weight
     FROM n JOIN s USING (lang)
     UNION ALL
-    SELECT lang, -1, CAST(round(1000 * ln(1::DOUBLE / (total + {language.BUCKETS}))) AS BIGINT) FROM s""",
-)
+    SELECT lang, -1, CAST(round(1000 * ln(1::DOUBLE / (total + {language.BUCKETS}))) AS BIGINT) FROM s"""
+
+
+@query("p2a_language_profiles", PROFILES_SQL)
 def language_profiles(spark, sf):
     return language.train_language_profiles(tables.read(spark, sf, "documents"))
 
 
+@query("p2a_profiles_of_deliveries", PROFILES_SQL)
+def profiles_of_deliveries(spark, sf):
+    """Three deliveries of labelled texts counted one after the other, the last of them twice."""
+    store = jobs.profile_store(spark, fresh_path(spark, "p2a"))
+    texts = tables.read(spark, sf, "documents")
+    for number in (0, 1, 2, 2):
+        part = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == number)
+        jobs.add_to_profiles_job(store, part, number)
+    return jobs.stored_profiles(store)
+
+
 DETECTED = f"""lt AS (SELECT doc_id, text, list_transform(regexp_extract_all(lower(text), '(?s).'), lambda c: unicode(c)) AS cp
       FROM documents),
     lg AS (SELECT doc_id, unnest(list_transform(range(1, len(cp) - 1),

@@ -20,8 +20,11 @@ from bindings.source_queries import (
     chained_posts,
 )
 from riskloom.functions import text as tx
-from riskloom.operators.select import cutoff
+from riskloom.operators.pages import extract_posts
+from riskloom.operators.select import cutoff, global_budget
 from riskloom.plans import jobs
+from riskloom.plans.restart import resumable_run
+from riskloom.schemas import POST
 from riskloom.sources.staging import fresh_path
 from riskloom.streaming import flows
 
@@ -91,6 +94,22 @@ def page_errors(spark, sf):
     return spark.read.schema(schema).json(f"{out}/errors")
 
 
+@query("j1_collect_stream", f"WITH {sql.POSTS}, {COLLECTED} SELECT * FROM collected")
+def collect_stream(spark, sf):
+    """Posts of landed pages that arrive in deliveries, every fourth of them twice; budgets over what is kept."""
+    landing = fresh_path(spark, "j1-landing")
+    posts = extract_posts(listing_pages(spark, sf)).select(*POST.names)
+    again = F.when(F.xxhash64("id") % 4 == 0, 2).otherwise(1)
+    landed = posts.select("*", F.explode(F.sequence(F.lit(1), again)).alias("copy"))
+    landed.repartition(6, "id", "copy").select(*POST.names).write.parquet(landing)
+    stream = flows.stream_table(spark, landing, POST, maxFilesPerTrigger=2)
+    newest = flows.newest_stream(
+        spark, stream, fresh_path(spark, "j1-stream"), CONFIG.per_group, buckets=8
+    )
+    kept = global_budget(newest, "subreddit", GROUPS, CONFIG.per_group, CONFIG.total)
+    return kept.select(*POST.names)
+
+
 J2_SQL = f"""WITH {sql.POSTS}, {sql.ITEMS}, {COLLECTED}, {ENRICHED}
     SELECT a.username, id, kind, text, created_utc FROM authors a LEFT JOIN budgeted USING (username)"""
 
@@ -303,6 +322,19 @@ def full_run_language(spark, sf):
     return scored.select("id", "language", "risk_score", "risk_explanation")
 
 
+@query(
+    "j5_restarted_run",
+    f"WITH {sql.POSTS}, {sql.ITEMS}, {COLLECTED}, {ENRICHED}, {risk_sql('authors', 'budgeted', 'collected')}",
+)
+def restarted_run(spark, sf):
+    """A run that ends after the history, taken up by another."""
+    out = fresh_path(spark, "j5")
+    versions = {"listing_pages": sf, "user_pages": sf}
+    pages = listing_pages(spark, sf), user_pages(spark, sf)
+    resumable_run(spark, *pages, out, CONFIG, versions, until="history")
+    return resumable_run(spark, *pages, out, CONFIG, versions)
+
+
 def table_stream(spark, sf, name):
     # A glob, as a stream's plain path must be a folder and a table may be one file.
     path = f"{sf}/{name}.parquet"

@@ -28,6 +28,10 @@ UNKNOWN = "unknown"
 MAX_LANGUAGES = 256
 # Characters times languages that are scored at a time.
 SLICE = 1 << 19
+COUNTS = T.StructType(
+    [T.StructField("lang", T.StringType())]
+    + [T.StructField(c, T.LongType()) for c in ("bucket", "n")]
+)
 # Bucket number of the weight given to trigrams unseen in training.
 UNSEEN = -1
 
@@ -89,16 +93,29 @@ def _count_trigrams(buckets: int):
     return count
 
 
+def trigram_counts(labelled: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """(lang, bucket, n) of ``labelled(text, lang)``, summed per batch before the shuffle."""
+    texts = labelled.select("lang", F.lower("text").alias("text")).dropna()
+    partial = texts.mapInPandas(_count_trigrams(buckets), "lang string, bucket long, n long")
+    return merged_counts(partial)
+
+
+def merged_counts(counts: DataFrame) -> DataFrame:
+    """Counts of all rows of a language and bucket, as if their texts had been one table."""
+    return counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+
+
 def train_language_profiles(labelled: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """(lang, bucket, weight) from ``labelled(text, lang)``.
+    """(lang, bucket, weight) from ``labelled(text, lang)``."""
+    return profile_weights(trigram_counts(labelled, buckets), buckets)
+
+
+def profile_weights(counts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """(lang, bucket, weight) from merged trigram counts.
 
-    Counts are summed per batch before the shuffle. A weight is the rounded,
-    scaled log of the add-one-smoothed probability; being integers, the sums
-    of weights do not depend on their order.
+    A weight is the rounded, scaled log of the add-one-smoothed probability;
+    being integers, the sums of weights do not depend on their order.
     """
-    texts = labelled.select("lang", F.lower("text").alias("text")).dropna()
-    partial = texts.mapInPandas(_count_trigrams(buckets), "lang string, bucket long, n long")
-    counts = partial.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # At most `buckets` rows per language.
     total = F.sum("n").over(Window.partitionBy("lang"))
 

@@ -15,7 +15,14 @@ from pyspark.sql import functions as F
 
 from riskloom.model import DEFAULT_MODEL, RiskModel
 from riskloom.operators import report
-from riskloom.operators.language import detector, train_language_profiles
+from riskloom.operators.language import (
+    COUNTS,
+    detector,
+    merged_counts,
+    profile_weights,
+    train_language_profiles,
+    trigram_counts,
+)
 from riskloom.operators.pages import extract_items, extract_posts, parsed_pages, usable_keys
 from riskloom.operators.posts import scored_records
 from riskloom.operators.select import (
@@ -203,6 +210,30 @@ def train_profiles_job(spark: SparkSession, labelled: DataFrame, out: str) -> Da
     return spark.read.parquet(out)
 
 
+def profile_store(spark: SparkSession, root: str, buckets: int = 8) -> BucketStore:
+    """Trigram counts that stay below ``root``: at most 4,096 rows a language."""
+    return BucketStore(spark, root, "lang", {"counts": COUNTS}, buckets)
+
+
+def add_to_profiles_job(store: BucketStore, labelled: DataFrame, number: int) -> Written:
+    """Adds the texts of delivery ``number``, from 0, to the counts of ``store``.
+
+    Delivery n makes version n + 1 from version n, so running the last one again counts
+    its texts once. Only the buckets of its languages are read and written.
+    """
+    counts = staged(trigram_counts(labelled), "counts")
+    touched = store.touched(counts)
+    both = store.read("counts", touched, number).unionByName(counts)
+    written = store.write({"counts": merged_counts(both)}, touched, number)
+    discard(counts)
+    return written
+
+
+def stored_profiles(store: BucketStore, version: int | None = None) -> DataFrame:
+    """Profiles of all texts counted up to a version, the last one unless told."""
+    return profile_weights(store.read("counts", version=version))
+
+
 def score_posts_job(
     spark: SparkSession,
     posts: DataFrame,

@@ -1,4 +1,4 @@
-"""Streaming post scoring, de-duplication, rolling user risk, upsert."""
+"""Streaming post scoring, de-duplication, rolling user risk, upsert (T1-T4), newest posts."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from riskloom.model import DEFAULT_MODEL, RiskModel
 from riskloom.operators.posts import scored_records
+from riskloom.operators.select import PER_GROUP, newest_per_group
 from riskloom.operators.stats import STATS, merged_stats, partial_stats, whole_stats
 from riskloom.operators.users import user_score
 from riskloom.functions.features import label
@@ -162,12 +163,12 @@ def drain(spark: SparkSession, stream: DataFrame, name: str, out: str | None = N
     return spark.read.schema(stream.schema).parquet(f"{out}/table")
 
 
-def _newest(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+def _newest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key, the largest by ``order`` and, where that is equal, by all columns."""
-    columns = [c for c in rows.columns if c != key]
+    columns = [c for c in rows.columns if c not in keys]
     place = F.struct(*order, *(c for c in columns if c not in order))
-    best = rows.groupBy(key).agg(F.max_by(F.struct(*columns), place).alias("_row"))
-    return best.select(key, "_row.*").select(*rows.columns)
+    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), place).alias("_row"))
+    return best.select(*keys, "_row.*").select(*rows.columns)
 
 
 def upsert_stream(
@@ -217,6 +218,61 @@ def upsert_batch(store: BucketStore, batch: DataFrame, number: int, places: list
     batch = batch.persist()
     touched = store.touched(batch)
     rows = store.read("rows", touched, number).unionByName(batch)
-    written = store.write({"rows": _newest(rows, store.key, places)}, touched, number)
+    written = store.write({"rows": _newest(rows, [store.key], places)}, touched, number)
     batch.unpersist()
     return written
+
+
+def newest_store(
+    spark: SparkSession, schema: T.StructType, group: str, out: str, buckets: int = BUCKETS
+) -> BucketStore:
+    """The store that :func:`newest_stream` keeps: at most n rows of each group."""
+    return BucketStore(spark, f"{out}/newest", group, {"rows": schema}, buckets)
+
+
+def newest_batch(
+    store: BucketStore, batch: DataFrame, number: int, n: int, ts: str, tie: str
+) -> Written:
+    """Version ``number + 1`` of the store: the ``n`` newest per group of its rows and the batch's."""
+    batch = batch.persist()
+    touched = store.touched(batch)
+    rows = store.read("rows", touched, number).unionByName(batch)
+    once = _newest(rows, [store.key, tie], [ts])
+    kept = newest_per_group(once, store.key, n, ts, tie).drop("rank")
+    written = store.write({"rows": kept}, touched, number)
+    batch.unpersist()
+    return written
+
+
+def newest_stream(
+    spark: SparkSession,
+    posts: DataFrame,
+    out: str,
+    n: int = PER_GROUP,
+    group: str = "subreddit",
+    ts: str = "created_utc",
+    tie: str = "id",
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """The ``n`` newest posts per group over all deliveries, with ``rank`` (L5 as a stream).
+
+    What is kept is bounded: n rows a group, in a store of which a micro-batch reads and
+    writes the buckets of its groups. Rows of one group and id, null ids too, are one post,
+    the newest of them, equal ones settled by all columns. A post that fell out of the n
+    newest can't come back unless it is delivered again newer, so the rows kept say all:
+    after each delivery they are what the batch operator finds in all deliveries, in
+    whichever order they came. Budgets (L6) apply to the result.
+    """
+    store = newest_store(spark, posts.schema, group, out, buckets)
+
+    def apply(batch: DataFrame, number: int) -> None:
+        newest_batch(store, batch, number, n, ts, tie)
+
+    query = (
+        posts.writeStream.foreachBatch(apply)
+        .option("checkpointLocation", f"{out}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return newest_per_group(store.read("rows"), group, n, ts, tie)
