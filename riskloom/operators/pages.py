@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,16 +30,15 @@ PARSED = T.StructType(
 )
 
 
-@F.pandas_udf(PARSED)
-def parse_page(html: pd.Series) -> pd.DataFrame:
-    """Raw items and next link of each page; a page that fails keeps its error."""
-    rows = []
-    for page in html:
-        try:
-            rows.append({**parse_listing(page or ""), "error": None})
-        except Exception as error:  # noqa: BLE001 - one bad page must not fail the job
-            rows.append({"next": None, "items": [], "error": f"{type(error).__name__}: {error}"})
-    return pd.DataFrame(rows, columns=["next", "items", "error"])
+# Not over Arrow, whose batches hold 10,000 rows however long they are: pages go to Python by
+# the hundred, so that a worker's memory does not follow the number of pages in its task.
+@F.udf(PARSED, useArrow=False)
+def parse_page(html: str | None) -> dict:
+    """Raw items and next link of a page; a page that fails keeps its error."""
+    try:
+        return {**parse_listing(html or ""), "error": None}
+    except Exception as error:  # noqa: BLE001 - one bad page must not fail the job
+        return {"next": None, "items": [], "error": f"{type(error).__name__}: {error}"}
 
 
 def usable_keys(

@@ -115,6 +115,21 @@ def test_a_failing_page_is_a_row(spark, monkeypatch):
     assert pg.page_errors(page(spark, PAGE, page_id=1), "page_id").count() == 0
 
 
+def test_pages_go_to_python_in_small_batches(spark, capsys):
+    """Arrow batches hold 10,000 rows, of pages of any length."""
+    pages = spark.range(2500).select(
+        "id", F.concat(F.lit('<div class="thing" id="'), "id", F.lit('"><div class="md">t</div></div>')).alias("html"),
+        F.lit("g").alias("group_name"), F.lit(200).alias("status"),
+    ).coalesce(1)
+    for rows in (pg.parsed_pages(pages), pg.raw_items(pages, "id"), pages.select(pg.next_link(F.col("html")))):
+        capsys.readouterr()
+        rows.explain()
+        plan = capsys.readouterr().out
+        assert "BatchEvalPython" in plan and "Arrow" not in plan and "Pandas" not in plan
+    got = pg.raw_items(pages, "id")
+    assert got.where("raw_element_id = id and raw_md_text = 't' and item_no = 0").count() == got.count() == 2500
+
+
 def test_epoch_forms(spark):
     attrs = [
         ("1700000000", 1700000000.0), (" 1700000000123 ", 1700000000.123), ("10000000000", 1e10),
