@@ -5,6 +5,7 @@ Files are written from the tables below the shared folder and read back.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bindings import sql, tables
@@ -60,9 +61,14 @@ def one_file_each(documents, path):
 def posts_document(spark, sf):
     """Uneven posts in whole documents, each an array over several lines."""
     rows = uneven_posts(spark, sf).withColumn("part", F.col("id") % 5)
-    arrays = rows.groupBy("part").agg(F.to_json(F.collect_list(F.struct(*rows.columns[:-1]))).alias("value"))
-    arrays = arrays.withColumn("value", F.replace("value", F.lit("},{"), F.lit("},\n{")))
-    return readers.read_posts(spark, one_file_each(arrays, fresh_path(spark, "documents")))
+    post = F.to_json(F.struct(*rows.columns[:-1]))
+    # A document's lines are written one by one, as it may be larger than a row can be.
+    lines = Window.partitionBy("part").orderBy("id")
+    opening = F.when(F.row_number().over(lines) == 1, "[").otherwise(",")
+    closing = F.when(F.lead(F.lit(1)).over(lines).isNull(), "]").otherwise("")
+    posts = rows.select("part", "id", post.alias("_post"))
+    documents = posts.select("part", F.concat(opening, "_post", closing).alias("value"))
+    return readers.read_posts(spark, one_file_each(documents, fresh_path(spark, "documents")))
 
 
 @query("s2_strict_posts", f"WITH {sql.POSTS} SELECT * FROM posts")

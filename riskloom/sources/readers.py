@@ -1,36 +1,37 @@
 """Readers for posts, histories and earlier scores.
 
-Whole-document JSON (one array or object per file) is read one file per task,
-since such a document cannot be split. JSON lines and Parquet are the layouts
-for large data, and are what the jobs write.
+Whole documents of posts (one JSON array per file) are read in pieces that end at a
+closing brace, so neither a task nor a row holds more than a block of a file, however
+long it is. Whole documents of histories are read one file per task. JSON lines and
+Parquet are the layouts for large data, and are what the jobs write.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.text import empty_to_null
 from riskloom.operators.users import fallback_scores
 from riskloom.schemas import HISTORY, ITEM, POST, USERS
-from riskloom.sources.staging import path_exists
+from riskloom.sources.staging import path_exists, staged
 
 _LENIENT = T.StructType([T.StructField(n, T.StringType()) for n in [*POST.names, "selftext"]])
 
 
-def _refused(what: str) -> Column:
+def _refused(what: str, file: Column | None = None) -> Column:
     """Fails with the file and the start of the text."""
-    shown = F.left("value", F.lit(40))
-    return F.raise_error(F.concat(F.lit(f"{what} in "), F.input_file_name(), F.lit(": "), shown))
+    shown, file = F.left("value", F.lit(40)), F.input_file_name() if file is None else file
+    return F.raise_error(F.concat(F.lit(f"{what} in "), file, F.lit(": "), shown))
 
 
-def _checked(value: Column, sound: Column, what: str) -> Column:
-    return F.when(sound, value).otherwise(_refused(what))
+def _checked(value: Column, sound: Column, what: str, file: Column | None = None) -> Column:
+    return F.when(sound, value).otherwise(_refused(what, file))
 
 
-def _is_json() -> Column:
-    return F.try_parse_json("value").isNotNull()
+def _is_json(value: Column | str = "value") -> Column:
+    return F.try_parse_json(value).isNotNull()
 
 
 def _elements(spark: SparkSession, path: str, lines: bool) -> DataFrame:
@@ -38,11 +39,117 @@ def _elements(spark: SparkSession, path: str, lines: bool) -> DataFrame:
     if lines:
         found = spark.read.text(path).where(F.trim("value") != "")
         return found.select(_checked(F.col("value"), _is_json(), "malformed JSON").alias("value"))
-    documents = spark.read.text(path, wholetext=True)
-    parsed = F.from_json("value", "array<string>", {"mode": "PERMISSIVE"})
-    array = _checked(parsed, F.ltrim("value").startswith("["), "expected a JSON array")
-    return documents.select(
-        F.explode(F.when(_is_json(), array).otherwise(_refused("malformed JSON"))).alias("value")
+    runs, file = _runs(staged(_pieces(spark, path), "pieces")), F.col("file")
+    # Each run becomes an array of its own: without the bracket that closes the whole one, and
+    # with an opening one in place of that of the whole one or of the comma before it.
+    start = F.when(F.col("first"), r"^ *\[").otherwise(r"^[ \t\r\n]*,")
+    end = F.when(F.col("last"), r"\][ \t\r\n]*$").otherwise("$")
+    held = F.regexp_replace(F.regexp_replace("value", end, F.lit("")), start, F.lit(""))
+    blank = F.trim(F.col("_held"), F.lit(" \t\r\n")) == ""
+    array = F.concat(F.lit("["), "_held", F.lit("]"))
+    # Blank is only an empty array, or what is left after the last object.
+    whole = F.when(blank, F.col("last") & (F.col("first") | ~F.rlike("value", start)))
+    whole = whole.otherwise(F.rlike("value", start) & _is_json(array))
+    parsed = F.from_json(array, "array<string>", {"mode": "PERMISSIVE"})
+    opened = ~F.col("first") | F.rlike("value", start)
+    value = _checked(parsed, F.rlike("value", end) & whole, "malformed JSON", file)
+    value = _checked(value, opened, "expected a JSON array", file)
+    return runs.withColumn("_held", held).select(F.explode(value).alias("value"))
+
+
+def _pieces(spark: SparkSession, path: str) -> DataFrame:
+    """Texts up to each closing brace, placed in their files, and what they do to the nesting.
+
+    ``outside`` is by how much a piece with its brace changes the depth if it starts outside
+    of strings, ``inside`` if it starts in one, ``quotes`` whether it changes between the two.
+    An escape never reaches over the end of a piece, as a brace can't be escaped.
+    """
+    marks = F.regexp_replace(F.regexp_replace("value", r"(?s)\\.", ""), r'[^"\[\]{}]', "")
+
+    def depth(marks: Column) -> Column:
+        bare = F.regexp_replace(marks, r'"[^"]*("|$)', "")
+        return 2 * F.length(F.regexp_replace(bare, r"[\]}]", "")) - F.length(bare)
+
+    quotes = F.length(F.regexp_replace("_marks", r'[^"]', "")) % 2
+    return (
+        spark.read.text(path, lineSep="}")
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_size").alias("size"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("pos"),
+            "value",
+            marks.alias("_marks"),
+        )
+        .withColumn("quotes", quotes)
+        .withColumn("outside", depth(F.col("_marks")) - (1 - F.col("quotes")))
+        .withColumn("inside", depth(F.concat(F.lit('"'), "_marks")) - F.col("quotes"))
+        .drop("_marks")
+    )
+
+
+def _before(column: Column, window) -> Column:
+    return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def _runs(pieces: DataFrame) -> DataFrame:
+    """(file, value, first, last): what each file holds, cut after each object in its array.
+
+    Files are read in blocks. What a block does to the nesting is summed up first; from
+    that follows how each one begins, and the blocks are cut independently.
+    """
+    block, in_block = ["file", "block"], Window.partitionBy("file", "block").orderBy("pos")
+    in_file = Window.partitionBy("file").orderBy("block")
+    bare = F.col("odd") == 0
+    sums = (
+        pieces.withColumn("odd", _before(F.col("quotes"), in_block) % 2)
+        .groupBy(*block, "size")
+        .agg(
+            F.sum("quotes").alias("quotes"),
+            F.sum(F.when(bare, F.col("outside")).otherwise(F.col("inside"))).alias("outside"),
+            F.sum(F.when(bare, F.col("inside")).otherwise(F.col("outside"))).alias("inside"),
+            F.max("pos").alias("end"),
+            F.sum(F.octet_length("value") + 1).alias("bytes"),
+        )
+    )
+    begun = sums.withColumn("odd", _before(F.col("quotes"), in_file) % 2).select(
+        *block,
+        F.col("odd").alias("_odd"),
+        _before(F.when(bare, F.col("outside")).otherwise(F.col("inside")), in_file).alias("_depth"),
+        F.when(F.lead("block").over(in_file).isNull(), F.col("end")).alias("_end"),
+        # A file that ends with a brace has one for each piece.
+        (F.sum("bytes").over(Window.partitionBy("file")) == F.col("size")).alias("_braces"),
+    )
+    begun = staged(begun, "begun")
+    odd = (F.col("_odd") + _before(F.col("quotes"), in_block)) % 2
+    depth = F.col("_depth") + F.sum(F.when(bare, F.col("outside")).otherwise(F.col("inside"))).over(
+        in_block.rowsBetween(Window.unboundedPreceding, 0)
+    )
+    last = F.coalesce(F.col("pos") == F.col("_end"), F.lit(False))
+    # An object of the array ends with a brace outside of strings that leaves only the array open.
+    cut = ((F.col("odd") + F.col("quotes")) % 2 == 0) & (F.col("depth") == 1) & ~F.col("last")
+
+    def placed(pieces: DataFrame) -> DataFrame:
+        return (
+            pieces.join(begun, block)
+            .withColumns({"odd": odd, "last": last})
+            .withColumn("depth", depth)
+            .withColumn("cut", cut.cast("int"))
+        )
+
+    cuts = placed(pieces.drop("value")).groupBy(*block).agg(F.sum("cut").alias("cuts"))
+    numbers = staged(cuts.select(*block, _before(F.col("cuts"), in_file).alias("_number")), "numbers")
+    text = F.concat("value", F.when(F.col("last") & ~F.col("_braces"), "").otherwise("}"))
+    parts = F.sort_array(F.collect_list(F.struct("block", "pos", text.alias("text"))))
+    joined = F.array_join(F.transform(parts, lambda p: p["text"]), "")
+    return (
+        placed(pieces)
+        .withColumn("run", _before(F.col("cut"), in_block))
+        .join(numbers, block)
+        .groupBy("file", (F.col("_number") + F.col("run")).alias("run"))
+        .agg(joined.alias("value"), F.max("last").alias("last"))
+        .select("file", "run", "value", (F.col("run") == 0).alias("first"), "last")
+        .sortWithinPartitions("file", "run")
     )
 
 

@@ -39,6 +39,60 @@ def test_lenient_array(spark, tmp_path):
     ]
 
 
+TRICKY = [
+    {"id": "1", "text": 'braces },{ ]} "quoted" \\', "title": "\\\\"},
+    3,
+    {"id": "2", "text": "}", "selftext": "[{", "url": '"}'},
+    {},
+    "}{",
+    [{"id": "no"}, [{}]],
+    {"id": "3", "extra": {"a": [{"b": "}"}]}, "text": "\n}\n"},
+    {"id": "4", "text": "“}” \t" * 40},
+    None,
+]
+
+
+@pytest.fixture(params=["37", "1m"])
+def blocks(spark, request):
+    """Files are read in blocks of so many bytes."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", request.param)
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_documents_are_read_in_pieces(spark, tmp_path, blocks, indent):
+    """No row holds a document, and wherever it is cut its elements come back."""
+    (tmp_path / "d").mkdir()
+    for n in range(3):
+        text = json.dumps(TRICKY[n:], indent=indent, ensure_ascii=n == 1) + "\n " * n
+        (tmp_path / "d" / f"{n}.json").write_text(text, encoding="utf-8")
+    got = readers.read_posts(spark, str(tmp_path / "d")).collect()
+    expected = [
+        (p.get("id", ""), p.get("text", p.get("selftext", "")), p.get("title", ""), p.get("url", ""))
+        for n in range(3) for p in TRICKY[n:] if isinstance(p, dict)
+    ]
+    assert sorted((r.id, r.text, r.title, r.url) for r in got) == sorted(expected)
+    longest = readers._pieces(spark, str(tmp_path / "d")).agg(F.max(F.length("value"))).first()[0]
+    assert longest < 200
+
+
+def test_sound_documents(spark, tmp_path, blocks):
+    texts = ["[]", " [ ] ", "[1]", "[1,\n{}\n]\n", '[{},{}, "]"]', '["\\\\"]', '["}"]']
+    for n, text in enumerate(texts):
+        (tmp_path / f"{n}.json").write_text(text, encoding="utf-8")
+    got = readers._elements(spark, str(tmp_path), False).collect()
+    expected = [x if isinstance(x, str) else json.dumps(x) for text in texts for x in json.loads(text)]
+    assert sorted(r.value for r in got) == sorted(expected)
+
+
+@pytest.mark.parametrize("text", ["[", "[{},]", "[,{}]", "[{}{}]", "[{}][{}]", "[1]}", "[{}] x", '[{"a}]', "[1,]"])
+def test_broken_documents_fail(spark, tmp_path, text):
+    (tmp_path / "p.json").write_text(text, encoding="utf-8")
+    with pytest.raises(PySparkException, match="(malformed JSON|expected a JSON array) in .*p.json"):
+        readers._elements(spark, str(tmp_path / "p.json"), False).collect()
+
+
 def test_lenient_reader_wants_an_array(spark, tmp_path):
     with pytest.raises(PySparkException, match="expected a JSON array"):
         readers.read_posts(spark, write(tmp_path / "p.json", {"id": 1})).collect()
